@@ -24,6 +24,8 @@ def percentage(part: Column, whole: Column) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed between two timestamps."""
-    return F.unix_timestamp(F.date_trunc("second", end)) - F.unix_timestamp(
-        F.date_trunc("second", start)
-    )
+
+    def second(moment: Column) -> Column:
+        return F.unix_timestamp(F.date_trunc("second", moment.cast("timestamp")))
+
+    return second(end) - second(start)

@@ -42,12 +42,20 @@ STORED = {
 PLACE = "_place"
 
 
+def line_order() -> Column:
+    return F.array(F.col("line_number"))
+
+
 def _none(kind: str = "string") -> Column:
     return F.lit(None).cast(kind)
 
 
+def _unordered() -> Column:
+    return F.array(F.lit(0).cast("bigint"))
+
+
 def _fields(frame: DataFrame, system: str, order: Column | None, **columns: Column) -> DataFrame:
-    place = F.struct(F.lit(0)) if order is None else order
+    place = _unordered() if order is None else order
     return frame.select(
         *[c.alias(name) for name, c in columns.items()],
         F.lit(system).alias("source_system"),
@@ -146,7 +154,7 @@ def clean_api_carts(
         "source_id",
         "user_id",
         "cart_date",
-        (F.struct(F.lit(0)) if order is None else order).alias("_order"),
+        (_unordered() if order is None else order).alias("_order"),
         F.posexplode(F.from_json(F.coalesce("products_json", F.lit("[]")), CART_ITEMS)).alias(
             "idx", "item"
         ),
@@ -160,7 +168,7 @@ def clean_api_carts(
     return _fields(
         lines,
         "api",
-        F.struct("_order", "idx"),
+        F.col("_order"),
         source_sale_id=F.concat("source_id", F.lit("-"), F.col("idx").cast("string")),
         source_customer_id=F.col("user_id"),
         source_product_id=F.col("product"),
