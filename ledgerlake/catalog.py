@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import cleaning as clean
-from ledgerlake.functions.calendar import dim_date
+from ledgerlake.functions.calendar import date_key, dim_date
 from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
+from ledgerlake.schemas import TABLES
 from ledgerlake.session import shared_dir
 from ledgerlake.sources import files, raw
 from ledgerlake.sources import tables as given
@@ -19,11 +20,25 @@ from ledgerlake.sources import tables as given
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-LOAD_DAY = F.lit(given.LOAD_DAY)
-REPORT_DAY = F.lit(given.REPORT_DAY)
-NOW = F.lit(datetime(2001, 6, 30, 12, 0, 0))
-EARLIER = F.lit(datetime(2001, 1, 1))
-BATCH = F.lit("batch-2")
+
+def load_day() -> Column:
+    return F.lit(given.LOAD_DAY)
+
+
+def report_day() -> Column:
+    return F.lit(given.REPORT_DAY)
+
+
+def now() -> Column:
+    return F.lit(datetime(2001, 6, 30, 12, 0, 0))
+
+
+def earlier() -> Column:
+    return F.lit(datetime(2001, 1, 1))
+
+
+def batch() -> Column:
+    return F.lit("batch-2")
 
 
 def query(function: Query) -> Query:
@@ -86,16 +101,10 @@ def clean_dates(spark: SparkSession, folder: str) -> DataFrame:
         clean.clean_string(F.col("sale_id")).alias("sale_id"),
         clean.clean_date(text).alias("sale_date"),
         clean.clean_date(text, lenient=True).alias("lenient_date"),
-        clean_key(clean.clean_date(text)).alias("date_key"),
+        date_key(clean.clean_date(text)).alias("date_key"),
     )
 
 
-def clean_key(day):
-    from ledgerlake.functions.calendar import date_key
-
-    return date_key(day)
-
-
 @query
 def clean_contacts(spark: SparkSession, folder: str) -> DataFrame:
     return given.raw_customers(spark, folder).select(
@@ -192,17 +201,17 @@ def _products(spark: SparkSession, folder: str) -> staging.Checked:
     cleaned = staging.clean_csv_products(given.raw_products(spark, folder)).unionByName(
         staging.clean_api_products(raw.flatten_products(given.api_products(spark, folder)))
     )
-    return staging.check(cleaned, "products", LOAD_DAY)
+    return staging.check(cleaned, "products", load_day())
 
 
 def _customers(spark: SparkSession, folder: str) -> staging.Checked:
     cleaned = staging.clean_csv_customers(given.raw_customers(spark, folder))
-    return staging.check(cleaned, "customers", LOAD_DAY)
+    return staging.check(cleaned, "customers", load_day())
 
 
 def _sales(spark: SparkSession, folder: str) -> staging.Checked:
     cleaned = staging.clean_csv_sales(given.raw_sales(spark, folder), given.sale_order())
-    return staging.check(cleaned, "sales", LOAD_DAY)
+    return staging.check(cleaned, "sales", load_day())
 
 
 def _verdicts(checked: staging.Checked) -> DataFrame:
@@ -239,8 +248,6 @@ def rejection_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _no_rows(spark: SparkSession, table: str) -> DataFrame:
-    from ledgerlake.schemas import TABLES
-
     return spark.createDataFrame([], TABLES[table])
 
 
@@ -262,8 +269,8 @@ def _earlier_products(spark: SparkSession, folder: str) -> DataFrame:
         F.col("supplier"),
         F.lit(True).alias("is_valid"),
         F.lit(None).cast("string").alias("validation_errors"),
-        EARLIER.alias("created_at"),
-        EARLIER.alias("updated_at"),
+        earlier().alias("created_at"),
+        earlier().alias("updated_at"),
         F.lit("batch-1").alias("batch_id"),
     )
 
@@ -272,7 +279,7 @@ def _earlier_products(spark: SparkSession, folder: str) -> DataFrame:
 def staging_products(spark: SparkSession, folder: str) -> DataFrame:
     """Valid CSV and API products upserted into the earlier snapshot."""
     current = _earlier_products(spark, folder)
-    staged = staging.stage(current, _products(spark, folder), NOW, BATCH)
+    staged = staging.stage(current, _products(spark, folder), now(), batch())
     return staged.select(
         "source_product_id",
         "source_system",
@@ -293,7 +300,7 @@ def staging_products(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def staging_customers(spark: SparkSession, folder: str) -> DataFrame:
     staged = staging.stage(
-        _no_rows(spark, "staging.customers"), _customers(spark, folder), NOW, BATCH
+        _no_rows(spark, "staging.customers"), _customers(spark, folder), now(), batch()
     )
     return staged.select(
         "source_customer_id",
@@ -311,7 +318,7 @@ def staging_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _staged_sales(spark: SparkSession, folder: str) -> DataFrame:
     empty = _no_rows(spark, "staging.sales")
-    return staging.stage(empty, _sales(spark, folder), NOW, BATCH)
+    return staging.stage(empty, _sales(spark, folder), now(), batch())
 
 
 @query
@@ -335,7 +342,7 @@ def staging_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def load_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per action of the product upsert."""
     staged = staging.stage(
-        _earlier_products(spark, folder), _products(spark, folder), NOW, BATCH
+        _earlier_products(spark, folder), _products(spark, folder), now(), batch()
     )
     return staged.groupBy("action").agg(F.count(F.lit(1)).alias("records"))
 
@@ -350,8 +357,8 @@ def _versions(frame: DataFrame) -> DataFrame:
                 F.lit(date(2000, 6, 1))
             ),
         )
-        .withColumn("created_at", EARLIER)
-        .withColumn("updated_at", EARLIER)
+        .withColumn("created_at", earlier())
+        .withColumn("updated_at", earlier())
     )
 
 
@@ -367,11 +374,11 @@ def scd2_product(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("rating_count", F.lit(None).cast("int"))
     )
     checked = staging.check(
-        staging.clean_csv_products(given.raw_products(spark, folder)), "products", LOAD_DAY
+        staging.clean_csv_products(given.raw_products(spark, folder)), "products", load_day()
     )
-    snapshot = staging.stage(_no_rows(spark, "staging.products"), checked, NOW, BATCH)
+    snapshot = staging.stage(_no_rows(spark, "staging.products"), checked, now(), batch())
     merged = dimensions.merge_products(
-        dim, dimensions.staged_products(snapshot), LOAD_DAY, NOW
+        dim, dimensions.staged_products(snapshot), load_day(), now()
     )
     margin = dimensions.profit_margin(F.col("price"), F.col("cost")).cast("decimal(10,4)")
     return merged.select(
@@ -419,10 +426,10 @@ def _customer_dim(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_customer(spark: SparkSession, folder: str) -> DataFrame:
     """Staged customers merged into the customer dimension."""
     snapshot = staging.stage(
-        _no_rows(spark, "staging.customers"), _customers(spark, folder), NOW, BATCH
+        _no_rows(spark, "staging.customers"), _customers(spark, folder), now(), batch()
     )
     merged = dimensions.merge_customers(
-        _customer_dim(spark, folder), dimensions.staged_customers(snapshot), LOAD_DAY, NOW
+        _customer_dim(spark, folder), dimensions.staged_customers(snapshot), load_day(), now()
     )
     return merged.select(
         "customer_id",
@@ -453,7 +460,7 @@ def _fact_load(spark: SparkSession, folder: str) -> facts.FactLoad:
 @query
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Staged sales with their dimension keys and cost."""
-    rows = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), NOW, BATCH)
+    rows = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch())
     profit = facts.profit_amount(F.col("total_amount"), F.col("cost_amount"))
     return rows.withColumn("profit_amount", profit.cast("decimal(14,2)")).drop(
         "sale_key", "created_at", "batch_id"
@@ -469,7 +476,7 @@ def fact_skipped(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fact_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Facts of an earlier load, half their amount, with the new load merged over them."""
-    new = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), NOW, BATCH)
+    new = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch())
     columns = ["sale_id", "source_system", "product_key", "total_amount"]
     lines = given.load(spark, folder, "lineitem")
     old = lines.select(
@@ -485,9 +492,9 @@ def fact_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def update_segments(spark: SparkSession, folder: str) -> DataFrame:
-    customers = given.star_customers(spark, folder).withColumn("updated_at", EARLIER)
+    customers = given.star_customers(spark, folder).withColumn("updated_at", earlier())
     sold = given.star_facts(spark, folder)
-    updated = facts.update_segments(customers, sold, NOW)
+    updated = facts.update_segments(customers, sold, now())
     return updated.select("customer_id", "is_current", "customer_segment")
 
 
@@ -505,7 +512,7 @@ def product_performance(spark: SparkSession, folder: str) -> DataFrame:
         given.star_facts(spark, folder, customers=False),
         given.star_products(spark, folder),
         given.star_calendar(spark),
-        REPORT_DAY,
+        report_day(),
     )
 
 
@@ -514,7 +521,7 @@ def _customer_summary(spark: SparkSession, folder: str) -> DataFrame:
         given.star_facts(spark, folder),
         given.star_customers(spark, folder),
         given.star_calendar(spark),
-        REPORT_DAY,
+        report_day(),
     )
 
 
@@ -628,7 +635,7 @@ def rule_results(spark: SparkSession, folder: str) -> DataFrame:
         "staging.customers": _customers(spark, folder).records,
         "staging.sales": _sales(spark, folder).records,
     }
-    return quality.rule_results(tables, LOAD_DAY).drop("sample_failures")
+    return quality.rule_results(tables, load_day()).drop("sample_failures")
 
 
 @query

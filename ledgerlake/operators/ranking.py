@@ -27,9 +27,10 @@ def _offsets(counts: DataFrame, parts: list[str]) -> DataFrame:
     if len(parts) == 1:
         return level
     parent = counts.groupBy(*parts[:-1]).agg(F.sum("_n").alias("_n"))
-    above = _offsets(parent, parts[:-1]).withColumnRenamed("_off", "_above").drop("_n")
+    above = _offsets(parent, parts[:-1]).select(*parts[:-1], F.col("_off").alias("_above"))
     # At most 2**21 rows meet one parent row, so this join cannot be skewed either.
-    return level.join(above, parts[:-1]).withColumn("_off", F.col("_off") + F.col("_above"))
+    summed = level.join(above, parts[:-1]).withColumn("_off", F.col("_off") + F.col("_above"))
+    return summed.drop("_above")
 
 
 def rank_descending(frame: DataFrame, value: Column, name: str) -> DataFrame:
