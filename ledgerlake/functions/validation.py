@@ -2,6 +2,7 @@
 
 A rule is one column holding NULL (passed) or a struct of a short reason, which has few
 distinct values and is safe to group by, and a message that quotes the rejected value.
+Rules take cleaned, typed columns unless they say that they take text.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.cleaning import WIDE_DECIMAL, strip
+
 # The accepted form of an e-mail address and the tolerated total mismatch.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 TOTAL_TOLERANCE = "0.01"
@@ -30,51 +33,53 @@ def shown(value: Column) -> Column:
 
 
 def not_null(value: Column, name: str) -> Column:
-    blank = value.isNull() | (F.trim(value.cast("string")) == "")
-    return F.when(blank, _error(f"{name} cannot be null or empty"))
+    return F.when(value.isNull(), _error(f"{name} cannot be null or empty"))
 
 
-def positive(value: Column, name: str) -> Column:
-    number = value.try_cast("decimal(38,10)")
-    return F.when(number.isNull(), _error(f"{name} is not a valid number", shown(value))).when(
-        number <= 0, _error(f"{name} must be positive", shown(value), ", got ")
+def not_blank(text: Column, name: str) -> Column:
+    return F.when(
+        text.isNull() | (strip(text) == ""), _error(f"{name} cannot be null or empty")
     )
 
 
-def non_negative(value: Column, name: str) -> Column:
-    number = value.try_cast("decimal(38,10)")
-    return F.when(number.isNull(), _error(f"{name} is not a valid number", shown(value))).when(
-        number < 0, _error(f"{name} cannot be negative", shown(value), ", got ")
-    )
+def is_number(text: Column, name: str) -> Column:
+    """For text that was not cleaned; a cleaned number is one or NULL."""
+    broken = text.try_cast(WIDE_DECIMAL).isNull()
+    return F.when(broken, _error(f"{name} is not a valid number", text))
+
+
+def positive(number: Column, name: str) -> Column:
+    return F.when(number <= 0, _error(f"{name} must be positive", shown(number), ", got "))
+
 
+def non_negative(number: Column, name: str) -> Column:
+    return F.when(number < 0, _error(f"{name} cannot be negative", shown(number), ", got "))
 
-def in_range(value: Column, name: str, low: int, high: int) -> Column:
-    number = value.try_cast("double")
+
+def in_range(number: Column, name: str, low: int, high: int) -> Column:
     reason = f"{name} must be between {low} and {high}"
-    return F.when(number.isNull(), _error(f"{name} is not a valid number", shown(value))).when(
-        ~number.between(low, high), _error(reason, shown(value), ", got ")
-    )
+    return F.when(~number.between(low, high), _error(reason, shown(number), ", got "))
 
 
 def valid_email(value: Column, name: str) -> Column:
     return F.when(~value.rlike(EMAIL_PATTERN), _error(f"{name} is not a valid email", value))
 
 
-def as_date(value: Column) -> Column:
+def as_date(text: Column) -> Column:
     """The date in the first ten characters, or NULL."""
-    head = F.substring(value.cast("string"), 1, 10)
+    head = F.substring(text, 1, 10)
     return F.when(head.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), head.try_cast("date"))
 
 
-def valid_date(value: Column, name: str) -> Column:
-    broken = value.isNotNull() & as_date(value).isNull()
-    return F.when(broken, _error(f"{name} is not a valid date", value.cast("string")))
+def valid_date(text: Column, name: str) -> Column:
+    """For text that was not cleaned; a cleaned date is one or NULL."""
+    broken = text.isNotNull() & as_date(text).isNull()
+    return F.when(broken, _error(f"{name} is not a valid date", text))
 
 
-def not_future(value: Column, name: str, as_of: Column) -> Column:
+def not_future(day: Column, name: str, as_of: Column) -> Column:
     return F.when(
-        as_date(value) > as_of,
-        _error(f"{name} cannot be in the future", value.cast("string")),
+        day > as_of, _error(f"{name} cannot be in the future", day.cast("string"))
     )
 
 
@@ -127,25 +132,19 @@ def product_rules(title, price, cost, rating_rate) -> list[Column]:
     return [
         not_null(title, "title"),
         first_of(not_null(price, "price"), positive(price, "price")),
-        F.when(cost.isNotNull(), non_negative(cost, "cost")),
-        F.when(rating_rate.isNotNull(), in_range(rating_rate, "rating_rate", 0, 5)),
+        non_negative(cost, "cost"),
+        in_range(rating_rate, "rating_rate", 0, 5),
     ]
 
 
-def customer_rules(email, registration_date) -> list[Column]:
-    return [
-        F.when(email != "", valid_email(email, "email")),
-        valid_date(registration_date, "registration_date"),
-    ]
+def customer_rules(email) -> list[Column]:
+    """The registration date needs no rule: cleaning leaves a date or NULL, and both pass."""
+    return [F.when(email != "", valid_email(email, "email"))]
 
 
 def sale_rules(quantity, unit_price, total, sale_date, as_of) -> list[Column]:
     amounts = {"quantity": quantity, "unit_price": unit_price, "total_amount": total}
     return [first_of(not_null(c, n), positive(c, n)) for n, c in amounts.items()] + [
-        first_of(
-            not_null(sale_date, "sale_date"),
-            valid_date(sale_date, "sale_date"),
-            not_future(sale_date, "sale_date", as_of),
-        ),
+        first_of(not_null(sale_date, "sale_date"), not_future(sale_date, "sale_date", as_of)),
         total_matches(quantity, unit_price, total),
     ]

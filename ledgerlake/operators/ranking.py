@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import materialize
+
 # A 64-bit value is cut into a signed top part and two parts of this many bits, so a
 # window never sees more than 2**21 rows, however many rows or ties there are.
 DIGIT_BITS = 21
 
+# Rows that one task may sort.
+WINDOW_ROWS = 1_000_000
+
 
 def _before(parts: list[str], name: str) -> Column:
     """Rows with a larger last part under the same leading parts."""
@@ -33,31 +36,41 @@ def _offsets(counts: DataFrame, parts: list[str]) -> DataFrame:
     return summed.drop("_above")
 
 
-def rank_descending(frame: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add RANK() OVER (ORDER BY value DESC) for a value that fits in a long.
-
-    Rows are counted per distinct value, and a value's rank is one more than the rows
-    above it, summed digit by digit from the top. Ties share a rank and leave a gap.
+def _ranks(frame: DataFrame, value: Column, name: str) -> DataFrame:
+    """Each distinct value with its rank: one more than the rows above it, which are
+    counted per value and summed digit by digit from the top.
     """
     parts = ["_hi", "_mid", "_lo"]
     mask = (1 << DIGIT_BITS) - 1
-    digits = [
-        F.shiftright("_value", 2 * DIGIT_BITS),
-        F.shiftright("_value", DIGIT_BITS).bitwiseAND(mask),
-        F.col("_value").bitwiseAND(mask),
-    ]
-    valued = frame.withColumn("_value", value.cast("long"))
-    counts = (
-        valued.filter(F.col("_value").isNotNull())
-        .groupBy("_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_value", "_n", *[d.alias(p) for d, p in zip(digits, parts)])
+    counts = frame.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(
+        "_value",
+        "_n",
+        F.shiftright("_value", 2 * DIGIT_BITS).alias("_hi"),
+        F.shiftright("_value", DIGIT_BITS).bitwiseAND(mask).alias("_mid"),
+        F.col("_value").bitwiseAND(mask).alias("_lo"),
     )
-    ranks = _offsets(counts, parts).select("_value", (F.col("_off") + 1).alias(name))
-    # NULL sorts last: after all rows that have a value.
-    filled = F.coalesce(F.col(name), counts.agg(F.sum("_n")).scalar() + 1, F.lit(1).cast("long"))
-    return valued.join(ranks, "_value", "left").withColumn(name, filled).drop("_value")
+    return _offsets(counts, parts).select("_value", (F.col("_off") + 1).alias(name))
+
 
+def rank_all(
+    frame: DataFrame, ranks: dict[str, Column], window_rows: int = WINDOW_ROWS
+) -> tuple[DataFrame, int]:
+    """Add RANK() OVER (ORDER BY value DESC) for each value, and count the rows.
 
-def rank_all(frame: DataFrame, ranks: dict[str, Column]) -> DataFrame:
-    return reduce(lambda f, item: rank_descending(f, item[1], item[0]), ranks.items(), frame)
+    Values are longs without NULL. The frame is written once, since ranking reads it more
+    than once, and is counted from the files. Up to `window_rows` rows one task sorts them;
+    beyond that ranks come from counts per distinct value, and ties of any number meet
+    their value in a join that splits them.
+    """
+    pinned = materialize(frame, "ranked")
+    size = pinned.count()
+    if size <= window_rows:
+        windows = {name: Window.orderBy(value.desc()) for name, value in ranks.items()}
+        columns = {name: F.rank().over(w).cast("long") for name, w in windows.items()}
+        return pinned.withColumns(columns), size
+    result = pinned
+    for name, value in ranks.items():
+        keyed = result.withColumn("_value", value)
+        result = keyed.join(_ranks(pinned, value, name), "_value").drop("_value")
+    return result, size

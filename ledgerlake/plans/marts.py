@@ -90,13 +90,14 @@ def product_performance(
         F.col("_last").alias("last_sale_date"),
         F.datediff(as_of, "_last").alias("days_since_last_sale"),
     )
-    return rank_all(
+    ranked, _ = rank_all(
         performance,
         {
             "revenue_rank": cents(F.col("total_revenue")),
             "quantity_rank": F.col("total_quantity_sold"),
         },
     )
+    return ranked
 
 
 def customer_summary(
@@ -188,7 +189,7 @@ def with_rfm(customers: DataFrame) -> DataFrame:
     """Fill the score the mart declares but leaves empty: quintiles of recency, frequency
     and spend, 5 best, by rank, so equal customers score the same.
     """
-    scored = rank_all(
+    scored, size = rank_all(
         customers,
         {
             "_recency": -F.col("days_since_last_purchase").cast("bigint"),
@@ -196,7 +197,6 @@ def with_rfm(customers: DataFrame) -> DataFrame:
             "_spend": cents(F.col("total_spent")),
         },
     )
-    size = customers.agg(F.count(F.lit(1))).scalar()
     digits = [
         (5 - F.floor((F.col(r) - 1) * 5 / size)).cast("string")
         for r in ("_recency", "_frequency", "_spend")

@@ -18,6 +18,7 @@ from ledgerlake.functions.cleaning import (
     clean_string,
     full_name,
 )
+from ledgerlake.operators.once import evaluate_once
 from ledgerlake.operators.samples import sample_values
 from ledgerlake.operators.upsert import last_per_key, upsert
 from ledgerlake.schemas import CART_ITEMS, TEXT_LIMITS
@@ -56,11 +57,8 @@ def _unordered() -> Column:
 
 def _fields(frame: DataFrame, system: str, order: Column | None, **columns: Column) -> DataFrame:
     place = _unordered() if order is None else order
-    return frame.select(
-        *[c.alias(name) for name, c in columns.items()],
-        F.lit(system).alias("source_system"),
-        place.alias(PLACE),
-    )
+    source = F.lit(system)
+    return evaluate_once(frame, [], **columns, source_system=source, **{PLACE: place})
 
 
 def clean_api_products(raw: DataFrame, order: Column | None = None) -> DataFrame:
@@ -219,7 +217,7 @@ def _rules(entity: str, as_of: Column) -> list[Column]:
     if entity == "products":
         return v.product_rules(c("title"), c("price"), c("cost"), c("rating_rate"))
     if entity == "customers":
-        return v.customer_rules(c("email"), c("registration_date"))
+        return v.customer_rules(c("email"))
     return v.sale_rules(
         c("quantity"), c("unit_price"), c("total_amount"), c("sale_date"), as_of
     )
@@ -239,7 +237,7 @@ def check(cleaned: DataFrame, entity: str, as_of: Column) -> Checked:
         if name in cleaned.columns
     ]
     errors = v.errors(*_rules(entity, as_of), *storable)
-    return Checked(entity, cleaned.withColumn("errors", errors))
+    return Checked(entity, evaluate_once(cleaned, ["*"], errors=errors))
 
 
 def last_valid(checked: Checked) -> DataFrame:

