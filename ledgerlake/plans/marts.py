@@ -28,14 +28,23 @@ def _sums() -> list[Column]:
     ]
 
 
+def _distinct(facts: DataFrame, group: list[str], **columns: str) -> DataFrame:
+    """Exact distinct counts per group.
+
+    Kept apart from the sums: Spark counts distinct values by first grouping on them, and
+    would otherwise carry every sum's buffer through that large shuffle.
+    """
+    counts = [F.countDistinct(column).alias(name) for name, column in columns.items()]
+    return facts.groupBy(*group).agg(*counts)
+
+
 def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
-    days = facts.groupBy("date_key").agg(
-        *_sums(),
-        F.sum("cost_amount").cast(AMOUNT).alias("_cost"),
-        F.countDistinct("sale_id").alias("_orders"),
-        F.countDistinct("customer_key").alias("_customers"),
-        F.countDistinct("product_key").alias("_products"),
+    day = ["date_key"]
+    sums = facts.groupBy(*day).agg(*_sums(), F.sum("cost_amount").cast(AMOUNT).alias("_cost"))
+    counts = _distinct(
+        facts, day, _orders="sale_id", _customers="customer_key", _products="product_key"
     )
+    days = sums.join(counts, day)
     return days.join(calendar, "date_key").select(
         "date_key",
         "full_date",
@@ -56,14 +65,15 @@ def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def _lifetime(facts: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
-    """Totals per product or customer with the first and last day of sale."""
+    """Totals per product or customer with the first and last day of sale.
+
+    Both parts end up partitioned by `key`, so joining them moves nothing.
+    """
     dated = facts.join(calendar.select("date_key", "full_date"), "date_key")
-    return dated.groupBy(key).agg(
-        *_sums(),
-        F.countDistinct("sale_id").alias("_orders"),
-        F.min("full_date").alias("_first"),
-        F.max("full_date").alias("_last"),
+    sums = dated.groupBy(key).agg(
+        *_sums(), F.min("full_date").alias("_first"), F.max("full_date").alias("_last")
     )
+    return sums.join(_distinct(dated, [key], _orders="sale_id"), key)
 
 
 def product_performance(
@@ -131,21 +141,32 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
     """Sales per category and month. Unlike a NOT NULL column, NULL categories are kept."""
     group = ["category", "year", "month_num"]
     current = products.filter("is_current").select("product_key", "category", "price")
-    lines = (
-        facts.drop("year", "month")
-        .join(calendar.select("date_key", "year", "month_num"), "date_key")
+    months = calendar.select("date_key", "year", "month_num")
+    sums = (
+        facts.groupBy("product_key", "date_key")
+        .agg(*_sums())
+        .join(months, "date_key")
         .join(current, "product_key")
+        .groupBy(*group)
+        .agg(
+            *[F.sum(c).alias(c) for c in ("_quantity", "_lines")],
+            *[F.sum(c).cast(AMOUNT).alias(c) for c in ("_total", "_profit")],
+            F.sum(F.col("price") * F.col("_lines")).cast(AMOUNT).alias("_prices"),
+            F.countDistinct("product_key").alias("_products"),
+        )
     )
-    price_sum = F.sum("price").cast(AMOUNT)
-    months = lines.groupBy(*group).agg(
-        *_sums(),
-        price_sum.alias("_prices"),
-        F.countDistinct("product_key").alias("_products"),
-        F.countDistinct("sale_id").alias("_orders"),
-        F.countDistinct("customer_key").alias("_customers"),
+    counts = _distinct(
+        facts.select("sale_id", "customer_key", "product_key", "date_key")
+        .join(months, "date_key")
+        .join(current, "product_key"),
+        group,
+        _orders="sale_id",
+        _customers="customer_key",
     )
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
+    totals = sums.alias("s").join(counts.alias("c"), same).select("s.*", "_orders", "_customers")
     unknown = F.lit(None).cast("decimal(10,2)")
-    return months.select(
+    return totals.select(
         *group,
         F.col("_products").alias("product_count"),
         F.col("_orders").alias("total_orders"),

@@ -35,14 +35,16 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Deal out a table that comes in fewer splits than there are cores.
+def load_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items, dealt out when they come in fewer splits than there are cores.
 
-    Only worth it where rows are expensive, as in cleaning text. Tables of many files are
-    left as they are.
+    That is one small file on one machine. A table of many files is left as it is.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+    lines = load(spark, folder, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
 
 
 def money(c: Column, kind: str = "decimal(12,2)") -> Column:
@@ -111,7 +113,7 @@ def star_facts(spark: SparkSession, folder: str, customers: bool = True) -> Data
 
     Customer and payment come from the orders; `customers=False` leaves that join out.
     """
-    lines = load(spark, folder, "lineitem")
+    lines = load_lines(spark, folder)
     if customers:
         orders = load(spark, folder, "orders")
         lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
@@ -153,7 +155,7 @@ def _grouped(amount: Column) -> Column:
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as rows of a sales file, with faults of every kind."""
-    lines, orders = spread(load(spark, folder, "lineitem")), load(spark, folder, "orders")
+    lines, orders = load_lines(spark, folder), load(spark, folder, "orders")
     key, day = F.col("l_orderkey"), F.col("l_shipdate").cast("date")
     quantity = F.col("l_quantity").cast("int")
     number = quantity.cast("string")
