@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _AUDIT = "ingested_at timestamp, source_name string, batch_id string"
 _FILE = "raw_line string, file_name string, line_number bigint"
 _STAGED = (
@@ -104,6 +106,12 @@ TABLES = {
     " rules_failed bigint",
 }
 
+
+def split_columns(ddl: str) -> list[str]:
+    """The `name type` pairs of flat DDL; commas inside brackets belong to a type."""
+    return re.split(r",\s*(?![^(]*\))", ddl)
+
+
 LAYERS = ("raw", "staging", "dw", "mart", "quality")
 
 # Longest text the staging tables take.
