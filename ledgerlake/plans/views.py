@@ -29,6 +29,13 @@ def _again(name: str, kind: str = AMOUNT) -> Column:
     return F.sum(name).cast(kind).alias(name)
 
 
+def ignoring_case(products: DataFrame) -> DataFrame:
+    """Products whose categories group together whatever their case, as in a database with
+    a case-insensitive collation. Without it spellings stay apart.
+    """
+    return products.withColumn("category", F.collate("category", "UTF8_LCASE"))
+
+
 # ------------------------------------------------------------------ sales views
 
 
@@ -84,7 +91,11 @@ def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
         _totals(facts, "product_key")
         .join(current, "product_key")
         .groupBy(*group)
-        .agg(F.sum("orders").alias("orders"), F.sum("units_sold").alias("units_sold"), _again("revenue"))
+        .agg(
+            F.sum("orders").alias("orders"),
+            F.sum("units_sold").alias("units_sold"),
+            _again("revenue"),
+        )
     )
     ranked, _ = rank_all(sold, {"revenue_rank": cents(F.col("revenue"))})
     return ranked
@@ -248,7 +259,7 @@ def month_by_year(facts: DataFrame, calendar: DataFrame, years: list[int]) -> Da
         monthly_sales(facts, calendar)
         .groupBy("month_num", "month_name")
         .pivot("year", years)
-        .agg(F.sum("revenue").cast(AMOUNT).alias("revenue"), F.sum("profit").cast(AMOUNT).alias("profit"))
+        .agg(_again("revenue"), _again("profit"))
     )
 
 

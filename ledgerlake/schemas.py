@@ -112,6 +112,14 @@ def split_columns(ddl: str) -> list[str]:
     return re.split(r",\s*(?![^(]*\))", ddl)
 
 
+# Columns the tables show but do not store.
+COMPUTED = {
+    "dw.dim_product": {
+        "profit_margin": "CASE WHEN cost > 0 THEN try_divide(price - cost, price) * 100 END"
+    },
+    "dw.fact_sales": {"profit_amount": "total_amount - coalesce(cost_amount, 0)"},
+}
+
 LAYERS = ("raw", "staging", "dw", "mart", "quality")
 
 # Longest text the staging tables take.
