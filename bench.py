@@ -11,17 +11,23 @@ import os
 import statistics
 import sys
 import time
+from datetime import date, datetime
 
 import pyspark
+from pyspark.sql import functions as F
 
 from ledgerlake import session
 from ledgerlake.catalog import QUERIES
+from ledgerlake.plans import dimensions
+from ledgerlake.sources import tables
 
 HEADLINE = [
     "fact_sales",
     "staging_upsert",
     "scd2_product",
     "scd2_customer",
+    "scd2_1_percent",
+    "scd2_50_percent",
     "rule_results",
     "update_segments",
     "sales_daily",
@@ -43,9 +49,39 @@ HEADLINE = [
 ]
 
 
+def history_merge(share: int):
+    """The customer dimension merged with a staging where `share` per cent moved."""
+
+    def query(spark, folder):
+        people = (
+            tables.star_customers(spark, folder)
+            .withColumn("is_current", F.lit(True))
+            .withColumns({c: F.lit(None).cast("string") for c in TEXT})
+            .withColumn("registration_date", F.lit(None).cast("date"))
+        )
+        dim = (
+            people.withColumn("effective_from", F.lit(date(2000, 1, 1)))
+            .withColumn("effective_to", F.lit(date(9999, 12, 31)))
+            .withColumns({c: F.lit(datetime(2000, 1, 1)) for c in ("created_at", "updated_at")})
+        )
+        moved = F.col("customer_key") % 100 < share
+        staged = people.withColumn(
+            "city", F.when(moved, F.lit("Elsewhere")).otherwise(F.col("city"))
+        ).drop("customer_key", "is_current")
+        day, now = F.lit(date(2001, 1, 1)), F.lit(datetime(2001, 1, 1))
+        return dimensions.merge_customers(dim, staged, day, now)
+
+    return query
+
+
+TEXT = ("first_name", "last_name", "phone", "state")
+EXTRA = {"scd2_1_percent": history_merge(1), "scd2_50_percent": history_merge(50)}
+
+
 def run(spark, name: str, folder: str) -> float:
+    query = EXTRA.get(name) or QUERIES[name]
     start = time.perf_counter()
-    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+    query(spark, folder).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 

@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_own_dir: str | None = None
+
 
 def build(app: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -34,12 +36,12 @@ def build(app: str, master: str | None = None, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's `spark.checkpoint.dir`.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    Only a session that names none (a test on one machine) gets a folder of its own.
     """
+    global _own_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerlake-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = _own_dir = _own_dir or tempfile.mkdtemp(prefix="ledgerlake-")
     return configured.rstrip("/")
 
 
