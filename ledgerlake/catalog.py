@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +30,11 @@ def report_day() -> Column:
 
 
 def now() -> Column:
-    return F.lit(datetime(2001, 6, 30, 12, 0, 0))
+    return F.lit("2001-06-30 12:00:00").cast("timestamp")
 
 
 def earlier() -> Column:
-    return F.lit(datetime(2001, 1, 1))
+    return F.lit("2001-01-01 00:00:00").cast("timestamp")
 
 
 def batch() -> Column:
@@ -154,6 +154,23 @@ def flatten_products(spark: SparkSession, folder: str) -> DataFrame:
     return raw.flatten_products(given.api_products(spark, folder)).drop("raw_json")
 
 
+@query
+def flatten_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested user records flattened for the raw table and cleaned for staging."""
+    users = staging.clean_api_users(raw.flatten_users(given.api_users(spark, folder)))
+    return users.select(
+        "source_customer_id",
+        "source_system",
+        "email",
+        "first_name",
+        "last_name",
+        "full_name",
+        "phone",
+        "city",
+        "country",
+    )
+
+
 @query
 def flatten_carts(spark: SparkSession, folder: str) -> DataFrame:
     carts = raw.flatten_carts(given.api_carts(spark, folder))

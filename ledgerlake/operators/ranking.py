@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import materialize
 
-# A 64-bit value is cut into a signed top part and two parts of this many bits, so a
-# window never sees more than 2**21 rows, however many rows or ties there are.
+# A 64-bit value is cut into a signed top part of 22 bits and two parts of 21 bits, so a
+# window never sees more than 2**22 rows, however many rows or ties there are.
 DIGIT_BITS = 21
 
 # Rows that one task may sort.
@@ -31,7 +31,7 @@ def _offsets(counts: DataFrame, parts: list[str]) -> DataFrame:
         return level
     parent = counts.groupBy(*parts[:-1]).agg(F.sum("_n").alias("_n"))
     above = _offsets(parent, parts[:-1]).select(*parts[:-1], F.col("_off").alias("_above"))
-    # At most 2**21 rows meet one parent row, so this join cannot be skewed either.
+    # At most 2**21 rows meet one parent row, so this join cannot be skewed.
     summed = level.join(above, parts[:-1]).withColumn("_off", F.col("_off") + F.col("_above"))
     return summed.drop("_above")
 

@@ -281,6 +281,24 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def api_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as nested records of a JSON feed."""
+    return raw_customers(spark, folder).select(
+        F.substring("customer_id", 2, 18).alias("id"),
+        "email",
+        F.col("customer_id").alias("username"),
+        F.struct(F.col("first_name").alias("firstname"), F.col("last_name").alias("lastname")).alias(
+            "name"
+        ),
+        F.struct(
+            "city",
+            F.concat("city", F.lit(" Street")).alias("street"),
+            F.right("customer_id", F.lit(3)).alias("zipcode"),
+        ).alias("address"),
+        "phone",
+    )
+
+
 def api_carts(spark: SparkSession, folder: str) -> DataFrame:
     """Events as shopping carts of zero to three items, the number in `props` deciding."""
     k = F.from_json("props", "k INT")["k"]

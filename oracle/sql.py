@@ -786,6 +786,11 @@ def queries() -> dict[str, str]:
         "flatten_products": f"""WITH {RAW_PRODUCTS}
             SELECT id AS source_id, title, price, description, category, image AS image_url,
               rate AS rating_rate, n AS rating_count FROM api_products""",
+        "flatten_users": f"""WITH {RAW_CUSTOMERS}
+            SELECT CAST(k AS VARCHAR) AS source_customer_id, 'api' AS source_system,
+              {_EMAIL} AS email, {_text("first_name")} AS first_name,
+              {_text("last_name")} AS last_name, {_NAME} AS full_name, {_PHONE} AS phone, city,
+              CAST(NULL AS VARCHAR) AS country FROM raw_customers""",
         "flatten_carts": f"WITH {_CARTS}\n{_CART_JSON}",
         "json_ingest": f"WITH {_CARTS}\n{_CART_JSON}",
         "explode_carts": f"""WITH {_CARTS}
