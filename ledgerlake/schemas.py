@@ -120,8 +120,6 @@ COMPUTED = {
     "dw.fact_sales": {"profit_amount": "total_amount - coalesce(cost_amount, 0)"},
 }
 
-LAYERS = ("raw", "staging", "dw", "mart", "quality")
-
 # Longest text the staging tables take.
 TEXT_LIMITS = {
     "source_product_id": 50,
