@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import mixing
+from ledgerlake.llm import decontam, linedup, mixing, ngramjoin, quality
 
 QUERIES = {
     "op2_source_mix": mixing.op2_source_mix,
+    "op3_ngram_jaccard": ngramjoin.op3_ngram_jaccard,
+    "op4_qgram_decontamination": decontam.op4_qgram_decontamination,
+    "op5_line_windows": linedup.op5_line_windows,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
     "op2_source_mix": mixing.ORACLE,
+    "op3_ngram_jaccard": ngramjoin.ORACLE,
+    "op5_line_windows": linedup.ORACLE,
 }
