@@ -10,8 +10,7 @@ bands with enough of them are verified by banded alignment (equality, where ther
 which also gives the span.
 
 The benchmark is a stated query set. It goes through the tasks in blocks of at most
-`block_chars` characters, whatever its size: only one block at a time is sent along with the
-tasks, and the documents are read once per block and never shuffled.
+`block_chars` characters, whatever its size: the documents are never shuffled.
 
 Defined results: null and empty texts hold nothing; items of no more than q characters, or
 for which the lemma leaves no q-gram to share, are looked up whole, with no edits; empty and
@@ -24,9 +23,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm.common import named, read
 
@@ -177,7 +177,7 @@ class Items:
 
 
 def blocks(
-    spark: SparkSession, benchmark: DataFrame, id_col: str, text_col: str, chars: int
+    benchmark: DataFrame, id_col: str, text_col: str, chars: int
 ) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of at most so many characters (or one item), fetched one at a time."""
     block, size = [], 0
@@ -191,7 +191,28 @@ def blocks(
             block, size = [], 0
         block.append((row["id"], text))
         size += len(text)
-    yield block
+    if block:
+        yield block
+
+
+LEAKS = T.ArrayType(
+    T.StructType().add("item", T.LongType()).add("edits", T.IntegerType())
+    .add("start", T.IntegerType()).add("end", T.IntegerType())
+)
+
+
+def _found(text: Column, block: list[tuple[int, str]], q: int, percent: int) -> Column:
+    """The leaks of one block's items in each text."""
+    sent = SparkSession.getActiveSession().sparkContext.broadcast(block)
+
+    @F.pandas_udf(LEAKS)
+    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = Items(sent.value, q, percent)
+        names = ("item", "edits", "start", "end")
+        for texts in parts:
+            yield pd.Series([[dict(zip(names, leak)) for leak in items.leaks(t)] for t in texts])
+
+    return found(text)
 
 
 def leaks(
@@ -204,45 +225,34 @@ def leaks(
     q: int = GRAM,
     edit_percent: int = EDIT_PERCENT,
     block_chars: int = BLOCK_CHARS,
-    keep: bool = False,
 ) -> DataFrame:
     """`id` and `leaks` for every row: an array of (item, edits, start, end).
 
-    Spans count characters of the normal form of the text. With `keep` the columns of `docs`
-    come along, as a struct `doc`.
+    Spans count characters of the normal form of the text.
     """
-    spark = docs.sparkSession
-    kept = [F.struct(*[named(docs, c) for c in docs.columns]).alias("doc")] if keep else []
-    rows = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"), *kept)
-    rows = rows.withColumn("leaks", F.expr("array()").cast("array<struct<item:long,edits:int,start:int,end:int>>"))
-    for block in blocks(spark, benchmark, item_col, item_text_col, block_chars):
-        if block:
-            rows = _scanned(rows, block, q, edit_percent)
-    return rows.drop("text")
-
+    text = named(docs, text_col)
+    found = [
+        _found(text, block, q, edit_percent)
+        for block in blocks(benchmark, item_col, item_text_col, block_chars)
+    ]
+    all_found = F.concat(*found) if found else F.expr("array()").cast(LEAKS)
+    return docs.select(named(docs, id_col).alias("id"), all_found.alias("leaks"))
 
-def _scanned(rows: DataFrame, block: list[tuple[int, str]], q: int, percent: int) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(block)
-    kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(sent.value, q, percent)
-        names = ("item", "edits", "start", "end")
-        for batch in batches:
-            found = [
-                (old or []) + [dict(zip(names, leak)) for leak in items.leaks(text.as_py())]
-                for text, old in zip(batch["text"], batch["leaks"].to_pylist())
-            ]
-            at = batch.schema.get_field_index("leaks")
-            yield batch.set_column(at, pa.field("leaks", kind), pa.array(found, kind))
 
-    return rows.mapInArrow(run, rows.schema)
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    q: int = GRAM,
+    edit_percent: int = EDIT_PERCENT,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
     """The documents in which no benchmark item leaks, with their own columns."""
-    found = leaks(docs, benchmark, id_col, text_col, keep=True, **options).where(F.size("leaks") == 0)
-    return found.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    for block in blocks(benchmark, item_col, item_text_col, block_chars):
+        docs = docs.where(F.size(_found(named(docs, text_col), block, q, edit_percent)) == 0)
+    return docs
 
 
 def op4_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
