@@ -1,4 +1,7 @@
-"""What the operators share: reading tables, row keys, word patterns."""
+"""What the operators share: reading tables, row keys, word patterns.
+
+Tables may have any further columns. Only names that begin with `_ll_` are the operators' own.
+"""
 
 from __future__ import annotations
 

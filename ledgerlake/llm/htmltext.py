@@ -124,10 +124,12 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag == "p":
             self.flush()
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at].tag == tag:
+                if tag not in INLINE:
+                    self.flush()
                 del self.stack[at:]
                 return
             if tag in INLINE and self.stack[at].tag not in INLINE:

@@ -61,7 +61,7 @@ def without_lines(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
 
 
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document that has later places of windows: _ll_id, _ll_digest, starts.
+    """One row per document that has later places of windows: _ll_id, _ll_digest, _ll_starts.
 
     Windows are combined in the map tasks before they are shuffled, so a passage that many
     documents share is a few rows per task; the places meet the repeated windows in a join,
@@ -84,7 +84,7 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         places.join(repeated, "window")
         .where("place != first")
         .groupBy("place._ll_id", "place._ll_digest")
-        .agg(F.collect_set("place.line").alias("starts"))
+        .agg(F.collect_set("place.line").alias("_ll_starts"))
     )
 
 
@@ -102,7 +102,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found,
         left["_ll_doc_id"].eqNullSafe(found["_ll_id"]) & (left["_ll_doc_digest"] == found["_ll_digest"]),
         "left",
-    ).withColumn("_ll_cut", without_lines(named(left, text_col), "starts"))
+    ).withColumn("_ll_cut", without_lines(named(left, text_col), "_ll_starts"))
     removed = F.col("_ll_cut.removed")
     return both.select(
         *[F.col("_ll_cut.text").alias(c) if c == text_col else named(both, c) for c in docs.columns],

@@ -313,15 +313,20 @@ def one_of_each(
 ) -> DataFrame:
     """The documents, less all but the first of every class of similar ones."""
     classes = jaccard_classes(docs, id_col, text_col, words, percent)
-    kept = classes.where("first").groupBy("id", "digest").agg(F.count("*").alias("_ll_keep"))
+    kept = (
+        classes.where("first")
+        .groupBy(F.col("id").alias("_ll_kept_id"), F.col("digest").alias("_ll_kept_digest"))
+        .agg(F.count("*").alias("_ll_keep"))
+    )
     left = docs.withColumns(
         {"_ll_id": named(docs, id_col), "_ll_digest": text_digest(named(docs, text_col))}
     )
     both = left.join(
-        kept, left["_ll_id"].eqNullSafe(kept["id"]) & (left["_ll_digest"] == kept["digest"]), "inner"
+        kept,
+        left["_ll_id"].eqNullSafe(kept["_ll_kept_id"]) & (left["_ll_digest"] == kept["_ll_kept_digest"]),
     ).withColumn("_ll_turn", F.expr("row_number() OVER (PARTITION BY _ll_id, _ll_digest ORDER BY _ll_digest)"))
     both = both.where("_ll_turn <= _ll_keep")
-    return both.select(*[left[f"`{c}`"] for c in docs.columns])
+    return both.select(*[named(both, c) for c in docs.columns])
 
 
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
