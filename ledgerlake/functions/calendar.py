@@ -25,11 +25,22 @@ def week_of_year(day: Column) -> Column:
 
 def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY) -> DataFrame:
     """One row per day. Its size is fixed by the two dates, so Spark can plan on it."""
-    day = F.col("full_date")
-    month = F.month(day)
     days = spark.range((last - first).days + 1, numPartitions=1).select(
         F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date")
     )
+    return _described(days)
+
+
+def calendar_of(days: DataFrame, day: Column) -> DataFrame:
+    """One row per day from the first to the last one that `days` has."""
+    bounds = days.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    every = F.sequence("first", "last", F.expr("interval 1 day"))
+    return _described(bounds.where("first IS NOT NULL").select(F.explode(every).alias("full_date")))
+
+
+def _described(days: DataFrame) -> DataFrame:
+    day = F.col("full_date")
+    month = F.month(day)
     return days.select(
         date_key(day).alias("date_key"),
         day,

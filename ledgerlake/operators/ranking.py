@@ -5,16 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import materialize
-
 # A 64-bit value is cut into a signed top part of 22 bits and two parts of 21 bits, so a
 # window never sees more than 2**22 rows, however many rows or ties there are.
 DIGIT_BITS = 21
 
-# Rows that one task may sort.
-WINDOW_ROWS = 1_000_000
-
-
 def _before(parts: list[str], name: str) -> Column:
     """Rows with a larger last part under the same leading parts."""
     window = Window.orderBy(F.desc(parts[-1]))
@@ -38,39 +32,32 @@ def _offsets(counts: DataFrame, parts: list[str]) -> DataFrame:
 
 def _ranks(frame: DataFrame, value: Column, name: str) -> DataFrame:
     """Each distinct value with its rank: one more than the rows above it, which are
-    counted per value and summed digit by digit from the top.
+    counted per value and summed digit by digit from the top. NULL comes last.
     """
     parts = ["_hi", "_mid", "_lo"]
     mask = (1 << DIGIT_BITS) - 1
     counts = frame.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(
+    known = counts.where("_value IS NOT NULL").select(
         "_value",
         "_n",
         F.shiftright("_value", 2 * DIGIT_BITS).alias("_hi"),
         F.shiftright("_value", DIGIT_BITS).bitwiseAND(mask).alias("_mid"),
         F.col("_value").bitwiseAND(mask).alias("_lo"),
     )
-    return _offsets(counts, parts).select("_value", (F.col("_off") + 1).alias(name))
+    ranks = _offsets(known, parts).select("_value", (F.col("_off") + 1).alias(name))
+    above_null = known.agg((F.coalesce(F.sum("_n"), F.lit(0)) + 1).cast("bigint").alias(name))
+    return ranks.unionByName(above_null.select(F.lit(None).cast("bigint").alias("_value"), name))
 
 
-def rank_all(
-    frame: DataFrame, ranks: dict[str, Column], window_rows: int = WINDOW_ROWS
-) -> tuple[DataFrame, int]:
-    """Add RANK() OVER (ORDER BY value DESC) for each value, and count the rows.
+def rank_all(frame: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    """Add RANK() OVER (ORDER BY value DESC) for each value, which are longs.
 
-    Values are longs without NULL. The frame is written once, since ranking reads it more
-    than once, and is counted from the files. Up to `window_rows` rows one task sorts them;
-    beyond that ranks come from counts per distinct value, and ties of any number meet
-    their value in a join that splits them.
+    Ranks come from counts per distinct value, so no task sorts all rows, and ties of any
+    number meet their value in a join that splits them.
     """
-    pinned = materialize(frame, "ranked")
-    size = pinned.count()
-    if size <= window_rows:
-        windows = {name: Window.orderBy(value.desc()) for name, value in ranks.items()}
-        columns = {name: F.rank().over(w).cast("long") for name, w in windows.items()}
-        return pinned.withColumns(columns), size
-    result = pinned
+    result = frame
     for name, value in ranks.items():
-        keyed = result.withColumn("_value", value)
-        result = keyed.join(_ranks(pinned, value, name), "_value").drop("_value")
-    return result, size
+        ranked = _ranks(frame, value, name)
+        keyed = result.withColumn("_key", value)
+        result = keyed.join(ranked, keyed["_key"].eqNullSafe(ranked["_value"])).drop("_key", "_value")
+    return result

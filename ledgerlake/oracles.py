@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerlake.functions.cleaning import COUNTRY_REGIONS, STATE_REGIONS, WHITESPACE
-from ledgerlake.sources.tables import COUNTRIES, STATES
-
-_SPACES = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
+# Code points of white space.
+_SPACES = "||".join(
+    f"chr({code})"
+    for code in [
+        9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197,
+        8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288,
+    ]
+)
 
 
 def _mean(total: str, n: str, digits: int) -> str:
@@ -211,10 +215,6 @@ clean_products AS (
   FROM api_products)"""
 
 
-def _list(values) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
 RAW_CUSTOMERS = f"""raw_customers AS (
   SELECT c_custkey AS k, 'C' || c_custkey AS customer_id,
     CASE WHEN c_custkey % 17 <> 0 THEN ' ' || split_part(c_name, '#', 1) END AS first_name,
@@ -224,8 +224,10 @@ RAW_CUSTOMERS = f"""raw_customers AS (
     CASE WHEN c_custkey % 31 = 0 THEN 'none' WHEN c_custkey % 37 = 0 THEN 'ext '
       ELSE '+1 (555) ' || split_part(c_name, '#', 2) || ' ext.' END AS phone,
     'City ' || c_nationkey AS city,
-    ({_list(STATES)})[CAST(c_custkey % {len(STATES)} AS INTEGER) + 1] AS state,
-    ({_list(COUNTRIES)})[c_nationkey + 1] AS country,
+    (['NY', 'fl', 'IL', 'TX', 'CA', 'KY', '', 'Hi'])[CAST(c_custkey % 8 AS INTEGER) + 1] AS state,
+    (['USA', 'US', 'united states', 'Canada', 'Mexico', 'UK', 'Germany', 'France', 'Italy', 'Spain',
+      'Netherlands', 'China', 'Japan', 'Australia', 'India', 'Singapore', 'Brazil', 'Argentina',
+      'Chile', 'Colombia', 'Norway', 'Kenya', '', 'United Kingdom', 'usa'])[c_nationkey + 1] AS country,
     DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS day,
     CASE WHEN c_custkey % 5 = 0 THEN strftime(day, '%d/%m/%Y')
       WHEN c_custkey % 5 = 1 THEN strftime(day, '%m/%d/%Y')
@@ -234,18 +236,31 @@ RAW_CUSTOMERS = f"""raw_customers AS (
 
 
 def _region(country: str, state: str) -> str:
-    def cases(value: str, groups) -> str:
-        return " ".join(
-            f"WHEN lower({value}) IN ({', '.join(repr(m) for m in members)}) THEN '{name}'"
-            for name, members in groups.items()
-        )
-
-    return (
-        f"CASE WHEN {country} IS NULL OR {country} = '' THEN NULL"
-        f" WHEN lower({country}) IN ('usa', 'us', 'united states') THEN"
-        f" CASE {cases(state, STATE_REGIONS)} ELSE 'USA' END"
-        f" {cases(country, COUNTRY_REGIONS)} ELSE 'International' END"
-    )
+    """States and countries of the regions."""
+    return f"""CASE WHEN {country} IS NULL OR {country} = '' THEN NULL
+      WHEN lower({country}) IN ('usa', 'us', 'united states') THEN CASE lower({state})
+        WHEN 'ny' THEN 'Northeast' WHEN 'nj' THEN 'Northeast' WHEN 'pa' THEN 'Northeast'
+        WHEN 'ct' THEN 'Northeast' WHEN 'ma' THEN 'Northeast' WHEN 'ri' THEN 'Northeast'
+        WHEN 'vt' THEN 'Northeast' WHEN 'nh' THEN 'Northeast' WHEN 'me' THEN 'Northeast'
+        WHEN 'fl' THEN 'Southeast' WHEN 'ga' THEN 'Southeast' WHEN 'nc' THEN 'Southeast'
+        WHEN 'sc' THEN 'Southeast' WHEN 'va' THEN 'Southeast' WHEN 'wv' THEN 'Southeast'
+        WHEN 'md' THEN 'Southeast' WHEN 'de' THEN 'Southeast' WHEN 'dc' THEN 'Southeast'
+        WHEN 'il' THEN 'Midwest' WHEN 'oh' THEN 'Midwest' WHEN 'mi' THEN 'Midwest'
+        WHEN 'in' THEN 'Midwest' WHEN 'wi' THEN 'Midwest' WHEN 'mn' THEN 'Midwest'
+        WHEN 'ia' THEN 'Midwest' WHEN 'mo' THEN 'Midwest' WHEN 'nd' THEN 'Midwest'
+        WHEN 'sd' THEN 'Midwest' WHEN 'ne' THEN 'Midwest' WHEN 'ks' THEN 'Midwest'
+        WHEN 'tx' THEN 'Southwest' WHEN 'ok' THEN 'Southwest' WHEN 'nm' THEN 'Southwest'
+        WHEN 'az' THEN 'Southwest'
+        WHEN 'ca' THEN 'West' WHEN 'wa' THEN 'West' WHEN 'or' THEN 'West' WHEN 'nv' THEN 'West'
+        WHEN 'ut' THEN 'West' WHEN 'co' THEN 'West' WHEN 'wy' THEN 'West' WHEN 'mt' THEN 'West'
+        WHEN 'id' THEN 'West' WHEN 'ak' THEN 'West' WHEN 'hi' THEN 'West' ELSE 'USA' END
+      WHEN lower({country}) IN ('canada', 'mexico') THEN 'North America'
+      WHEN lower({country}) IN ('uk', 'united kingdom', 'germany', 'france', 'italy', 'spain',
+        'netherlands') THEN 'Europe'
+      WHEN lower({country}) IN ('china', 'japan', 'australia', 'india', 'singapore')
+        THEN 'Asia Pacific'
+      WHEN lower({country}) IN ('brazil', 'argentina', 'chile', 'colombia') THEN 'Latin America'
+      ELSE 'International' END"""
 
 
 _EMAIL = f"""CASE WHEN contains({_strip("email")}, '@') THEN lower({_strip("email")}) END"""
@@ -692,10 +707,15 @@ LEFT JOIN checked c ON c.day = d.day"""
 
 def _rule(number: int, name: str, table: str, broken: str) -> str:
     failed = f"count(*) FILTER ({broken})"
+    key = {"checked_products": "source_product_id", "checked_customers": "source_customer_id"}.get(
+        table, "source_sale_id"
+    )
     return (
         f"SELECT {number} AS rule_id, '{name}' AS rule_name, count(*) AS records_checked,"
         f" count(*) - {failed} AS records_passed, {failed} AS records_failed,"
-        f" {_percent(f'(count(*) - {failed})', 'count(*)')} AS pass_rate FROM {table}"
+        f" {_percent(f'(count(*) - {failed})', 'count(*)')} AS pass_rate,"
+        f" CAST(to_json(coalesce(list_sort(list(DISTINCT {key}) FILTER ({broken} AND {key} IS NOT NULL))"
+        f"[1:5], [])) AS VARCHAR) AS sample_failures FROM {table}"
     )
 
 
@@ -712,6 +732,18 @@ _RULES = f"WITH {_PRODUCTS},\n{_CUSTOMERS},\n{_SALES}\n" + "\nUNION ALL\n".join(
     ]
 )
 
+# One sale per order line, whatever the table repeats.
+_SALE_LINES = """WITH lines AS (
+  SELECT l_orderkey || '-' || l_linenumber AS sale_id, l_linenumber AS line,
+    max(l_partkey) AS part, CAST(max(l_quantity) AS INTEGER) AS quantity
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+
+# Events as carts of one item, a file per type; a later event of a cart wins.
+_CARTS_OF_EVENTS = """streamed AS (
+  SELECT user_id || '-0' AS source_sale_id, CAST(max(event_id) % 7 + 1 AS INTEGER) AS quantity,
+    DATE '2001-01-01' AS sale_date, 3::BIGINT AS n_batches
+  FROM events GROUP BY user_id)"""
+
 _REASONS = "[" + ", ".join(
     [
         "CASE WHEN quantity IS NULL THEN 'quantity cannot be null or empty' WHEN quantity <= 0 THEN 'quantity must be positive' END",
@@ -817,9 +849,31 @@ def queries() -> dict[str, str]:
             SELECT source_sale_id, source_system, errors = '' AS is_valid,
               errors AS validation_errors FROM sales""",
         "rejection_counts": f"""WITH {_SALES},
-            reasons AS (SELECT source_system, unnest({_REASONS}) AS rejection_reason FROM sales)
-            SELECT source_system, rejection_reason, count(*) AS rejection_count FROM reasons
-            WHERE rejection_reason IS NOT NULL GROUP BY ALL""",
+            reasons AS (SELECT source_system, unnest({_REASONS}) AS rejection_reason, source_sale_id FROM sales)
+            SELECT source_system, rejection_reason, count(*) AS rejection_count,
+              CAST(to_json(coalesce(list_sort(list(DISTINCT source_sale_id)
+                FILTER (source_sale_id IS NOT NULL))[1:5], [])) AS VARCHAR) AS sample_values
+            FROM reasons WHERE rejection_reason IS NOT NULL GROUP BY source_system, rejection_reason""",
+        "rejected_records": f"""WITH {_SALES}
+            SELECT 'csv_sales' AS source_name, source_sale_id AS record_key,
+              array_to_string([x FOR x IN {_REASONS} IF x IS NOT NULL], '; ') AS rejection_reasons,
+              quantity, sale_date FROM sales WHERE errors <> ''""",
+        "fact_out_of_range": f"""{_SALE_LINES},
+            costed AS (SELECT *, quantity * 1000 * CAST(CASE WHEN p_size % 5 = 0 THEN 99999999.99
+              ELSE 1 + p_size END AS DECIMAL(10,2)) AS cost FROM lines JOIN part ON p_partkey = part)
+            SELECT CASE WHEN cost >= 10000000000 THEN 'cost out of range' END AS skip_reason,
+              count(*) AS sales, CAST(sum(CASE WHEN cost < 10000000000 THEN cost END) AS DECIMAL(28,2))
+              AS cost_amount
+            FROM costed GROUP BY 1""",
+        "fact_second_load": f"""{_SALE_LINES}
+            SELECT sale_id,
+              part + CASE WHEN line IN (1, 3) AND p_size % 3 = 0 THEN 1000000000 ELSE 0 END AS product_key,
+              quantity + CASE WHEN line = 3 THEN 1 ELSE 0 END AS quantity,
+              CAST((1 + p_size + CASE WHEN line IN (1, 3) AND p_size % 3 = 0 THEN 1 ELSE 0 END)
+                * (quantity + CASE WHEN line = 3 THEN 1 ELSE 0 END) AS DECIMAL(12,2)) AS cost_amount
+            FROM lines JOIN part ON p_partkey = part""",
+        "stream_ingest": f"""WITH {_CARTS_OF_EVENTS}
+            SELECT source_sale_id, 'api' AS source_system, quantity, sale_date, n_batches FROM streamed""",
         "staging_products": f"WITH {_STAGED_PRODUCTS} SELECT * FROM staged_products",
         "load_stats": f"""WITH {_STAGED_PRODUCTS}
             SELECT action, count(*) AS records FROM staged_products GROUP BY action""",

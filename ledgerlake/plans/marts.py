@@ -58,7 +58,7 @@ def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
         F.col("_total").alias("total_revenue"),
         F.col("_cost").alias("total_cost"),
         F.col("_profit").alias("total_profit"),
-        ratio(F.col("_total"), F.col("_lines"), "decimal(10,2)").alias("avg_order_value"),
+        ratio(F.col("_total"), F.col("_lines"), AMOUNT).alias("avg_order_value"),
         F.col("_customers").alias("unique_customers"),
         F.col("_products").alias("unique_products"),
     )
@@ -93,21 +93,20 @@ def product_performance(
         F.col("_quantity").alias("total_quantity_sold"),
         F.col("_total").alias("total_revenue"),
         F.col("_profit").alias("total_profit"),
-        ratio(F.col("_quantity").cast("decimal(20,2)"), F.col("_lines"), "decimal(8,2)").alias(
+        ratio(F.col("_quantity").cast("decimal(20,2)"), F.col("_lines"), AMOUNT).alias(
             "avg_quantity_per_order"
         ),
         F.col("_first").alias("first_sale_date"),
         F.col("_last").alias("last_sale_date"),
         F.datediff(as_of, "_last").alias("days_since_last_sale"),
     )
-    ranked, _ = rank_all(
+    return rank_all(
         performance,
         {
             "revenue_rank": cents(F.col("total_revenue")),
             "quantity_rank": F.col("total_quantity_sold"),
         },
     )
-    return ranked
 
 
 def customer_summary(
@@ -127,7 +126,7 @@ def customer_summary(
         F.col("_orders").alias("total_orders"),
         F.col("_quantity").alias("total_quantity"),
         F.col("_total").alias("total_spent"),
-        ratio(F.col("_total"), F.col("_lines"), "decimal(10,2)").alias("avg_order_value"),
+        ratio(F.col("_total"), F.col("_lines"), AMOUNT).alias("avg_order_value"),
         F.col("_first").alias("first_purchase_date"),
         F.col("_last").alias("last_purchase_date"),
         F.datediff(as_of, "_last").alias("days_since_last_purchase"),
@@ -165,7 +164,7 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
     )
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
     totals = sums.alias("s").join(counts.alias("c"), same).select("s.*", "_orders", "_customers")
-    unknown = F.lit(None).cast("decimal(10,2)")
+    unknown = F.lit(None).cast(AMOUNT)
     return totals.select(
         *group,
         F.col("_products").alias("product_count"),
@@ -173,7 +172,7 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
         F.col("_quantity").alias("total_quantity"),
         F.col("_total").alias("total_revenue"),
         F.col("_profit").alias("total_profit"),
-        ratio(F.col("_prices"), F.col("_lines"), "decimal(10,2)").alias("avg_product_price"),
+        ratio(F.col("_prices"), F.col("_lines"), AMOUNT).alias("avg_product_price"),
         F.col("_customers").alias("unique_customers"),
         unknown.alias("revenue_mom_change"),
         unknown.alias("revenue_yoy_change"),
@@ -197,7 +196,7 @@ def with_growth(categories: DataFrame) -> DataFrame:
             F.col("_month") == F.col("_then")
         )
         gain = (F.col("total_revenue") - F.col("_base")) * 100
-        change = F.try_divide(gain, F.col("_base")).cast("decimal(10,2)")
+        change = F.try_divide(gain, F.col("_base")).try_cast(AMOUNT)
         result = (
             result.join(earlier, same, "left")
             .withColumn(name, change)
@@ -210,7 +209,8 @@ def with_rfm(customers: DataFrame) -> DataFrame:
     """Fill the score the mart declares but leaves empty: quintiles of recency, frequency
     and spend, 5 best, by rank, so equal customers score the same.
     """
-    scored, size = rank_all(
+    size = customers.agg(F.count(F.lit(1))).scalar()
+    scored = rank_all(
         customers,
         {
             "_recency": -F.col("days_since_last_purchase").cast("bigint"),

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
-from datetime import datetime
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import validation as v
 from ledgerlake.functions.measures import percentage, seconds_between
-from ledgerlake.operators.samples import sample_values
+from ledgerlake.operators.samples import samples
 from ledgerlake.plans.staging import KEYS
 from ledgerlake.schemas import TABLES
 
@@ -47,103 +46,6 @@ def with_run_measures(runs: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
-class SourceRun:
-    """Counts and times of one source in one run."""
-
-    source_name: str
-    source_type: str
-    records_received: int = 0
-    records_stored: int = 0
-    records_rejected: int = 0
-    extraction_started_at: datetime | None = None
-    extraction_completed_at: datetime | None = None
-    load_started_at: datetime | None = None
-    load_completed_at: datetime | None = None
-    error_message: str | None = None
-    rejections: dict[str, int] = field(default_factory=dict)
-
-
-class RunTracker:
-    """Collects one `SourceRun` per source; unknown sources are ignored."""
-
-    def __init__(self, spark: SparkSession, batch_id: str, pipeline_name: str = "ingestion"):
-        self.spark, self.batch_id, self.pipeline_name = spark, batch_id, pipeline_name
-        self.runs: dict[str, SourceRun] = {}
-
-    def _set(self, source: str, **values) -> None:
-        if source in self.runs:
-            for name, value in values.items():
-                setattr(self.runs[source], name, value)
-
-    def start_extraction(self, source: str, source_type: str) -> None:
-        self.runs[source] = SourceRun(source, source_type, extraction_started_at=datetime.now())
-
-    def complete_extraction(self, source: str, received: int) -> None:
-        self._set(source, records_received=received, extraction_completed_at=datetime.now())
-
-    def start_load(self, source: str) -> None:
-        self._set(source, load_started_at=datetime.now())
-
-    def complete_load(
-        self, source: str, stored: int, rejected: int = 0, rejections: dict | None = None
-    ) -> None:
-        self._set(
-            source,
-            records_stored=stored,
-            records_rejected=rejected,
-            rejections=rejections or {},
-            load_completed_at=datetime.now(),
-        )
-
-    def record_error(self, source: str, message: str) -> None:
-        self._set(source, error_message=message)
-
-    def log(self, created_at: Column) -> DataFrame:
-        """One `quality.ingestion_log` row per source."""
-        names = [
-            "source_name",
-            "source_type",
-            "records_received",
-            "records_stored",
-            "records_rejected",
-            "extraction_started_at",
-            "extraction_completed_at",
-            "load_started_at",
-            "load_completed_at",
-            "error_message",
-        ]
-        rows = [tuple(getattr(run, n) for n in names) for run in self.runs.values()]
-        schema = (
-            "source_name string, source_type string, records_received bigint,"
-            " records_stored bigint, records_rejected bigint, extraction_started_at timestamp,"
-            " extraction_completed_at timestamp, load_started_at timestamp,"
-            " load_completed_at timestamp, error_message string"
-        )
-        frame = self.spark.createDataFrame(rows, schema).select(
-            F.lit(self.batch_id).alias("batch_id"),
-            F.lit(self.pipeline_name).alias("pipeline_name"),
-            "*",
-            F.lit(None).cast("bigint").alias("bytes_received"),
-            created_at.alias("created_at"),
-        )
-        return with_run_measures(frame)
-
-    def rejections(self, created_at: Column) -> DataFrame:
-        """One `quality.rejection_details` row per source and reason."""
-        rows = [
-            (self.batch_id, run.source_name, reason, count)
-            for run in self.runs.values()
-            for reason, count in run.rejections.items()
-        ]
-        schema = (
-            "batch_id string, source_name string, rejection_reason string, rejection_count bigint"
-        )
-        return self.spark.createDataFrame(rows, schema).select(
-            "*", F.lit(None).cast("string").alias("sample_values"), created_at.alias("created_at")
-        )
-
-
 def run_summary(log: DataFrame) -> DataFrame:
     """Counts and score per source, and of all sources together (source_name NULL)."""
     c = F.col
@@ -171,6 +73,7 @@ class Rule:
     column: str
     kind: str
     severity: str
+    expression: str
 
     def broken(self, as_of: Column) -> Column:
         """Non-NULL where a row of the table breaks the rule."""
@@ -195,64 +98,74 @@ class Rule:
 _P, _C, _S = "staging.products", "staging.customers", "staging.sales"
 RULES = [
     Rule(1, "product_price_positive", "Product price must be greater than 0", _P, "price",
-         "range", "error"),
+         "range", "error", "price > 0"),
     Rule(2, "product_title_not_null", "Product title cannot be null", _P, "title",
-         "not_null", "error"),
+         "not_null", "error", "title IS NOT NULL"),
     Rule(3, "customer_email_format", "Customer email must be valid format", _C, "email",
-         "format", "warning"),
+         "format", "warning", "email LIKE '%_@_%.__%'"),
     Rule(4, "sale_quantity_positive", "Sale quantity must be greater than 0", _S, "quantity",
-         "range", "error"),
+         "range", "error", "quantity > 0"),
     Rule(5, "sale_date_not_future", "Sale date cannot be in the future", _S, "sale_date",
-         "range", "error"),
+         "range", "error", "sale_date <= current_date()"),
     Rule(6, "sale_total_matches", "Total amount should equal quantity * unit_price", _S,
-         "total_amount", "expression", "warning"),
+         "total_amount", "expression", "warning", "abs(total_amount - quantity * unit_price) <= 0.01 * quantity * unit_price"),
 ]
 
 
-def rule_catalogue(spark: SparkSession) -> DataFrame:
+def rule_catalogue(spark: SparkSession, now: Column) -> DataFrame:
     rows = [
-        (r.rule_id, r.name, r.description, r.table, r.column, r.kind, r.severity, True)
+        (r.rule_id, r.name, r.description, r.table, r.column, r.kind, r.expression, r.severity, True)
         for r in RULES
     ]
-    return spark.createDataFrame(rows, TABLES["quality.data_quality_rules"])
+    declared = TABLES["quality.data_quality_rules"].partition(", created_at")[0]
+    return spark.createDataFrame(rows, declared).withColumns({"created_at": now, "updated_at": now})
 
 
 def rule_results(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
     """Rows checked, passed and failed per rule, with a bounded sample of failing keys.
 
-    All rules of a table are checked in one pass over it.
+    All rules of a table are checked in one pass over it. Tables are clean columns, of valid
+    and invalid records alike; the errors of staging are not needed.
     """
 
     def results(table: str, rows: DataFrame) -> DataFrame:
         rules = [rule for rule in RULES if rule.table == table]
-        key = F.col(KEYS[table.split(".")[1]][0])
-        # Rules are evaluated once per row, and counted from the flags.
-        flags = rows.select(
-            key.alias("_key"),
-            *[r.broken(as_of).isNotNull().alias(f"_broken_{r.rule_id}") for r in rules],
-        )
-        counts = [F.count(F.lit(1)).alias("_checked")]
-        for r in rules:
-            failed = F.col(f"_broken_{r.rule_id}")
-            counts += [
-                F.count_if(failed).alias(f"_failed_{r.rule_id}"),
-                sample_values(F.col("_key"), failed).alias(f"_sample_{r.rule_id}"),
-            ]
-        lines = [
+        key = F.col(KEYS[table.split(".")[1]][0]).cast("string")
+        # Every rule is evaluated once per row; a row becomes one entry per rule.
+        verdicts = [
             F.struct(
                 F.lit(r.rule_id).alias("rule_id"),
                 F.lit(r.name).alias("rule_name"),
-                F.col("_checked").alias("records_checked"),
-                (F.col("_checked") - F.col(f"_failed_{r.rule_id}")).alias("records_passed"),
-                F.col(f"_failed_{r.rule_id}").alias("records_failed"),
-                F.col(f"_sample_{r.rule_id}").alias("sample_failures"),
+                F.when(r.broken(as_of).isNotNull(), F.lit(True)).otherwise(F.lit(False)).alias("failed"),
             )
             for r in rules
         ]
-        return flags.agg(*counts).select(F.inline(F.array(*lines)))
+        return rows.select(key.alias("_key"), F.inline(F.array(*verdicts)))
+
+    def of_rules(table: str) -> DataFrame:
+        rows = [(rule.rule_id, rule.name) for rule in RULES if rule.table == table]
+        spark = tables[table].sparkSession
+        return spark.createDataFrame(rows, "rule_id int, rule_name string")
 
-    parts = [results(name, rows) for name, rows in tables.items()]
-    together = reduce(DataFrame.unionByName, parts)
+    checked = reduce(DataFrame.unionByName, [results(name, rows) for name, rows in tables.items()])
+    counts = checked.groupBy("rule_id").agg(
+        F.count(F.lit(1)).alias("records_checked"), F.count_if("failed").alias("records_failed")
+    )
+    failing = samples(checked.where("failed"), ["rule_id"], F.col("_key"), "sample_failures")
+    every = reduce(DataFrame.unionByName, [of_rules(name) for name in tables])
+    none = F.lit(0).cast("bigint")
+    together = (
+        every.join(counts, "rule_id", "left")
+        .join(failing, "rule_id", "left")
+        .select(
+            "rule_id",
+            "rule_name",
+            F.coalesce("records_checked", none).alias("records_checked"),
+            F.coalesce(F.col("records_checked") - F.col("records_failed"), none).alias("records_passed"),
+            F.coalesce("records_failed", none).alias("records_failed"),
+            F.coalesce("sample_failures", F.lit("[]")).alias("sample_failures"),
+        )
+    )
     return together.withColumn(
         "pass_rate", percentage(F.col("records_passed"), F.col("records_checked"))
     )

@@ -19,7 +19,7 @@ from ledgerlake.functions.cleaning import (
     full_name,
 )
 from ledgerlake.operators.once import evaluate_once
-from ledgerlake.operators.samples import sample_values
+from ledgerlake.operators.samples import samples
 from ledgerlake.operators.upsert import last_per_key, upsert
 from ledgerlake.schemas import CART_ITEMS, TEXT_LIMITS
 
@@ -43,8 +43,9 @@ STORED = {
 PLACE = "_place"
 
 
-def line_order() -> Column:
-    return F.array(F.col("line_number"))
+def arrival() -> Column:
+    """Later batches come after earlier ones, then files by name, then records by number."""
+    return F.struct("ingested_at", "batch_id", "file_name", "line_number")
 
 
 def _none(kind: str = "string") -> Column:
@@ -261,12 +262,25 @@ def stage(current: DataFrame, checked: Checked, now: Column, batch_id: Column) -
 
 def reject_reasons(checked: Checked) -> DataFrame:
     """Rejected records per source system and reason, with a bounded sample of keys."""
-    key = KEYS[checked.entity][0]
-    return (
-        checked.rejects.select("source_system", key, F.explode("errors.reason").alias("reason"))
-        .groupBy("source_system", F.col("reason").alias("rejection_reason"))
-        .agg(
-            F.count(F.lit(1)).alias("rejection_count"),
-            sample_values(F.col(key)).alias("sample_values"),
-        )
+    key, by = KEYS[checked.entity][0], ["source_system", "rejection_reason"]
+    reasons = checked.rejects.select(
+        "source_system", key, F.explode("errors.reason").alias("rejection_reason")
+    )
+    counts = reasons.groupBy(*by).agg(F.count(F.lit(1)).alias("rejection_count"))
+    sampled = samples(reasons, by, F.col(key), "sample_values")
+    return counts.join(sampled, by, "left").withColumn(
+        "sample_values", F.coalesce("sample_values", F.lit("[]"))
+    )
+
+
+def rejected_records(checked: Checked, now: Column, batch_id: Column) -> DataFrame:
+    """The refused records as `quality.rejected_records`, whole, with their reasons."""
+    values = [c for c in checked.records.columns if c not in ("errors", PLACE)]
+    return checked.rejects.select(
+        batch_id.alias("batch_id"),
+        F.concat("source_system", F.lit(f"_{checked.entity}")).alias("source_name"),
+        F.col(KEYS[checked.entity][0]).alias("record_key"),
+        F.array_join("errors.reason", "; ").alias("rejection_reasons"),
+        F.to_json(F.struct(*values)).alias("record"),
+        now.alias("created_at"),
     )

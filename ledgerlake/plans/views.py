@@ -97,8 +97,7 @@ def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
             _again("revenue"),
         )
     )
-    ranked, _ = rank_all(sold, {"revenue_rank": cents(F.col("revenue"))})
-    return ranked
+    return rank_all(sold, {"revenue_rank": cents(F.col("revenue"))})
 
 
 def _per_customer(facts: DataFrame, customers: DataFrame, *attributes: str) -> DataFrame:
@@ -253,8 +252,10 @@ def segment_counts(facts: DataFrame, customers: DataFrame) -> DataFrame:
     return customer_segments(facts, customers).select("customer_segment", "customer_count")
 
 
-def month_by_year(facts: DataFrame, calendar: DataFrame, years: list[int]) -> DataFrame:
-    """Revenue and profit per month name, one pair of columns per year."""
+def month_by_year(facts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Revenue and profit per month name, one pair of columns per year of the calendar."""
+    # One row per year.
+    years = [row[0] for row in calendar.select("year").distinct().orderBy("year").collect()]
     return (
         monthly_sales(facts, calendar)
         .groupBy("month_num", "month_name")

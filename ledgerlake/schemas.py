@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 
 _AUDIT = "ingested_at timestamp, source_name string, batch_id string"
-_FILE = "raw_line string, file_name string, line_number bigint"
+_PLACE = "file_name string, line_number bigint"
+_FILE = f"raw_line string, {_PLACE}"
 _STAGED = (
     "is_valid boolean, validation_errors string, created_at timestamp, updated_at timestamp,"
     " batch_id string"
 )
+_STAMPS = "created_at timestamp, updated_at timestamp"
 _VERSION = (
     "effective_from date, effective_to date, is_current boolean,"
     " created_at timestamp, updated_at timestamp"
@@ -20,12 +22,12 @@ _VERSION = (
 TABLES = {
     "raw.api_products": "source_id string, title string, price string, description string,"
     " category string, image_url string, rating_rate string, rating_count string,"
-    f" raw_json string, {_AUDIT}",
+    f" raw_json string, {_PLACE}, {_AUDIT}",
     "raw.api_users": "source_id string, email string, username string, firstname string,"
     " lastname string, city string, street string, zipcode string, phone string,"
-    f" raw_json string, {_AUDIT}",
+    f" raw_json string, {_PLACE}, {_AUDIT}",
     "raw.api_carts": "source_id string, user_id string, cart_date string,"
-    f" products_json string, raw_json string, {_AUDIT}",
+    f" products_json string, raw_json string, {_PLACE}, {_AUDIT}",
     "raw.csv_products": "product_id string, product_name string, category string, price string,"
     f" cost string, stock_quantity string, supplier string, {_FILE}, {_AUDIT}",
     "raw.csv_customers": "customer_id string, first_name string, last_name string, email string,"
@@ -63,22 +65,22 @@ TABLES = {
     "mart.sales_daily": "date_key int, full_date date, year int, month_num int,"
     " month_name string, day_name string, is_weekend boolean, total_orders bigint,"
     " total_quantity bigint, total_revenue decimal(22,2), total_cost decimal(22,2),"
-    " total_profit decimal(22,2), avg_order_value decimal(10,2), unique_customers bigint,"
-    " unique_products bigint",
+    " total_profit decimal(22,2), avg_order_value decimal(22,2), unique_customers bigint,"
+    f" unique_products bigint, {_STAMPS}",
     "mart.product_performance": "product_key bigint, product_id string, title string,"
     " category string, price decimal(10,2), total_orders bigint, total_quantity_sold bigint,"
     " total_revenue decimal(22,2), total_profit decimal(22,2),"
-    " avg_quantity_per_order decimal(8,2), first_sale_date date, last_sale_date date,"
-    " days_since_last_sale int, revenue_rank bigint, quantity_rank bigint",
+    " avg_quantity_per_order decimal(22,2), first_sale_date date, last_sale_date date,"
+    f" days_since_last_sale int, revenue_rank bigint, quantity_rank bigint, {_STAMPS}",
     "mart.customer_summary": "customer_key bigint, customer_id string, full_name string,"
     " email string, city string, country string, total_orders bigint, total_quantity bigint,"
-    " total_spent decimal(22,2), avg_order_value decimal(10,2), first_purchase_date date,"
+    " total_spent decimal(22,2), avg_order_value decimal(22,2), first_purchase_date date,"
     " last_purchase_date date, days_since_last_purchase int, customer_tenure_days int,"
-    " customer_segment string, rfm_score string",
+    f" customer_segment string, rfm_score string, {_STAMPS}",
     "mart.category_analysis": "category string, year int, month_num int, product_count bigint,"
     " total_orders bigint, total_quantity bigint, total_revenue decimal(22,2),"
-    " total_profit decimal(22,2), avg_product_price decimal(10,2), unique_customers bigint,"
-    " revenue_mom_change decimal(10,2), revenue_yoy_change decimal(10,2)",
+    " total_profit decimal(22,2), avg_product_price decimal(22,2), unique_customers bigint,"
+    f" revenue_mom_change decimal(22,2), revenue_yoy_change decimal(22,2), {_STAMPS}",
     "quality.ingestion_log": "batch_id string, pipeline_name string, source_name string,"
     " source_type string, records_received bigint, bytes_received bigint, records_stored bigint,"
     " records_rejected bigint, quality_score decimal(5,2), extraction_started_at timestamp,"
@@ -93,8 +95,8 @@ TABLES = {
     " completed_at timestamp, duration_seconds bigint, status string, error_message string,"
     " created_at timestamp",
     "quality.data_quality_rules": "rule_id int, rule_name string, rule_description string,"
-    " target_table string, target_column string, rule_type string, severity string,"
-    " is_active boolean",
+    " target_table string, target_column string, rule_type string, rule_expression string,"
+    f" severity string, is_active boolean, {_STAMPS}",
     "quality.rule_execution_results": "batch_id string, rule_id int, records_checked bigint,"
     " records_passed bigint, records_failed bigint, pass_rate decimal(5,2),"
     " sample_failures string, executed_at timestamp",
@@ -103,7 +105,25 @@ TABLES = {
     " total_records_stored bigint, total_records_rejected bigint,"
     " overall_quality_score decimal(5,2), total_transforms_run bigint,"
     " successful_transforms bigint, total_rules_executed bigint, rules_passed bigint,"
-    " rules_failed bigint",
+    f" rules_failed bigint, {_STAMPS}",
+    # Ours: what was refused, which batches are staged, and which sales wait for a dimension.
+    "quality.rejected_records": "batch_id string, source_name string, record_key string,"
+    " rejection_reasons string, record string, created_at timestamp",
+    "staging.loaded_batches": "source_name string, raw_batch string, written bigint,"
+    " batch_id string, loaded_at timestamp",
+    "staging.waiting_sales": "source_sale_id string, source_system string, skip_reason string",
+}
+
+# Tables that are written by partition; all others are refreshed as a whole.
+PARTITIONS = {
+    **{name: ["batch"] for name in TABLES if name.startswith("raw.")},
+    "quality.ingestion_log": ["batch"],
+    "quality.rejection_details": ["batch"],
+    "quality.rejected_records": ["batch"],
+    "quality.transformation_log": ["batch"],
+    "quality.rule_execution_results": ["batch"],
+    "staging.loaded_batches": ["batch"],
+    "dw.fact_sales": ["year", "month"],
 }
 
 

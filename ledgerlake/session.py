@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,22 +41,45 @@ def build(app: str, master: str | None = None, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's `spark.checkpoint.dir`.
 
-    Only a session that names none (a test on one machine) gets a folder of its own.
+    Without one, a session on one machine gets a folder of its own, removed when Python
+    ends. On a cluster every executor would write to its own disk there, so that fails.
     """
     global _own_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = _own_dir = _own_dir or tempfile.mkdtemp(prefix="ledgerlake-")
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _own_dir:
+        _own_dir = tempfile.mkdtemp(prefix="ledgerlake-")
+        atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
+    return _own_dir
 
 
-def materialize(frame: DataFrame, label: str) -> DataFrame:
+def hadoop_path(spark: SparkSession, text: str):
+    """A Hadoop path with the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of one job, removed when the job is done."""
+    folder = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path, fs = hadoop_path(spark, folder)
+        fs.delete(path, True)
+
+
+def materialize(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write `frame` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage like `checkpoint()`, survives lost executors, and keeps column
     pruning for later scans, which a checkpointed RDD does not offer.
     """
     spark = frame.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

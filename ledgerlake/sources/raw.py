@@ -5,16 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_FILE = {"raw_line": "_raw_line", "file_name": "_file_name", "line_number": "_line_number"}
+_PLACE = {"file_name": "_file_name", "line_number": "_line_number"}
+_FILE = {"raw_line": "_raw_line", **_PLACE}
 
 # Raw columns of the CSV sources, named as in the files.
 CSV_COLUMNS = {
-    "csv_products": "product_id product_name category price cost stock_quantity supplier",
-    "csv_customers": "customer_id first_name last_name email phone city state country"
-    " registration_date",
-    "csv_sales": "sale_id customer_id product_id quantity unit_price total_amount sale_date"
-    " payment_method",
-}
+    "csv_products": [
+        "product_id", "product_name", "category", "price", "cost", "stock_quantity", "supplier",
+    ],
+    "csv_customers": [
+        "customer_id", "first_name", "last_name", "email", "phone", "city", "state", "country",
+        "registration_date",
+    ],
+    "csv_sales": [
+        "sale_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount",
+        "sale_date", "payment_method",
+    ],
+}
+
+
+def _picked(frame: DataFrame, columns: dict[str, str]) -> list[Column]:
+    """Columns under new names; one that the frame lacks is NULL."""
+    present = set(frame.columns)
+    kinds = {"line_number": "bigint"}
+    return [
+        (F.col(given) if given in present else F.lit(None).cast(kinds.get(name, "string"))).alias(name)
+        for name, given in columns.items()
+    ]
 
 
 def _record(frame: DataFrame) -> Column:
@@ -33,6 +50,7 @@ def flatten_products(frame: DataFrame) -> DataFrame:
         F.col("rating.rate").alias("rating_rate"),
         F.col("rating.count").alias("rating_count"),
         _record(frame).alias("raw_json"),
+        *_picked(frame, _PLACE),
     )
 
 
@@ -48,6 +66,7 @@ def flatten_users(frame: DataFrame) -> DataFrame:
         "address.zipcode",
         "phone",
         _record(frame).alias("raw_json"),
+        *_picked(frame, _PLACE),
     )
 
 
@@ -59,21 +78,14 @@ def flatten_carts(frame: DataFrame) -> DataFrame:
         F.col("date").alias("cart_date"),
         F.coalesce(items, F.lit("[]")).alias("products_json"),
         _record(frame).alias("raw_json"),
+        *_picked(frame, _PLACE),
     )
 
 
 def csv_record(frame: DataFrame, source: str) -> DataFrame:
     """The raw columns of a CSV source; a column the file lacks is NULL."""
-    present = set(frame.columns)
-
-    def pick(name: str, given: str) -> Column:
-        found = F.col(given) if given in present else F.lit(None).cast("string")
-        return found.alias(name)
-
-    names = CSV_COLUMNS[source].split()
-    return frame.select(
-        *[pick(name, name) for name in names], *[pick(name, given) for name, given in _FILE.items()]
-    )
+    names = {name: name for name in CSV_COLUMNS[source]}
+    return frame.select(*_picked(frame, {**names, **_FILE}))
 
 
 FLATTENERS = {

@@ -12,12 +12,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.calendar import date_key, dim_date
+from ledgerlake.functions.calendar import calendar_of, date_key
 from ledgerlake.plans.quality import with_run_measures
 
-# The ship dates fall in this range.
+# The first day that made-up registrations and loads count from.
 FIRST_SHIP_DAY = date(1995, 1, 1)
-LAST_SHIP_DAY = date(2001, 12, 31)
 # Today, for reports; and for loads, so that later ship dates are in the future.
 REPORT_DAY = date(2002, 1, 1)
 LOAD_DAY = date(2001, 6, 30)
@@ -35,18 +34,6 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def load_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items, dealt out when they come in fewer splits than there are cores.
-
-    That is one small file on one machine. A table of many files is left as it is.
-    """
-    lines = load(spark, folder, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
-
-
 def money(c: Column, kind: str = "decimal(12,2)") -> Column:
     return c.cast(kind)
 
@@ -58,8 +45,9 @@ def _pick(values: list[str], index: Column) -> Column:
 # --------------------------------------------------------------- star schema
 
 
-def star_calendar(spark: SparkSession) -> DataFrame:
-    return dim_date(spark, FIRST_SHIP_DAY, LAST_SHIP_DAY)
+def star_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """Every day from the first to the last sale."""
+    return calendar_of(load(spark, folder, "lineitem"), F.to_date("l_shipdate"))
 
 
 def product_cost() -> Column:
@@ -113,7 +101,7 @@ def star_facts(spark: SparkSession, folder: str, customers: bool = True) -> Data
 
     Customer and payment come from the orders; `customers=False` leaves that join out.
     """
-    lines = load_lines(spark, folder)
+    lines = load(spark, folder, "lineitem")
     if customers:
         orders = load(spark, folder, "orders")
         lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
@@ -155,7 +143,7 @@ def _grouped(amount: Column) -> Column:
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as rows of a sales file, with faults of every kind."""
-    lines, orders = load_lines(spark, folder), load(spark, folder, "orders")
+    lines, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
     key, day = F.col("l_orderkey"), F.col("l_shipdate").cast("date")
     quantity = F.col("l_quantity").cast("int")
     number = quantity.cast("string")

@@ -1,17 +1,22 @@
 """Landed JSON feeds to raw tables as files arrive.
 
 The same ingestion as the batch job, started by new files instead of a schedule: the
-stream keeps track of which files were loaded, and every micro-batch is one raw batch.
+stream keeps track of which files were loaded, and every micro-batch is one raw batch with
+its log row and the records that could not be read. Staging takes up every raw batch that it
+has not had yet, however many there are.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.schemas import LANDING
-from ledgerlake.sources.raw import to_raw
+from ledgerlake.sources.files import CORRUPT, Extraction
 from ledgerlake.sources.store import Warehouse
 
 
@@ -22,24 +27,41 @@ def stream_feed(
     source: str,
     checkpoint: str,
     lines: bool = False,
-    files_per_batch: int = 10_000,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Load the files below `root/<source>/` that were not loaded before, then stop.
 
     A micro-batch that is repeated after a failure has the same number, and so replaces
-    the batch it may have written already.
+    the batch it may have written already. `files_per_batch` bounds one micro-batch; the
+    rest of the files follow in further ones.
     """
 
     def load(records: DataFrame, number: int) -> None:
-        batch_id = f"{source}-{number:09d}"
-        raw = to_raw(records, source, batch_id, F.current_timestamp())
-        warehouse.append(f"raw.{source}", raw, batch_id)
+        began = datetime.now()
+        # In file order, as a file that is one array, or one split of lines, is one task.
+        kept = records.withColumn("_line_number", F.monotonically_increasing_id()).persist()
+        try:
+            broken = kept.where(F.col(CORRUPT).isNotNull())
+            good = kept.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            broken.count()
+            extraction = Extraction(
+                source, "stream", root, good, broken, started_at=began, completed_at=datetime.now()
+            )
+            batch_id = f"{source}-{number:09d}"
+            ingest_batch(spark, warehouse, {source: extraction}, batch_id, F.lit(began), "stream")
+        finally:
+            kept.unpersist()
 
-    arriving = (
-        spark.readStream.schema(LANDING[source])
+    reader = (
+        spark.readStream.schema(f"{LANDING[source]}, {CORRUPT} string")
         .option("multiLine", not lines)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(f"{root}/{source}/*")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    arriving = reader.json(f"{root}/{source}/*").select(
+        "*", F.col("_metadata.file_name").alias("_file_name")
     )
     return (
         arriving.writeStream.foreachBatch(load)

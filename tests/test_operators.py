@@ -1,12 +1,15 @@
+import json
 import random
 from collections import Counter
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import keys, ranking
 from ledgerlake.operators.keys import next_keys
 from ledgerlake.operators.ranking import rank_all
-from ledgerlake.operators.samples import sample_values
+from ledgerlake.operators.samples import samples
 from ledgerlake.operators.scd2 import changed_if_given, scd2_merge
 from ledgerlake.operators.upsert import last_per_key, upsert
 
@@ -15,20 +18,18 @@ def brute_rank(values):
     return [1 + sum(other > v for other in values) for v in values]
 
 
-def test_ranks_agree_with_brute_force_both_ways(spark):
+def test_ranks_agree_with_brute_force(spark):
     random.seed(3)
     # A third of the rows tie, and values reach from negative to near the end of a long.
     values = [7] * 200 + [random.choice([-5, 0, 1 << 21, 1 << 42, (1 << 62) + 9]) for _ in range(60)]
     values += [random.randrange(-(1 << 40), 1 << 60) for _ in range(340)]
     frame = spark.createDataFrame(list(enumerate(values)), "id int, v bigint")
     expected = dict(enumerate(brute_rank(values)))
-    for window_rows in (1_000_000, 0):
-        ranked, size = rank_all(frame, {"r": F.col("v"), "s": -F.col("v")}, window_rows)
-        assert size == len(values)
-        rows = ranked.collect()
-        assert {row["id"]: row["r"] for row in rows} == expected
-        down = brute_rank([-v for v in values])
-        assert {row["id"]: row["s"] for row in rows} == dict(enumerate(down))
+    rows = rank_all(frame, {"r": F.col("v"), "s": -F.col("v")}).collect()
+    assert len(rows) == len(values)
+    assert {row["id"]: row["r"] for row in rows} == expected
+    down = brute_rank([-v for v in values])
+    assert {row["id"]: row["s"] for row in rows} == dict(enumerate(down))
 
 
 def test_new_keys_are_unique_and_above_the_old(spark):
@@ -135,9 +136,32 @@ def test_a_second_change_on_one_day_leaves_an_empty_version(spark):
     assert sum(r["effective_from"] == r["effective_to"] for r in rows) == 2
 
 
-def test_samples_are_bounded(spark):
-    frame = spark.range(5000).withColumn("g", F.lit(1))
-    row = frame.groupBy("g").agg(sample_values(F.col("id"), F.col("id") > 10).alias("s")).first()
-    found = spark.range(1).select(F.from_json(F.lit(row["s"]), "array<string>")).first()[0]
-    assert 1 <= len(found) <= 5
-    assert all(int(v) > 10 for v in found)
+def test_samples_are_as_many_as_there_are(spark):
+    frame = spark.range(5000).withColumn("g", F.col("id") % 2).withColumn("id", F.col("id") % 1000)
+    found = samples(frame, ["g"], F.col("id"), "s", most=7).collect()
+    assert {r["g"]: json.loads(r["s"]) for r in found} == {
+        0: ["0", "10", "100", "102", "104", "106", "108"],
+        1: ["1", "101", "103", "105", "107", "109", "11"],
+    }
+    few = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, None)], "g int, v string")
+    assert [tuple(r) for r in samples(few, ["g"], F.col("v"), "s").collect()] == [(1, '["a","b"]')]
+
+
+def test_keys_never_collide_beyond_the_stride(spark, monkeypatch):
+    monkeypatch.setattr(keys, "STRIDE", 4)
+    none = spark.createDataFrame([], "k long")
+    rows = spark.range(40).repartition(4).select(keys.next_keys(none, "k").alias("k"))
+    assert len({r["k"] for r in rows.collect()}) == 40
+    with pytest.raises(Exception, match="a load may have 4 tasks"):
+        spark.range(40, numPartitions=9).select(keys.next_keys(none, "k").alias("k")).collect()
+
+
+@pytest.mark.parametrize("size", [0, 1, 3, 700])
+def test_ranks_with_ties_nulls_and_extremes(spark, size):
+    values = [None, 5, 5, -(1 << 62), (1 << 63) - 1, 0, None, -1]
+    rows = [(i, values[i % 8] if i % 3 else i % 11) for i in range(size)]
+    frame = spark.createDataFrame(rows, "i long, v long")
+    ranked = ranking.rank_all(frame, {"r": F.col("v"), "q": -F.col("i")}).collect()
+    known = sorted((v for _, v in rows if v is not None), reverse=True)
+    expected = {(i, v, known.index(v) + 1 if v is not None else len(known) + 1, i + 1) for i, v in rows}
+    assert {tuple(r) for r in ranked} == expected and len(ranked) == size

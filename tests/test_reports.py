@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.plans import quality, views
+from ledgerlake.plans import ingestion, quality, views
 
 RUN = (
     "source_name string, source_type string, records_received bigint, records_stored bigint,"
@@ -34,22 +34,20 @@ def test_score_and_status(spark, received, stored, rejected, error, score, statu
     assert found["duration_seconds"] == 2
 
 
-def test_tracker_collects_and_ignores_unknown_sources(spark):
-    tracker = quality.RunTracker(spark, "b1", "test")
-    tracker.start_extraction("a", "api")
-    tracker.complete_extraction("a", 100)
-    tracker.start_load("a")
-    tracker.complete_load("a", 95, 5, {"bad": 5})
-    tracker.start_extraction("b", "csv")
-    tracker.complete_extraction("b", 50)
-    tracker.complete_load("b", 50)
-    tracker.record_error("nowhere", "x")
-    log = tracker.log(F.current_timestamp())
+def test_runs_are_measured_and_summed_up(spark):
+    began = datetime(2024, 1, 1)
+    measured = [
+        dict(source_name="a", source_type="api", records_received=100, records_stored=95, records_rejected=5),
+        dict(source_name="b", source_type="csv", records_received=50, records_stored=50, records_rejected=0),
+    ]
+    times = ("extraction_started_at", "extraction_completed_at", "load_started_at", "load_completed_at")
+    rows = [{**m, **{t: began for t in times}, "error_message": None} for m in measured]
+    log = ingestion.run_log(spark, rows, "b1", F.current_timestamp(), "test")
     assert {r["source_name"]: r["status"] for r in log.collect()} == {"a": "partial", "b": "success"}
     total = quality.run_summary(log).filter("is_total").first()
     assert (total["received"], total["stored"], total["quality_score"]) == (150, 145, D("96.67"))
-    [detail] = tracker.rejections(F.current_timestamp()).collect()
-    assert (detail["rejection_reason"], detail["rejection_count"]) == ("bad", 5)
+    [detail] = ingestion.ragged_counts(log).collect()
+    assert (detail["rejection_reason"], detail["rejection_count"]) == (ingestion.RAGGED, 5)
 
 
 FACT = (

@@ -1,24 +1,40 @@
 import os
 from types import SimpleNamespace
 
+import pytest
+
 from ledgerlake import session
 
 
-def unset(key, default=None):
-    return default
+def session_of(master, folder=None):
+    conf = SimpleNamespace(get=lambda key, default=None: folder or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_clusters_folder_is_used():
+    assert session.shared_dir(session_of("yarn", "/shared/x/")) == "/shared/x"
 
 
-def test_the_clusters_folder_is_used(spark):
-    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/x/"))
-    assert session.shared_dir(named) == "/shared/x"
+@pytest.mark.parametrize("master", ["yarn", "spark://a:7077", "local-cluster[2,1,1024]", "k8s://x"])
+def test_a_cluster_without_a_folder_fails_at_once(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(session_of(master))
 
 
-def test_a_session_without_a_folder_gets_one_and_keeps_it():
-    bare = SimpleNamespace(conf=SimpleNamespace(get=unset))
+@pytest.mark.parametrize("master", ["local", "local[4]", "local[*]"])
+def test_one_machine_without_a_folder_gets_one_and_keeps_it(master):
+    bare = session_of(master)
     assert os.path.isdir(session.shared_dir(bare))
     assert session.shared_dir(bare) == session.shared_dir(bare)
 
 
+def test_scratch_tables_are_removed(spark):
+    with session.scratch(spark) as folder:
+        assert session.materialize(spark.range(3), "x", folder).count() == 3
+        assert os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
 def test_materialized_frames_keep_rows_and_types(spark):
     frame = spark.createDataFrame([(1, ["a"], None)], "a int, b array<string>, c decimal(28,10)")
     kept = session.materialize(frame, "test")

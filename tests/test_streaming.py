@@ -1,29 +1,60 @@
 import json
+from datetime import date, datetime
 
+from ledgerlake.plans.pipeline import Transformation
 from ledgerlake.sources.store import Warehouse
 from ledgerlake.streaming.landing import stream_feed
 
 
-def test_each_file_is_loaded_once(spark, tmp_path):
+def landed(root, day, *carts):
+    folder = root / "landing" / "api_carts" / day
+    folder.mkdir(parents=True)
+    text = json.dumps([{"id": i, "userId": 1, "date": "2024-03-10", "products": [{"productId": 9, "quantity": q}]}
+                       for i, q in carts])
+    (folder / "part.json").write_text(text)
+
+
+def load(spark, warehouse, root, **options):
+    stream_feed(
+        spark, warehouse, str(root / "landing"), "api_carts", str(root / "progress"), **options
+    ).awaitTermination(120)
+
+
+def test_every_micro_batch_is_staged_once(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for k in range(4):
+        landed(tmp_path, f"2024-03-1{k}", (k, 1), (9, k + 1))
+    load(spark, warehouse, tmp_path, files_per_batch=1)
+    assert len(warehouse.batches("raw.api_carts")) == 4
+    assert warehouse.read("raw.api_carts").count() == 8
+    day = date(2024, 3, 20)
 
-    def land(day, *ids):
-        folder = tmp_path / "landing" / "api_carts" / day
-        folder.mkdir(parents=True)
-        carts = [{"id": i, "userId": 1, "date": day, "products": []} for i in ids]
-        (folder / "part.json").write_text(json.dumps(carts))
-
-    def load():
-        query = stream_feed(
-            spark, warehouse, str(tmp_path / "landing"), "api_carts", str(tmp_path / "progress")
-        )
-        query.awaitTermination(120)
-        return warehouse.read("raw.api_carts")
-
-    land("2024-03-10", 1, 2)
-    assert load().count() == 2
-    land("2024-03-11", 3)
-    raw = load()
-    assert sorted(r["source_id"] for r in raw.collect()) == ["1", "2", "3"]
-    assert [r["source_id"] for r in warehouse.read_latest_batch("raw.api_carts").collect()] == ["3"]
-    assert load().count() == 3
+    def staged(batch, hour):
+        job = Transformation(spark, warehouse, batch, day, datetime(2024, 3, 20, hour))
+        job.load_sales()
+        return job.stats["staging.sales"]["processed"]
+
+    assert staged("b1", 8) == 8
+    sales = {r["source_sale_id"]: r["quantity"] for r in warehouse.read("staging.sales").collect()}
+    # Of the cart in all four files, the last file's record counts.
+    assert sales == {"0-0": 1, "1-0": 1, "2-0": 1, "3-0": 1, "9-0": 4}
+    assert staged("b2", 9) == 0
+    landed(tmp_path, "2024-03-15", (5, 2))
+    load(spark, warehouse, tmp_path)
+    load(spark, warehouse, tmp_path)
+    assert warehouse.read("raw.api_carts").count() == 9
+    assert staged("b3", 10) == 1
+
+
+def test_malformed_records_are_counted_and_kept(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    landed(tmp_path, "2024-03-10", (1, 1))
+    folder = tmp_path / "landing" / "api_carts" / "2024-03-11"
+    folder.mkdir()
+    (folder / "part.json").write_text("[{broken")
+    load(spark, warehouse, tmp_path)
+    assert [r["source_id"] for r in warehouse.read("raw.api_carts").collect()] == ["1"]
+    [log] = warehouse.read("quality.ingestion_log").collect()
+    assert (log["records_received"], log["records_rejected"], log["status"]) == (2, 1, "partial")
+    [kept] = warehouse.read("quality.rejected_records").collect()
+    assert "{broken" in kept["record"]
