@@ -23,6 +23,8 @@ from ledgerlake.sources import tables
 
 HEADLINE = [
     "fact_sales",
+    "fact_merge",
+    "fact_second_load",
     "staging_upsert",
     "scd2_product",
     "scd2_customer",
@@ -33,11 +35,15 @@ HEADLINE = [
     "sales_daily",
     "product_performance",
     "customer_summary",
+    "customer_rfm",
     "category_analysis",
+    "category_growth",
     "kpi_summary",
     "daily_trend",
     "sales_by_category",
     "top_products",
+    "top10_products",
+    "revenue_by_date_product",
     "customer_segments",
     "sales_by_region",
     "monthly_sales",
@@ -46,6 +52,9 @@ HEADLINE = [
     "quality_trend",
     "recent_runs",
     "rejection_analysis",
+    "daily_quality_summary",
+    "csv_ingest",
+    "json_ingest",
 ]
 
 

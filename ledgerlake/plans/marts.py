@@ -28,23 +28,33 @@ def _sums() -> list[Column]:
     ]
 
 
-def _distinct(facts: DataFrame, group: list[str], **columns: str) -> DataFrame:
-    """Exact distinct counts per group.
+def _again(*more: str) -> list[Column]:
+    """The sums of `_sums` taken together."""
+    kinds = {"_quantity": "bigint", "_total": AMOUNT, "_profit": AMOUNT, "_lines": "bigint"}
+    kinds.update({name: AMOUNT for name in more})
+    return [F.sum(name).cast(kind).alias(name) for name, kind in kinds.items()]
 
-    Kept apart from the sums: Spark counts distinct values by first grouping on them, and
-    would otherwise carry every sum's buffer through that large shuffle.
+
+def _distinct(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
+    """Exact distinct count per group.
+
+    Kept apart from the sums: Spark counts several distinct values by copying every row for
+    each of them. `rows` is grouped already and shared, so the facts are read once.
     """
-    counts = [F.countDistinct(column).alias(name) for name, column in columns.items()]
-    return facts.groupBy(*group).agg(*counts)
+    pairs = rows.select(*group, column).distinct()
+    return pairs.groupBy(*group).agg(F.count(column).alias(name))
 
 
 def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     day = ["date_key"]
-    sums = facts.groupBy(*day).agg(*_sums(), F.sum("cost_amount").cast(AMOUNT).alias("_cost"))
-    counts = _distinct(
-        facts, day, _orders="sale_id", _customers="customer_key", _products="product_key"
+    sold = facts.groupBy(*day, "sale_id", "customer_key", "product_key").agg(
+        *_sums(), F.sum("cost_amount").cast(AMOUNT).alias("_cost")
     )
-    days = sums.join(counts, day)
+    days = sold.groupBy(*day).agg(*_again("_cost"))
+    for column, name in {
+        "sale_id": "_orders", "customer_key": "_customers", "product_key": "_products",
+    }.items():
+        days = days.join(_distinct(sold, day, column, name), day)
     return days.join(calendar, "date_key").select(
         "date_key",
         "full_date",
@@ -67,13 +77,18 @@ def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
 def _lifetime(facts: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
     """Totals per product or customer with the first and last day of sale.
 
-    Both parts end up partitioned by `key`, so joining them moves nothing.
+    Grouping by key and sale first makes the number of orders a plain count, in one pass.
     """
     dated = facts.join(calendar.select("date_key", "full_date"), "date_key")
-    sums = dated.groupBy(key).agg(
+    orders = dated.groupBy(key, "sale_id").agg(
         *_sums(), F.min("full_date").alias("_first"), F.max("full_date").alias("_last")
     )
-    return sums.join(_distinct(dated, [key], _orders="sale_id"), key)
+    return orders.groupBy(key).agg(
+        *_again(),
+        F.count("sale_id").alias("_orders"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
 
 
 def product_performance(
@@ -141,29 +156,25 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
     group = ["category", "year", "month_num"]
     current = products.filter("is_current").select("product_key", "category", "price")
     months = calendar.select("date_key", "year", "month_num")
-    sums = (
-        facts.groupBy("product_key", "date_key")
+    sold = (
+        facts.join(months, "date_key")
+        .groupBy("product_key", "year", "month_num", "sale_id", "customer_key")
         .agg(*_sums())
-        .join(months, "date_key")
         .join(current, "product_key")
-        .groupBy(*group)
-        .agg(
-            *[F.sum(c).alias(c) for c in ("_quantity", "_lines")],
-            *[F.sum(c).cast(AMOUNT).alias(c) for c in ("_total", "_profit")],
-            F.sum(F.col("price") * F.col("_lines")).cast(AMOUNT).alias("_prices"),
-            F.countDistinct("product_key").alias("_products"),
-        )
     )
-    counts = _distinct(
-        facts.select("sale_id", "customer_key", "product_key", "date_key")
-        .join(months, "date_key")
-        .join(current, "product_key"),
-        group,
-        _orders="sale_id",
-        _customers="customer_key",
+    sums = sold.groupBy(*group, "product_key", "price").agg(*_again())
+    sums = sums.groupBy(*group).agg(
+        *_again(),
+        F.sum(F.col("price") * F.col("_lines")).cast(AMOUNT).alias("_prices"),
+        F.countDistinct("product_key").alias("_products"),
     )
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
-    totals = sums.alias("s").join(counts.alias("c"), same).select("s.*", "_orders", "_customers")
+    totals = sums
+    for column, name in {"sale_id": "_orders", "customer_key": "_customers"}.items():
+        counts = _distinct(sold, group, column, name).select(
+            *[F.col(c).alias(f"_{c}") for c in group], name
+        )
+        same = [totals[c].eqNullSafe(counts[f"_{c}"]) for c in group]
+        totals = totals.join(counts, same).drop(*[f"_{c}" for c in group])
     unknown = F.lit(None).cast(AMOUNT)
     return totals.select(
         *group,

@@ -40,13 +40,23 @@ def ignoring_case(products: DataFrame) -> DataFrame:
 
 
 def sales_kpi_summary(facts: DataFrame) -> DataFrame:
-    total, lines = F.sum("total_amount"), F.count("total_amount")
-    return facts.agg(
-        F.count("sale_key").alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"),
-        total.cast(AMOUNT).alias("total_revenue"),
-        profit(F.col("total_amount"), F.col("cost_amount")).cast(AMOUNT).alias("total_profit"),
-        ratio(total.cast(AMOUNT), lines, AVERAGE).alias("avg_order_value"),
+    """One row. Facts are grouped by customer and product first, so that what the distinct
+    counts copy is pairs and not sales.
+    """
+    pairs = facts.groupBy("customer_key", "product_key").agg(
+        F.count("sale_key").alias("_orders"),
+        F.sum("quantity").alias("_units"),
+        F.sum("total_amount").cast(AMOUNT).alias("_total"),
+        F.count("total_amount").alias("_lines"),
+        F.sum("cost_amount").cast(AMOUNT).alias("_cost"),
+    )
+    total, cost = F.sum("_total").cast(AMOUNT), F.coalesce(F.sum("_cost"), F.lit(0))
+    return pairs.agg(
+        F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
+        F.sum("_units").alias("total_units_sold"),
+        total.alias("total_revenue"),
+        (F.sum("_total") - cost).cast(AMOUNT).alias("total_profit"),
+        ratio(total, F.sum("_lines"), AVERAGE).alias("avg_order_value"),
         F.countDistinct("customer_key").alias("unique_customers"),
         F.countDistinct("product_key").alias("unique_products"),
     )
@@ -82,12 +92,12 @@ def sales_by_category(facts: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
+def _products_sold(facts: DataFrame, products: DataFrame) -> DataFrame:
     group = ["product_id", "product_name", "category", "price"]
     current = products.filter("is_current").select(
         "product_key", "product_id", F.col("title").alias("product_name"), "category", "price"
     )
-    sold = (
+    return (
         _totals(facts, "product_key")
         .join(current, "product_key")
         .groupBy(*group)
@@ -97,6 +107,10 @@ def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
             _again("revenue"),
         )
     )
+
+
+def top_products(facts: DataFrame, products: DataFrame) -> DataFrame:
+    sold = _products_sold(facts, products)
     return rank_all(sold, {"revenue_rank": cents(F.col("revenue"))})
 
 
@@ -241,9 +255,12 @@ def category_shares(facts: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def best_products(facts: DataFrame, products: DataFrame, limit: int = 10) -> DataFrame:
-    """Top products by revenue; equal revenue is settled by name and category."""
-    best = top_products(facts, products).orderBy(F.desc("revenue"), "product_id")
-    return best.limit(limit).select(
+    """Top products by revenue; equal revenue is settled by the id. Whatever outranks one of
+    them is among them, so their ranks follow from those few rows.
+    """
+    best = _products_sold(facts, products).orderBy(F.desc("revenue"), "product_id").limit(limit)
+    rank = F.rank().over(Window.orderBy(F.desc("revenue"))).cast("long")
+    return best.withColumn("revenue_rank", rank).select(
         "product_name", "category", "units_sold", "revenue", "revenue_rank"
     )
 
