@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import cleaning as clean
 from ledgerlake.functions.calendar import calendar_of, date_key, dim_date
 from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
+from ledgerlake.plans.ingestion import ingest_batch
+from ledgerlake.plans.pipeline import Transformation
 from ledgerlake.schemas import TABLES
 from ledgerlake.session import shared_dir
 from ledgerlake.sources import files, raw
@@ -203,6 +205,21 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return raw.csv_record(scan.frame, "csv_customers").drop("file_name", "line_number")
 
 
+@query
+def csv_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as CSV files, each record with its place in its file; and scanned back."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 2
+    orders = given.load(spark, folder, "orders").select("o_orderkey", place.alias("place"))
+    orders.write.option("header", True).csv(path)
+    scan = files.extract_csv(spark, path, "orders").frame
+    return scan.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+        (F.col("place").cast("bigint") == F.col("_line_number")).alias("numbered_right"),
+        F.col("_file_name").endswith(".csv").alias("named"),
+    )
+
+
 @query
 def json_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Carts written as JSON lines, scanned back and shaped for the raw table."""
@@ -374,6 +391,46 @@ def staging_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def staging_customers_update(spark: SparkSession, folder: str) -> DataFrame:
+    """Both feeds of customers over a snapshot that has every second one from the files."""
+    both = staging.clean_csv_customers(given.raw_customers(spark, folder)).unionByName(
+        staging.clean_api_users(raw.flatten_users(given.api_users(spark, folder)))
+    )
+    columns = {c.split()[0]: c.split()[1] for c in TABLES["staging.customers"].split(", ")}
+    known = {
+        "source_customer_id": F.concat(F.lit("C"), "c_custkey"),
+        "source_system": F.lit("csv"),
+        "email": F.lit("old@example.com"),
+        "full_name": F.lit("Old"),
+        "is_valid": F.lit(True),
+        "created_at": earlier(),
+        "updated_at": earlier(),
+        "batch_id": F.lit("batch-1"),
+    }
+    before = given.load(spark, folder, "customer").where("c_custkey % 2 = 0").select(
+        *[known.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
+    )
+    staged = staging.stage(before, staging.check(both, "customers", load_day()), now(), batch())
+    return staged.select("source_customer_id", "source_system", "email", "full_name", "batch_id", "action")
+
+
+@query
+def staging_sales_update(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales files and carts over a snapshot that has the sales of every second order."""
+    # Carts are unique, so their place does not matter; it only has to be of the same type.
+    kind = given.raw_sales(spark, folder).select(given.sale_order().alias("place")).dtypes[0][1]
+    no_place = F.lit(None).cast(kind)
+    both = staging.clean_csv_sales(given.raw_sales(spark, folder), given.sale_order()).unionByName(
+        staging.clean_api_carts(raw.flatten_carts(given.api_carts(spark, folder)), no_place)
+    )
+    before = _sale_lines(spark, folder).where(F.split("source_sale_id", "-")[0].cast("bigint") % 2 == 0)
+    staged = staging.stage(
+        before.drop("line"), staging.check(both, "sales", load_day()), now(), batch()
+    )
+    return staged.select("source_sale_id", "source_system", "quantity", "batch_id", "action")
+
+
 @query
 def load_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per action of the product upsert."""
@@ -641,6 +698,73 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def fact_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of one load added twice to the stored table, by month."""
+    store = Warehouse(spark, f"{shared_dir(spark)}/append-{uuid.uuid4().hex}")
+    rows = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch())
+    for _ in range(2):
+        store.add("dw.fact_sales", rows)
+    return store.read("dw.fact_sales").groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("sales"), F.sum("total_amount").cast("decimal(22,2)").alias("revenue")
+    )
+
+
+def _ingested(spark: SparkSession, folder: str) -> Warehouse:
+    """A warehouse that was given a file of customers, carts as JSON lines and no sales file."""
+    root = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    given.raw_customers(spark, folder).write.option("header", True).option("escape", '"').csv(
+        f"{root}/in/customers"
+    )
+    given.api_carts(spark, folder).write.json(f"{root}/in/carts")
+    sources = {
+        "csv_customers": files.extract_csv(spark, f"{root}/in/customers", "csv_customers"),
+        "api_carts": files.extract_json(spark, f"{root}/in/carts", "api_carts", lines=True, source_type="api"),
+        "csv_sales": files.extract_csv(spark, f"{root}/in/sales.csv", "csv_sales"),
+    }
+    store = Warehouse(spark, f"{root}/warehouse")
+    ingest_batch(spark, store, sources, "batch-2", now())
+    return store
+
+
+@query
+def ingestion_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of one ingestion of three sources, of which one is missing."""
+    times = ("extraction_started_at", "extraction_completed_at", "load_started_at", "load_completed_at")
+    ordered = [F.col(a) <= F.col(b) for a, b in zip(times, times[1:])]
+    return _ingested(spark, folder).read("quality.ingestion_log").select(
+        "batch_id",
+        "source_name",
+        "source_type",
+        "records_received",
+        "records_stored",
+        "records_rejected",
+        "quality_score",
+        "status",
+        F.col("error_message").startswith("File not found").alias("not_found"),
+        (ordered[0] & ordered[1] & ordered[2]).alias("times_in_order"),
+    )
+
+
+@query
+def customer_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The step log of staging the ingested customers and loading their dimension."""
+    store = _ingested(spark, folder)
+    job = Transformation(spark, store, "batch-2", given.LOAD_DAY, datetime(2001, 6, 30, 12))
+    job.load_customers()
+    job.load_dim_customer()
+    job.save_log()
+    return store.read("quality.transformation_log").select(
+        "step_name",
+        "target_table",
+        "records_input",
+        "records_inserted",
+        "records_updated",
+        "records_rejected",
+        "status",
+    )
+
+
 @query
 def update_segments(spark: SparkSession, folder: str) -> DataFrame:
     customers = given.star_customers(spark, folder).withColumn("updated_at", earlier())

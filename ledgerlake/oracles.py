@@ -854,6 +854,69 @@ def queries() -> dict[str, str]:
               CAST(to_json(coalesce(list_sort(list(DISTINCT source_sale_id)
                 FILTER (source_sale_id IS NOT NULL))[1:5], [])) AS VARCHAR) AS sample_values
             FROM reasons WHERE rejection_reason IS NOT NULL GROUP BY source_system, rejection_reason""",
+        "csv_line_numbers": """SELECT o_orderkey, true AS numbered_right, true AS named FROM orders""",
+        "staging_customers_update": f"""WITH {_CUSTOMERS},
+            users AS (SELECT CAST(k AS VARCHAR) AS source_customer_id, 'api' AS source_system,
+              {_EMAIL} AS email, {_NAME} AS full_name FROM raw_customers),
+            checked_users AS (SELECT *, concat_ws('; ', {', '.join(CUSTOMER_ERRORS)}) AS errors FROM users),
+            valid AS (
+              SELECT source_customer_id, source_system, email, full_name FROM checked_customers WHERE errors = ''
+              UNION ALL
+              SELECT source_customer_id, source_system, email, full_name FROM checked_users WHERE errors = ''),
+            earlier AS (SELECT 'C' || c_custkey AS source_customer_id, 'csv' AS source_system,
+              'old@example.com' AS email, 'Old' AS full_name FROM customer WHERE c_custkey % 2 = 0)
+            SELECT coalesce(v.source_customer_id, e.source_customer_id) AS source_customer_id,
+              coalesce(v.source_system, e.source_system) AS source_system,
+              CASE WHEN v.source_system IS NULL THEN e.email ELSE v.email END AS email,
+              CASE WHEN v.source_system IS NULL THEN e.full_name ELSE v.full_name END AS full_name,
+              CASE WHEN v.source_system IS NULL THEN 'batch-1' ELSE 'batch-2' END AS batch_id,
+              CASE WHEN v.source_system IS NULL THEN 'kept' WHEN e.source_system IS NULL THEN 'inserted'
+                ELSE 'updated' END AS action
+            FROM valid v FULL JOIN earlier e ON v.source_customer_id = e.source_customer_id
+              AND v.source_system = e.source_system""",
+        "staging_sales_update": f"""WITH {_STAGED_SALES},
+            {_CARTS},
+            cart_sales AS (SELECT source_id || '-' || i AS source_sale_id, 'api' AS source_system,
+              CAST(coalesce(qty, 1) AS INTEGER) AS quantity, CAST(50 AS DECIMAL(28,10)) AS unit_price,
+              CASE WHEN coalesce(qty, 1) <> 0 THEN CAST(50 * coalesce(qty, 1) AS DECIMAL(28,10)) END
+                AS total_amount, {_date("cart_date")} AS sale_date FROM cart_lines),
+            valid AS (
+              SELECT source_sale_id, source_system, quantity FROM staged_sales
+              UNION ALL
+              SELECT source_sale_id, source_system, quantity FROM (
+                SELECT *, concat_ws('; ', {', '.join(SALE_ERRORS)}) AS errors FROM cart_sales)
+              WHERE errors = ''),
+            earlier AS (SELECT l_orderkey || '-' || l_linenumber AS source_sale_id, 'csv' AS source_system,
+              CAST(max(l_quantity) AS INTEGER) AS quantity FROM lineitem WHERE l_orderkey % 2 = 0
+              GROUP BY l_orderkey, l_linenumber)
+            SELECT coalesce(v.source_sale_id, e.source_sale_id) AS source_sale_id,
+              coalesce(v.source_system, e.source_system) AS source_system,
+              CASE WHEN v.source_system IS NULL THEN e.quantity ELSE v.quantity END AS quantity,
+              CASE WHEN v.source_system IS NULL THEN 'batch-1' ELSE 'batch-2' END AS batch_id,
+              CASE WHEN v.source_system IS NULL THEN 'kept' WHEN e.source_system IS NULL THEN 'inserted'
+                ELSE 'updated' END AS action
+            FROM valid v FULL JOIN earlier e ON v.source_sale_id = e.source_sale_id
+              AND v.source_system = e.source_system""",
+        "fact_append": f"""WITH {_RESOLVED}
+            SELECT year(sale_date) AS year, month(sale_date) AS month, 2 * count(*) AS sales,
+              CAST(2 * sum(total_amount) AS DECIMAL(22,2)) AS revenue
+            FROM resolved WHERE skip_reason IS NULL GROUP BY ALL""",
+        "ingestion_job": """SELECT 'batch-2' AS batch_id, * FROM (
+              SELECT 'csv_customers' AS source_name, 'csv' AS source_type, count(*) AS records_received,
+                count(*) AS records_stored, 0::BIGINT AS records_rejected,
+                CAST(100 AS DECIMAL(5,2)) AS quality_score, 'success' AS status,
+                CAST(NULL AS BOOLEAN) AS not_found, true AS times_in_order FROM customer
+              UNION ALL
+              SELECT 'api_carts', 'api', count(*), count(*), 0, 100, 'success', NULL, true FROM events
+              UNION ALL
+              SELECT 'csv_sales', 'csv', 0, 0, 0, 100, 'failed', true, NULL)""",
+        "customer_steps": f"""WITH {_CUSTOMERS},
+            counts AS (SELECT count(*) AS n, count(*) FILTER (errors <> '') AS bad FROM checked_customers)
+            SELECT 'load_customers' AS step_name, 'staging.customers' AS target_table, n AS records_input,
+              n - bad AS records_inserted, 0::BIGINT AS records_updated, bad AS records_rejected,
+              'success' AS status FROM counts
+            UNION ALL
+            SELECT 'load_dim_customer', 'dw.dim_customer', n - bad, n - bad, 0, 0, 'success' FROM counts""",
         "rejected_records": f"""WITH {_SALES}
             SELECT 'csv_sales' AS source_name, source_sale_id AS record_key,
               array_to_string([x FOR x IN {_REASONS} IF x IS NOT NULL], '; ') AS rejection_reasons,
