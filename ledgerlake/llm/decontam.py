@@ -256,12 +256,13 @@ def clean(
 
 
 def op4_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leak: the document, the item, the edits, and the span in the document's normal form."""
     found = leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
-    return found.select(
-        F.col("id").alias("doc_id"),
-        (F.size("leaks") > 0).alias("contaminated"),
-        F.transform("leaks", lambda x: x["item"]).alias("items"),
-        F.transform("leaks", lambda x: x["edits"]).alias("edits"),
-        F.transform("leaks", lambda x: x["start"]).alias("starts"),
-        F.transform("leaks", lambda x: x["end"]).alias("ends"),
+    each = found.select(F.col("id").alias("doc_id"), F.explode("leaks").alias("leak"))
+    return each.select(
+        "doc_id",
+        F.col("leak.item").alias("item_id"),
+        F.col("leak.edits").alias("edits"),
+        F.col("leak.start").alias("start_char"),
+        F.col("leak.end").alias("end_char"),
     )
