@@ -159,11 +159,17 @@ def mix(
     rows = sized.withColumn("part", F.substring("place", 1, 4)).join(
         sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
     )
+    # In two steps, so that no window holds more than 256 rows whatever a source has.
     parts = rows.groupBy("sid", "part").agg(F.sum("size").alias("words"))
-    offsets = parts.select(
-        "sid",
-        "part",
-        (F.sum("words").over(Window.partitionBy("sid").orderBy("part")) - F.col("words")).alias("offset"),
+    parts = parts.withColumn("lead", F.substring("part", 1, 2))
+    leads = parts.groupBy("sid", "lead").agg(F.sum("words").alias("all_words"))
+    upto_lead = F.sum("all_words").over(Window.partitionBy("sid").orderBy("lead"))
+    leads = leads.select("sid", "lead", (upto_lead - F.col("all_words")).alias("before"))
+    upto_part = F.sum("words").over(Window.partitionBy("sid", "lead").orderBy("part"))
+    offsets = (
+        parts.withColumn("inside", upto_part - F.col("words"))
+        .join(leads, ["sid", "lead"])
+        .select("sid", "part", (F.col("before") + F.col("inside")).alias("offset"))
     )
     order = Window.partitionBy("sid", "part").orderBy("place", "key_id", "key_digest", "size")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
