@@ -12,10 +12,12 @@ than (lanes - d) of them: two similar sets then agree in another lane as well, o
 have that many, and both use them. So no similar pair is lost.
 
 Groups of many near copies share lanes in large numbers. Equal sets are one node from the
-start. In rounds, one node of every lane, then 2, 4, ..., are compared with the rest, linked
-nodes become one component, and only lanes that still hold several components go on. When few
-pairs are left, all those between different components are compared. Pairs that are already
-in one component are never listed, so the work stays in line with the number of lanes.
+start. Every node is first compared with one other, the one in its lanes that most nodes share
+lanes with, and joins its component if they are similar. Only lanes that then hold several
+components go on. While they have too many pairs, one node of every lane, then 2, 4, ..., are
+compared with the rest; when few pairs are left, all those between different components are.
+Pairs that are already in one component are never listed, so the work stays in line with the
+number of lanes.
 
 Defined results: null texts, empty ones and those of white space have no shingles and are
 linked with nothing; a text of fewer words than a shingle has one shingle, all its words; rows
@@ -36,15 +38,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import named, read, text_digest
+from ledgerlake.llm.common import named, read, release, text_digest
 from ledgerlake.llm.components import components
 from ledgerlake.session import materialize
 
 BAND_RATIO = 1.5
 LANE_BITS = 16
-FOLD_WORDS = 4
-# Compare all remaining pairs once they are at most so many per lane entry.
-PAIRS_PER_ENTRY = 8
+# Words of the folded sketch that goes along with the lanes, and of the one that pairs are held to.
+FOLD_WORDS, WIDE_WORDS = 4, 16
+# Compare all remaining pairs once they are at most so many per lane entry of the start.
+PAIRS_PER_ENTRY = 256
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -126,15 +129,16 @@ def lane_keys(values: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.array([], np.uint64)
 
 
-def folded(values: np.ndarray) -> np.ndarray:
+def folded(values: np.ndarray, words: int = FOLD_WORDS) -> np.ndarray:
     """The sketch folded to a few words: still no more bits differ than shingles do."""
-    counts = np.bincount((_mixed(values) % np.uint64(64 * FOLD_WORDS)).astype(np.int64), minlength=64 * FOLD_WORDS)
+    size = 64 * words
+    counts = np.bincount((_mixed(values) % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((counts % 2).astype(np.uint8)).view(np.int64)
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """Per row: row, id, digest, n, the set's 128-bit hash, folded sketch and lane keys."""
-    fields = "row long, digest binary, n long, set_hash binary, fold array<long>, lanes array<long>"
+    fields = "row long, digest binary, n long, set_hash binary, fold array<long>, wide array<long>, lanes array<long>"
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         text_digest(named(docs, text_col)).alias("digest"),
@@ -146,17 +150,18 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         import xxhash
 
         for batch in batches:
-            sizes, hashes, folds, lanes = [], [], [], []
+            sizes, hashes, folds, wides, lanes = [], [], [], [], []
             for text in batch["text"]:
                 values = shingles(text.as_py(), words)
                 sizes.append(len(values))
                 hashes.append(xxhash.xxh3_128_digest(values.tobytes()))
                 folds.append(folded(values))
+                wides.append(folded(values, WIDE_WORDS))
                 lanes.append(lane_keys(values, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()),
-                 pa.array(folds, pa.list_(pa.int64())), pa.array(lanes, pa.list_(pa.int64())), batch["id"]],
-                ["row", "digest", "n", "set_hash", "fold", "lanes", "id"],
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (folds, wides, lanes)], batch["id"]],
+                ["row", "digest", "n", "set_hash", "fold", "wide", "lanes", "id"],
             )
 
     return rows.mapInArrow(run, f"{fields}, id {rows.schema['id'].dataType.simpleString()}")
@@ -191,23 +196,65 @@ def _similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
-def _hopeful(percent: int) -> str:
+def _hopeful(percent: int, sketch: str = "fold", words: int = FOLD_WORDS) -> str:
     """Pairs that sizes and folded sketches allow to be similar."""
-    bits = " + ".join(f"bit_count(a.fold[{i}] ^ b.fold[{i}])" for i in range(FOLD_WORDS))
+    bits = " + ".join(f"bit_count(a.{sketch}[{i}] ^ b.{sketch}[{i}])" for i in range(words))
     return (
         f"least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}"
         f" AND ({bits}) * {100 + percent} <= (a.n + b.n) * {100 - percent}"
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) whose sets are similar."""
+def _verified(pairs: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) whose sets are similar.
+
+    The wide sketches of both leave few pairs for which the sets have to move.
+    """
+    first = known.select(F.col("node").alias("x"), F.struct("n", "wide").alias("sx"))
+    second = known.select(F.col("node").alias("y"), F.struct("n", "wide").alias("sy"))
+    near = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "na", "nb").join(first, "x").join(second, "y")
+    near = near.select("x", "y", "na", "nb", F.col("sx").alias("a"), F.col("sy").alias("b"))
+    pairs = near.where(_hopeful(percent, "wide", WIDE_WORDS)).select(
+        F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb"
+    )
     one = sets.select(F.col("node").alias("a"), F.col("values").alias("va"))
     two = sets.select(F.col("node").alias("b"), F.col("values").alias("vb"))
     met = pairs.join(one, "a").join(two, "b")
     return met.where(_similar(_shared("va", "vb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
+def _hubs(links: DataFrame, weights: DataFrame) -> DataFrame:
+    """(node, root) where the root is the weightiest linked node, if weightier than the node.
+
+    One step of joining: nodes of one root are connected, though not all that are have one.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(weights.select(F.col("node").alias("b"), "weight"), "b")
+    best = near.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("best"))
+    own = best.join(weights.select(F.col("node").alias("a"), "weight"), "a")
+    larger = F.col("best") > F.struct("weight", F.col("a").alias("b"))
+    return own.where(larger).select(F.col("a").alias("node"), F.col("best.b").alias("root"))
+
+
+def _first_pairs(live: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Every node with the weightiest node that shares a lane with it: one pair a node."""
+    weighed = live.join(known.select("node", "weight"), "node")
+    tops = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
+    best = (
+        live.join(tops, "key")
+        .where("node != top.node")
+        .groupBy("node")
+        .agg(F.max("top").alias("top"))
+        .select("node", F.col("top.node").alias("other"))
+    )
+    one = known.select(F.col("node"), F.struct("n", "fold").alias("a"))
+    two = known.select(F.col("node").alias("other"), F.struct("n", "fold").alias("b"))
+    met = best.join(one, "node").join(two, "other").where(_hopeful(percent))
+    return met.selectExpr("least(node, other) AS a1", "greatest(node, other) AS b1",
+                          "if(node < other, a.n, b.n) AS na", "if(node < other, b.n, a.n) AS nb").select(
+        F.col("a1").alias("a"), F.col("b1").alias("b"), "na", "nb").distinct()
+
+
 def linked_sets(
     marked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int
 ) -> DataFrame:
@@ -217,10 +264,13 @@ def linked_sets(
     nodes = marked.select("row", "set_hash").join(firsts, "set_hash").select("row", "node")
     posts = marked.select("row", F.explode("lanes").alias("key"))
     often = posts.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
+    often = materialize(often.select("key"), "lane-keys")
+    release(spark)
     entries = posts.join(often, "key").join(nodes, "row").select("key", "node").distinct()
     entries = materialize(entries, "lane-entries")
+    release(spark)
 
-    facts = marked.select("row", "id", "digest", "n", "fold")
+    facts = marked.select("row", "id", "digest", "n", "fold", "wide")
     busy = entries.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     entries = materialize(entries.join(busy, "key"), "lane-entries")
     known = materialize(
@@ -230,28 +280,32 @@ def linked_sets(
     sets = materialize(
         _sets(docs, id_col, text_col, words, known.select("node", "id", "digest")), "lane-sets"
     )
-    sketch = known.select("node", "n", "fold")
-    roots = spark.createDataFrame([], "node long, root long")
+    release(spark)
+    sketch, weights = known.select("node", "n", "fold"), known.select("node", "weight")
     live = entries.select("key", "node")
-    links = spark.createDataFrame([], "a long, b long")
-    leaders_each = 1
+    first = materialize(_first_pairs(live, known, percent), "lane-pairs")
+    links = materialize(_verified(first, known, sets, percent), "lane-links")
+    roots = materialize(_hubs(links, weights), "lane-hubs")
+    release(spark)
+    leaders_each, most = 1, None
     while True:
-        # Lanes that hold several components, and how many pairs they have.
+        # Lanes that hold several components, and their pairs of nodes of different ones.
         rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        lanes = rooted.groupBy("key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")
-        )
-        open_lanes = lanes.where("low < high").select("key", "m")
+        parts = rooted.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
+        lanes = parts.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") ** 2).alias("same"))
+        open_lanes = lanes.where("m * m > same").selectExpr("key", "(m * m - same) / (2 * m) AS share")
         live = materialize(rooted.join(open_lanes, "key"), "lane-live")
-        size, pairs_left = live.agg(F.count("*"), F.sum(F.col("m").cast("double"))).first()
+        release(spark)
+        size, pairs_left = live.agg(F.count("*"), F.sum("share")).first()
         if not size:
-            return roots
-        last = pairs_left <= PAIRS_PER_ENTRY * size
+            return components(links)
+        most = most or PAIRS_PER_ENTRY * size
+        last = pairs_left <= most
         left = live.select("key", "node", "root").join(sketch, "node")
         if last:
             others = left
         else:
-            salted = left.join(known.select("node", "weight"), "node").withColumn(
+            salted = left.join(weights, "node").withColumn(
                 "salt", F.pmod(F.xxhash64("node"), F.lit(leaders_each))
             )
             chosen = salted.groupBy("key", "salt").agg(
@@ -266,10 +320,13 @@ def linked_sets(
                         "if(a.node < b.node, a.n, b.n) AS na", "if(a.node < b.node, b.n, a.n) AS nb")
             .distinct()
         )
-        links = materialize(links.unionByName(_verified(pairs, sets, percent)), "lane-links")
-        roots = components(links)
+        pairs = materialize(pairs, "lane-pairs")
+        release(spark)
+        links = materialize(links.unionByName(_verified(pairs, known, sets, percent)), "lane-links")
+        release(spark)
         if last:
-            return roots
+            return components(links)
+        roots = materialize(_hubs(links, weights), "lane-hubs")
         live = live.select("key", "node").join(others.select("key", "node"), ["key", "node"], "left_anti")
         leaders_each *= 2
 
