@@ -3,7 +3,8 @@
 Each stage takes what its predecessor kept, as written Parquet, and its decisions take effect
 there: documents of low quality go, lines of repeated windows are cut, one document of each
 group of similar ones stays, documents with benchmark items go, and the rest are mixed to
-target weights. All but the last stage return the columns of documents.
+target weights. All but the last stage return the columns of documents; the last returns the
+blocks of the mix, with cuts and repeats, numbered in their order.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_blocks(docs)
 
 
 STAGES = [

@@ -6,6 +6,7 @@ numbers of words. A golden-ratio sequence of points, mapped through the cumulati
 the sources, says which source gives the next block; the rank of a slot among the slots of its
 source says which block. A source's last block is cut where its target is met, and slots that
 the sequence has not reached by its end follow after it, so that targets hold to the word.
+The mix itself is its blocks in the order of their slots; `mixed_blocks` writes their text.
 
 Defined results: a null text has size 0 and a document of size 0 gives no words; a null source
 is a source of its own, the last one; repeated rows are documents of their own, which share out
@@ -34,6 +35,10 @@ GOLDEN_HIGH = 0.607787409740351
 RANK_CHUNK = 1 << 16
 
 
+# A word with the white space after it, the first one also with that before it.
+SPACED_WORD = rf"(?:^[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*"
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
@@ -120,12 +125,12 @@ def schedule(spark: SparkSession, sources: DataFrame, block_words: int = BLOCK_W
         .withColumn("reached", F.coalesce("reached", F.lit(0)))
         .where("reached < slots")
         .select("sid", F.explode(F.expr("sequence(reached, slots - 1)")).alias("rank"))
-        .select((F.lit(slots) + F.col("rank")).alias("slot"), "sid", "rank")
+        .select((F.lit(slots) + F.col("rank") * facts["sources"] + F.col("sid") - 1).alias("slot"), "sid", "rank")
     )
     return ranked.unionByName(late)
 
 
-def mix(
+def _pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -135,10 +140,11 @@ def mix(
     most_passes: int = MOST_PASSES,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per row of `docs`: key_id, key_digest, size, source_size, target, taken, n_slots.
+    """The pieces of documents that the blocks of the mix hold, a row each.
 
-    `taken` counts the words that the scheduled blocks take from the document, repeats
-    included; `n_slots` is the number of blocks that do so.
+    A row of `docs` is known by `row`; one that no block takes from has a single row without a
+    slot. `piece` holds the rank of its block, the pass through the source, the first word in
+    the document, the number of words, and the place in the block.
     """
     spark = docs.sparkSession
     key = named(docs, id_col)
@@ -180,6 +186,8 @@ def mix(
     )
     passes = F.array(*[
         F.struct(
+            F.lit(p).alias("pass"),
+            (F.col("start") + F.col("source_size") * p).alias("first"),
             (F.col("start") + F.col("source_size") * p).alias("low"),
             F.least(F.col("start") + F.col("source_size") * p + F.col("size"), F.col("quota")).alias("high"),
         )
@@ -187,32 +195,105 @@ def mix(
     ])
     reach = f"""flatten(transform(filter(passes, x -> x.high > x.low), x -> transform(
         sequence(x.low div {block_words}, (x.high - 1) div {block_words}),
-        r -> struct(r as rank, least(x.high, (r + 1) * {block_words}L)
-                               - greatest(x.low, r * {block_words}L) as words))))"""
-    row = ["sid", "part", "n"]
-    carried = ["key_id", "key_digest", "size", "source_size", "target"]
+        r -> struct(r as rank, x.pass as pass,
+                    greatest(x.low, r * {block_words}L) - x.first as start,
+                    least(x.high, (r + 1) * {block_words}L)
+                    - greatest(x.low, r * {block_words}L) as words,
+                    greatest(x.low - r * {block_words}L, 0L) as place))))"""
+    carried = ["key_id", "key_digest", "size", "source", "source_size", "target"]
+    row = F.struct("sid", "part", "n").alias("row")
     pieces = (
         placed.withColumn("passes", passes)
-        .select(*row, *carried, F.explode_outer(F.expr(reach)).alias("piece"))
-        .select(*row, *carried, "piece.rank", "piece.words")
+        .select(row, "sid", *carried, F.explode_outer(F.expr(reach)).alias("piece"))
+        .withColumn("rank", F.col("piece.rank"))
     )
-    taken = pieces.join(slots, ["sid", "rank"], "left")
-    met = F.col("slot").isNotNull()
+    # Only what a slot asks for is in the mix.
+    scheduled = pieces.join(slots, ["sid", "rank"], "left")
+    return scheduled.withColumn("piece", F.when(F.col("slot").isNotNull(), F.col("piece")))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of `docs`: key_id, key_digest, size, source_size, target, taken, n_slots.
+
+    `taken` counts the words that the scheduled blocks take from the document, repeats
+    included; `n_slots` is the number of blocks that do so.
+    """
+    carried = ["key_id", "key_digest", "size", "source_size", "target"]
     return (
-        taken.groupBy(*row)
+        _pieces(docs, **options)
+        .groupBy("row")
         .agg(
             *[F.first(c).alias(c) for c in carried],
-            F.coalesce(F.sum(F.when(met, F.col("words"))), F.lit(0)).alias("taken"),
+            F.coalesce(F.sum("piece.words"), F.lit(0)).alias("taken"),
             F.count("slot").alias("n_slots"),
         )
         .select(*carried, "taken", "n_slots")
     )
 
 
+def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
+    """The mix: slot, source, rank, n_words, text and pieces of every block.
+
+    In the order of `slot` the texts are the corpus, with its cuts and repeats. `pieces` says
+    what a text is made of, in order: doc_id, pass through the source, first word in the
+    document, number of words. Pieces keep their white space; one that ends without any is
+    followed by a line break where another comes after it. Texts are shuffled twice: to their
+    pieces and, cut, to their blocks.
+    """
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    piece = F.struct("slot", "source", "rank", "piece")
+    per_row = (
+        _pieces(docs, **options)
+        .where("slot IS NOT NULL")
+        .groupBy("row")
+        .agg(*[F.first(c).alias(c) for c in ("key_id", "key_digest")], F.collect_list(piece).alias("_ll_pieces"))
+        .drop("row")
+    )
+    texts = docs.select(named(docs, id_col).alias("doc_id"), named(docs, text_col).alias("text"))
+    whole = attach(texts, "doc_id", "text", per_row)
+    # The words are the variable of a lambda, as they would be found anew for every piece else.
+    cut = F.transform(
+        F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))),
+        lambda spaced: F.transform(
+            "_ll_pieces",
+            lambda p: F.struct(
+                p["slot"].alias("slot"),
+                p["source"].alias("source"),
+                p["rank"].alias("rank"),
+                p["piece"]["place"].alias("place"),
+                F.array_join(
+                    F.slice(spaced, (p["piece"]["start"] + 1).cast("int"), p["piece"]["words"].cast("int")), ""
+                ).alias("text"),
+                p["piece"]["pass"].alias("pass"),
+                p["piece"]["start"].alias("start"),
+                p["piece"]["words"].alias("words"),
+            ),
+        ),
+    )
+    parts = whole.select("doc_id", F.explode(cut[0]).alias("p")).select("doc_id", "p.*")
+    blocks = parts.groupBy("slot").agg(
+        F.first("source").alias("source"),
+        F.first("rank").alias("rank"),
+        F.sum("words").alias("n_words"),
+        F.array_sort(F.collect_list(F.struct("place", "doc_id", "pass", "start", "words", "text"))).alias("parts"),
+    )
+    spaced = F.transform(
+        "parts",
+        lambda p, k: F.when(
+            (k < F.size("parts") - 1) & ~F.substring(p["text"], -1, 1).rlike(r"[\x20\x09-\x0D]"),
+            F.concat(p["text"], F.lit("\n")),
+        ).otherwise(p["text"]),
+    )
+    made_of = F.transform(
+        "parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), *[p[c].alias(c) for c in ("pass", "start", "words")])
+    )
+    return blocks.select("slot", "source", "rank", "n_words", F.array_join(spaced, "").alias("text"), made_of.alias("pieces"))
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with size, source_size, target, taken and n_slots.
+    """The documents of the mix, whole and once each, with size, source_size, target, taken and n_slots.
 
-    Documents from which the mix takes no word are left out.
+    Documents from which the mix takes no word are left out. The mix itself is `mixed_blocks`.
     """
     results = mix(docs, **options).where("taken > 0")
     clash = set(results.columns) & set(docs.columns)

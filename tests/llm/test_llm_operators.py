@@ -1,6 +1,7 @@
 """The operators on a small table with every kind of trouble, against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -124,6 +125,41 @@ def test_mixed_documents(odd, empty):
     assert mixing.mix(empty).count() == mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixed_blocks(odd, empty):
+    blocks = sorted(mixing.mixed_blocks(odd, block_words=16).collect(), key=lambda r: r["slot"])
+    assert len({r["slot"] for r in blocks}) == len(blocks)
+    split = {(i, t): re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in texts()}
+    taken, by_source = Counter(), defaultdict(list)
+    for r in blocks:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r["text"])
+        assert len(words) == r["n_words"] == sum(p["words"] for p in r["pieces"])
+        by_source[r["source"]].append((r["rank"], r["n_words"]))
+        at = 0
+        for p in r["pieces"]:
+            part = words[at : at + p["words"]]
+            at += p["words"]
+            assert any(i == p["doc_id"] and w[p["start"] : p["start"] + p["words"]] == part for (i, _), w in split.items())
+            taken[p["doc_id"]] += p["words"]
+    for found in by_source.values():
+        assert [rank for rank, _ in found] == list(range(len(found)))
+        assert all(n == 16 for _, n in found[:-1])
+    expected = Counter()
+    for r in mixing.mix(odd, block_words=16).collect():
+        expected[r["key_id"]] += r["taken"]
+    assert taken == +expected
+    # The sources take turns, and their order is that of the schedule.
+    half = Counter(r["source"] for r in blocks[: len(blocks) // 2])
+    assert all(abs(half[s] - len(found) / 2) <= 6 for s, found in by_source.items())
+    assert any(p["pass"] == 1 for r in blocks for p in r["pieces"])
+    assert mixing.mixed_blocks(empty).count() == 0
+
+
+def test_mixed_blocks_keep_white_space(spark):
+    docs = spark.createDataFrame([(1, " a\n\nb  c\td ", "s")], "doc_id long, text string, source string")
+    (one, two) = sorted(mixing.mixed_blocks(docs, block_words=3, share_percent=100).collect())
+    assert (one["text"], two["text"]) == (" a\n\nb  c\t", "d ")
+
+
 # ------------------------------------------------------------------ n-gram join
 
 
