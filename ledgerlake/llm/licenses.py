@@ -131,11 +131,16 @@ class Scanner:
         for k, regions in self.regions(words).items():
             n = self.notices[k]
             for low, high in regions:
-                at = low
-                while match := self.patterns[k].search(words, at, high):
-                    edits = sum(match.fuzzy_counts)
-                    spans.append((edits / len(n.text), -len(n.text), n.label, match.start(), match.end(), edits))
-                    at = max(match.end(), at + 1)
+                # The best match first, then what lies on either side of it.
+                open_parts = [(low, min(high, len(words)))]
+                while open_parts:
+                    at, end = open_parts.pop()
+                    if end - at < len(n.text) - n.errors:
+                        continue
+                    if match := self.patterns[k].search(words, at, end):
+                        edits = sum(match.fuzzy_counts)
+                        spans.append((edits / len(n.text), -len(n.text), n.label, match.start(), match.end(), edits))
+                        open_parts += [(at, match.start()), (match.end(), end)]
         # A place belongs to the notice that fits it best.
         kept: list[tuple] = []
         for span in sorted(spans):

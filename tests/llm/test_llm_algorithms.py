@@ -253,6 +253,14 @@ def test_fuzzy_notices_against_every_region():
     assert regex
 
 
+def test_every_one_of_adjacent_notices():
+    scanner, plain, edited = _scanner(), "released under the mit license", "released under the mit licence"
+    for parts in ([edited, plain], [plain, edited], [edited, edited, plain, edited], [plain] * 3, [edited, plain, edited]):
+        found = scanner.scan(" ".join(parts))["spans"]
+        places = [(31 * k, 31 * k + 30) for k in range(len(parts))]
+        assert [(s["start"], s["end"], s["edits"]) for s in found] == [(*p, int(t == edited)) for p, t in zip(places, parts)]
+
+
 def _flow_cost(weights, links, side):
     cost = sum(w for w, s in zip(weights, side) if w > 0 and not s)
     cost += sum(-w for w, s in zip(weights, side) if w < 0 and s)
