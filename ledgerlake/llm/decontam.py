@@ -7,14 +7,21 @@ the item, and all of them lie on neighbouring diagonals (place in the document l
 the item), no further apart than twice the budget. Shared q-grams are counted per item in
 bands of diagonals that overlap by half, so that every such place falls whole into one band;
 bands with enough of them are verified by banded alignment (equality, where there is no edit),
-which also gives the span.
+which also gives the span. Every place counts that overlaps no better one of the same item.
+
+Parts of an item count as well: chains of stretches of at least q equal characters, one after
+the other in both texts, that cover at least `part_chars` characters of the item, with at most
+`edits` percent of them edited between the stretches. By the lemma, a part has a window of
+`part_chars` characters with one edit above its budget at most, so q-grams of one band of
+diagonals stand closely there; texts and items without such a window are passed over. A part is as long as its first stretch allows, and overlaps no place of
+the whole item and no longer part.
 
 The benchmark is a stated query set. It goes through the tasks in blocks of at most
 `block_chars` characters, whatever its size: the documents are never shuffled.
 
 Defined results: null and empty texts hold nothing; items of no more than q characters, or
 for which the lemma leaves no q-gram to share, are looked up whole, with no edits; empty and
-null items are left out, equal items are all reported; repeated rows are reported each;
+null items are left out, equal items are all reported, and so is every place of an item; repeated rows are reported each;
 extra columns are ignored; an empty table on either side gives no leaks.
 """
 
@@ -32,6 +39,7 @@ from ledgerlake.llm.common import named, read
 
 GRAM = 8
 EDIT_PERCENT = 5
+PART_CHARS = 50
 BLOCK_CHARS = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
@@ -94,11 +102,47 @@ def align(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int, int, i
     return int(cost[end]), int(start[end]), end
 
 
+def distance(one: np.ndarray, two: np.ndarray) -> int:
+    """The edits between two short texts."""
+    if not len(one) or not len(two):
+        return len(one) + len(two)
+    place = np.arange(len(two) + 1)
+    cost = place
+    for i, code in enumerate(one, 1):
+        best = np.minimum(cost[:-1] + (two != code), cost[1:] + 1)
+        cost = np.minimum.accumulate(np.concatenate([[i], best]) - place) + place
+    return int(cost[-1])
+
+
+def dense(place: np.ndarray, count: int, width: int) -> np.ndarray:
+    """For each place whether it begins a run of so many places in so many characters."""
+    if len(place) < count:
+        return np.array([], bool)
+    return place[max(count, 1) - 1 :] - place[: len(place) - max(count, 1) + 1] < width
+
+
+def apart(found: list[tuple]) -> list[tuple]:
+    """Of (rank, start, end, ...) in the order of rank and start, those that overlap no earlier one."""
+    kept: list[tuple] = []
+    for x in sorted(found):
+        if not any(x[1] < y[2] and y[1] < x[2] for y in kept):
+            kept.append(x)
+    return kept
+
+
 class Items:
-    """A block of benchmark items with the index of their q-grams."""
+    """A block of benchmark items with the index of their q-grams.
+
+    Without `part` only whole items are looked for.
+    """
 
-    def __init__(self, rows: list[tuple[int, str]], q: int, percent: int):
-        self.q, self.ids = q, [i for i, _ in rows]
+    def __init__(self, rows: list[tuple[int, str]], q: int, percent: int, part: int | None = None):
+        self.q, self.percent, self.part, self.ids = q, percent, part, [i for i, _ in rows]
+        if part is not None:
+            part_edits = budget(part, q, percent)
+            # Edits may lie close: some window of a part has one more than its own budget at most.
+            self.part_least = max(1, part + 1 - q - q * (part_edits + 1))
+            self.part_step, self.part_width = part_edits + 1, part + 2 * (part_edits + 1)
         self.codes = [_codes(t) for _, t in rows]
         self.edits = [budget(len(c), q, percent) for c in self.codes]
         self.least = np.array([len(c) + 1 - q - q * e for c, e in zip(self.codes, self.edits)])
@@ -121,9 +165,9 @@ class Items:
         """(item, diagonal, place) of every q-gram that the text shares with an item."""
         found = grams(codes, self.q)
         place = np.flatnonzero(self.present[(found >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        if len(place) < self.fewest or not (
-            place[self.fewest - 1 :] - place[: len(place) - self.fewest + 1] < self.widest
-        ).any():
+        if not dense(place, self.fewest, self.widest).any() and not (
+            self.part is not None and dense(place, self.part_least, self.part_width).any()
+        ):
             place = place[:0]
         low = np.searchsorted(self.keys, found[place], "left")
         many = np.searchsorted(self.keys, found[place], "right") - low
@@ -133,48 +177,136 @@ class Items:
         return self.owner[entry], spread - self.at[entry], spread
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, edits, start, end) of the best place of every leaked item."""
+        """(item id, edits, start, end) of every place of every leaked item."""
+        return [found[:4] for found in self.places(text)]
+
+    def places(self, text: str | None) -> list[tuple[int, int, int, int, int, int]]:
+        """(item id, edits, start, end, start and end in the item) of every place."""
         plain = normal(text)
         out = []
         for k in self.short:
-            at = plain.find(self.texts[k])
-            if at >= 0:
-                out.append((self.ids[k], 0, at, at + len(self.texts[k])))
+            item = self.texts[k]
+            at = plain.find(item)
+            while at >= 0:
+                out.append((self.ids[k], 0, at, at + len(item), 0, len(item)))
+                at = plain.find(item, at + len(item))
         codes = _codes(plain)
         item, diagonal, place = self.hits(codes)
         if not len(item):
             return sorted(out)
         # Too few hits in all rule an item out before anything is sorted.
-        enough = np.bincount(item, minlength=len(self.ids)) >= np.maximum(self.least, 1)
-        keep = enough[item]
+        counts = np.bincount(item, minlength=len(self.ids))
+        enough = counts >= np.maximum(self.least, 1)
+        crowded = self._crowded(counts, item, diagonal, place)
+        keep = (enough | crowded)[item]
         item, diagonal, place = item[keep], diagonal[keep], place[keep]
         for k in np.unique(item):
-            if len(self.codes[k]) <= self.q:
+            length = len(self.codes[k])
+            if length <= self.q:
                 continue
-            mine = np.flatnonzero(item == k)
-            edits, length = self.edits[k], len(self.codes[k])
-            step = max(edits, 1)
-            band = np.floor_divide(diagonal[mine], step)
-            # Band b holds the diagonals of steps b, b + 1 and b + 2, whichever one is first.
-            both = np.concatenate([band, band - 1, band - 2])
-            bands, counts = np.unique(both, return_counts=True)
-            best = None
-            for b in bands[counts >= self.least[k]]:
-                low = max(0, int(b) * step - edits)
-                high = min(len(codes), (int(b) + 3) * step + length + edits)
-                at = plain.find(self.texts[k], low, high)
-                if at >= 0:
-                    found = (0, at - low, at - low + length)
-                else:
-                    found = align(self.codes[k], codes[low:high], edits)
-                if found and (best is None or (found[0], low + found[1]) < (best[1], best[2])):
-                    best = (self.ids[k], found[0], low + found[1], low + found[2])
-                if best and best[1] == 0:
-                    break
-            if best:
-                out.append(best)
+            mine, whole = np.flatnonzero(item == k), []
+            if enough[k]:
+                whole = self._whole(k, plain, codes, diagonal[mine])
+            out += [(self.ids[k], edits, start, end, 0, length) for edits, start, end in whole]
+            if crowded[k]:
+                for _, start, end, edits, first, last in self._parts(k, codes, diagonal[mine], place[mine], whole):
+                    out.append((self.ids[k], edits, start, end, first, last))
         return sorted(out)
 
+    def _crowded(self, counts: np.ndarray, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The items of which a window of the text may hold a part: enough hits in a band."""
+        found = np.zeros(len(self.ids), bool)
+        if self.part is None:
+            return found
+        long = np.array([len(c) > self.part for c in self.codes])
+        keep = (long & (counts >= self.part_least))[item]
+        item, diagonal, place = item[keep], diagonal[keep], place[keep]
+        band = np.floor_divide(diagonal, self.part_step)
+        item, place = np.tile(item, 3), np.tile(place, 3)
+        band = np.concatenate([band, band - 1, band - 2])
+        order = np.lexsort((place, band, item))
+        item, band, place = item[order], band[order], place[order]
+        ahead = self.part_least - 1
+        if len(item) > ahead:
+            last = len(item) - ahead
+            same = (item[ahead:] == item[:last]) & (band[ahead:] == band[:last])
+            found[item[:last][same & (place[ahead:] - place[:last] < self.part_width)]] = True
+        return found
+
+    def _whole(self, k: int, plain: str, codes: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int]]:
+        """(edits, start, end) of the places of a whole item."""
+        edits, length = self.edits[k], len(self.codes[k])
+        step = max(edits, 1)
+        band = np.floor_divide(diagonal, step)
+        # Band b holds the diagonals of steps b, b + 1 and b + 2, whichever one is first.
+        both = np.concatenate([band, band - 1, band - 2])
+        bands, counts = np.unique(both, return_counts=True)
+        found = set()
+        for b in bands[counts >= self.least[k]]:
+            low = max(0, int(b) * step - edits)
+            high = min(len(codes), (int(b) + 3) * step + length + edits)
+            at = plain.find(self.texts[k], low, high)
+            if at >= 0:
+                while at >= 0:
+                    found.add((0, at, at + length))
+                    at = plain.find(self.texts[k], at + length, high)
+            elif near := align(self.codes[k], codes[low:high], edits):
+                found.add((near[0], low + near[1], low + near[2]))
+        return apart(list(found))
+
+    def _parts(
+        self, k: int, codes: np.ndarray, diagonal: np.ndarray, place: np.ndarray, whole: list[tuple[int, int, int]]
+    ) -> list[tuple]:
+        """(-length, start, end, edits, start and end in the item) of the parts of an item elsewhere."""
+        q, item, limit = self.q, self.codes[k], len(self.codes[k]) * self.percent // 100
+        free = np.ones(len(place), bool)
+        for _, start, end in whole:
+            free &= (place + q <= start) | (place >= end)
+        diagonal, place = diagonal[free], place[free]
+        if len(place) < self.part_least:
+            return []
+        # Stretches of equal characters: (start, end, diagonal), by start.
+        order = np.lexsort((place, diagonal))
+        diagonal, place = diagonal[order], place[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(diagonal) != 0) | (np.diff(place) != 1)])
+        last = np.r_[first[1:], len(place)] - 1
+        runs = sorted(zip(place[first].tolist(), (place[last] + q).tolist(), diagonal[first].tolist()))
+        starts = np.array([r[0] for r in runs])
+        gap = q * (limit + 1) + limit
+        following: dict[int, list[tuple[int, int]]] = {}
+
+        def after(j: int) -> list[tuple[int, int]]:
+            """(run, edits before it) of the runs that can follow a run."""
+            if j not in following:
+                following[j] = []
+                _, end, d = runs[j]
+                for n in range(j + 1, int(np.searchsorted(starts, end + gap, "right"))):
+                    start, stop, other = runs[n]
+                    over = max(0, end - start, (end - d) - (start - other))
+                    if abs(d - other) <= limit and start + over < stop and stop > end:
+                        there, here = item[end - d : start + over - other], codes[end : start + over]
+                        if (edits := distance(there, here)) <= limit:
+                            following[j].append((n, edits))
+            return following[j]
+
+        found = []
+        for i, (start, _, d) in enumerate(runs):
+            cost, best = {i: 0}, None
+            for j in range(i, len(runs)):
+                if j not in cost:
+                    if j > max(cost):
+                        break
+                    continue
+                end, length = runs[j][1], runs[j][1] - runs[j][2] - (start - d)
+                if length >= self.part and cost[j] * 100 <= self.percent * length:
+                    best = min(best or (0,), (-length, start, end, cost[j], start - d, end - runs[j][2]))
+                for n, edits in after(j):
+                    if (total := cost[j] + edits) <= limit and total < cost.get(n, limit + 1):
+                        cost[n] = total
+            if best:
+                found.append(best)
+        return apart(found)
+
 
 def blocks(
     benchmark: DataFrame, id_col: str, text_col: str, chars: int
@@ -198,19 +330,20 @@ def blocks(
 LEAKS = T.ArrayType(
     T.StructType().add("item", T.LongType()).add("edits", T.IntegerType())
     .add("start", T.IntegerType()).add("end", T.IntegerType())
+    .add("item_start", T.IntegerType()).add("item_end", T.IntegerType())
 )
 
 
-def _found(text: Column, block: list[tuple[int, str]], q: int, percent: int) -> Column:
+def _found(text: Column, block: list[tuple[int, str]], q: int, percent: int, part: int | None) -> Column:
     """The leaks of one block's items in each text."""
     sent = SparkSession.getActiveSession().sparkContext.broadcast(block)
 
     @F.pandas_udf(LEAKS)
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        items = Items(sent.value, q, percent)
-        names = ("item", "edits", "start", "end")
+        items = Items(sent.value, q, percent, part)
+        names = ("item", "edits", "start", "end", "item_start", "item_end")
         for texts in parts:
-            yield pd.Series([[dict(zip(names, leak)) for leak in items.leaks(t)] for t in texts])
+            yield pd.Series([[dict(zip(names, leak)) for leak in items.places(t)] for t in texts])
 
     return found(text)
 
@@ -225,14 +358,15 @@ def leaks(
     q: int = GRAM,
     edit_percent: int = EDIT_PERCENT,
     block_chars: int = BLOCK_CHARS,
+    part_chars: int | None = PART_CHARS,
 ) -> DataFrame:
-    """`id` and `leaks` for every row: an array of (item, edits, start, end).
+    """`id` and `leaks` for every row: an array of (item, edits, start, end, item_start, item_end).
 
-    Spans count characters of the normal form of the text.
+    Spans count characters of the normal forms of the text and of the item.
     """
     text = named(docs, text_col)
     found = [
-        _found(text, block, q, edit_percent)
+        _found(text, block, q, edit_percent, part_chars)
         for block in blocks(benchmark, item_col, item_text_col, block_chars)
     ]
     all_found = F.concat(*found) if found else F.expr("array()").cast(LEAKS)
@@ -248,15 +382,16 @@ def clean(
     q: int = GRAM,
     edit_percent: int = EDIT_PERCENT,
     block_chars: int = BLOCK_CHARS,
+    part_chars: int | None = PART_CHARS,
 ) -> DataFrame:
-    """The documents in which no benchmark item leaks, with their own columns."""
+    """The documents in which no benchmark item or long part of one leaks, with their own columns."""
     for block in blocks(benchmark, item_col, item_text_col, block_chars):
-        docs = docs.where(F.size(_found(named(docs, text_col), block, q, edit_percent)) == 0)
+        docs = docs.where(F.size(_found(named(docs, text_col), block, q, edit_percent, part_chars)) == 0)
     return docs
 
 
 def op4_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    """Every leak: the document, the item, the edits, and the span in the document's normal form."""
+    """Every leak: the document, the item, the edits, and the spans in the normal forms of both."""
     found = leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     each = found.select(F.col("id").alias("doc_id"), F.explode("leaks").alias("leak"))
     return each.select(
@@ -265,4 +400,6 @@ def op4_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.col("leak.edits").alias("edits"),
         F.col("leak.start").alias("start_char"),
         F.col("leak.end").alias("end_char"),
+        F.col("leak.item_start").alias("item_start_char"),
+        F.col("leak.item_end").alias("item_end_char"),
     )

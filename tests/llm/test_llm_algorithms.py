@@ -186,6 +186,43 @@ def test_leaks_against_brute_force():
     assert scanner.leaks(None) == scanner.leaks("") == []
 
 
+def test_every_place_and_long_parts():
+    rng = random.Random(12)
+
+    def text(count):
+        return " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(3, 8))) for _ in range(count))
+
+    item, short, tail = text(36), "abc", text(30)
+    scanner = decontam.Items([(1, item), (2, short)], 8, 5, 50)
+    edited = item[:40] + "##" + item[42:]
+    head = text(20)
+    full = f"{head} {item} {tail} {edited} {tail} {item}"
+    found = [x for x in scanner.places(full) if x[0] == 1]
+    starts = [len(head) + 1 + k * (len(item) + len(tail) + 2) for k in range(3)]
+    assert sorted(x[1:4] for x in found) == sorted((e, s, s + len(item)) for e, s in zip((0, 2, 0), starts))
+    assert all(x[4:] == (0, len(item)) for x in found)
+    places = [k for k in range(len(full)) if full.startswith(short, k)]
+    assert [x[2] for x in scanner.places(full) if x[0] == 2] == places
+    # Cut off at either end: the part is found, to the letter or one more by chance.
+    for cut in (item[: len(item) * 9 // 10], item[len(item) // 2 :]):
+        (part,) = (x for x in scanner.places(f"{head} {cut}") if x[0] == 1)
+        first = item.index(cut)
+        assert part[1] == 0 and abs(part[4] - first) <= 1 and part[5] == first + len(cut)
+    assert not [x for x in scanner.places(f"{head} {item[:40]}## {tail}") if x[0] == 1]
+    # Three words of it replaced, and a part with edits between its stretches.
+    words = item.split()
+    for k in (9, 18, 27):
+        words[k] = "#" * 9
+    hit = [x for x in scanner.places(f"{head} {' '.join(words)} {tail}") if x[0] == 1]
+    assert hit and all(x[5] - x[4] >= 50 and x[1] * 100 <= 5 * (x[5] - x[4]) for x in hit)
+    broken = item[:45] + "###" + item[46:100]
+    (part,) = (x for x in scanner.places(f"{head} {broken} {tail}") if x[0] == 1)
+    assert part[1] == 3 and part[4] == 0 and abs(part[5] - 100) <= 1
+    for _, edits, start, end, first, last in hit + [part]:
+        assert last - first >= 50 and edits * 20 <= last - first
+    assert scanner.places(None) == [] and not scanner.places(tail.replace("abc", "x"))
+
+
 def test_budget_keeps_the_lemma_useful():
     for length in range(1, 200):
         edits = decontam.budget(length, 8, 5)
