@@ -341,6 +341,21 @@ def test_main_text_without_marks():
     assert text.startswith("A long") and "Link" not in text
 
 
+def test_marks_are_evidence_among_the_rest():
+    long = "A long paragraph of plain words, one after the other, that reads like an article and goes on for a while."
+    for opening in ('<article class="post comments-open">', '<div class="content no-sidebar">', '<div class="page nav-fixed">'):
+        tag = opening[1:].split()[0]
+        assert htmltext.main_text(f"{opening}<p>{long}</p><p>{long}</p></{tag}>") == f"{long} {long}"
+    # The cut keeps a marked block between content, and drops links that an article holds.
+    notice = '<p class="notice">This paragraph tells the reader what the next one is about, in enough words.</p>'
+    alone = htmltext.main_text(f"<body>{notice}</body>")
+    within = htmltext.main_text(f"<article><p>{long}</p>{notice}<p>{long}</p></article>")
+    assert alone == "" and "what the next one" in within
+    links = "<p>" + "<a href='#'>More of the same</a> " * 4 + "</p>"
+    assert htmltext.main_text(f"<article><p>{long}</p>{links}</article>") == long
+    assert htmltext.main_text(f'<p>{long}</p><div class="comments"><article><p>{long}</p></article></div>') == long
+
+
 def test_broken_and_deep_pages():
     assert htmltext.main_text("<article><p>a<b>b<p>c</div></span>d") == "ab cd"
     deep = "<div>" * 3000 + "<article><p>deep text here.</p></article>" + "</div>" * 10
