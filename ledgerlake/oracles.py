@@ -817,7 +817,8 @@ def queries() -> dict[str, str]:
               {_SEGMENT_CASE.format("spent / 2000", "(orders // 2)")} AS segment FROM totals""",
         "flatten_products": f"""WITH {RAW_PRODUCTS}
             SELECT id AS source_id, title, price, description, category, image AS image_url,
-              rate AS rating_rate, n AS rating_count FROM api_products""",
+              rate AS rating_rate, n AS rating_count, CAST(NULL AS VARCHAR) AS file_name,
+              CAST(NULL AS BIGINT) AS line_number FROM api_products""",
         "flatten_users": f"""WITH {RAW_CUSTOMERS}
             SELECT CAST(k AS VARCHAR) AS source_customer_id, 'api' AS source_system,
               {_EMAIL} AS email, {_text("first_name")} AS first_name,

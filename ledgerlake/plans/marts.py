@@ -156,8 +156,10 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
     group = ["category", "year", "month_num"]
     current = products.filter("is_current").select("product_key", "category", "price")
     months = calendar.select("date_key", "year", "month_num")
+    # Stored facts have a year of their own, which names their folder.
     sold = (
-        facts.join(months, "date_key")
+        facts.drop("year", "month")
+        .join(months, "date_key")
         .groupBy("product_key", "year", "month_num", "sale_id", "customer_key")
         .agg(*_sums())
         .join(current, "product_key")
