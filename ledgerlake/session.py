@@ -83,3 +83,22 @@ def materialize(frame: DataFrame, label: str, folder: str | None = None) -> Data
     path = f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def result_table(frame: DataFrame, label: str) -> DataFrame:
+    """Write the rows of a query once, as `materialize` does; removed when Python ends.
+
+    For results that are read after the job that made them, whose own folder is gone by then.
+    """
+    spark = frame.sparkSession
+    folder = f"{shared_dir(spark)}/result-{uuid.uuid4().hex}"
+    atexit.register(_removed, spark, folder)
+    return materialize(frame, label, folder)
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    try:
+        path, fs = hadoop_path(spark, folder)
+        fs.delete(path, True)
+    except Exception:  # the JVM may be gone before Python is
+        shutil.rmtree(folder, ignore_errors=True)
