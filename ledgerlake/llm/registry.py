@@ -20,6 +20,7 @@ from ledgerlake.llm import (
     ngramjoin,
     quality,
     tokencounts,
+    vectorcodes,
 )
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -49,6 +50,7 @@ QUERIES = {
         "op8_token_counts": tokencounts.op8_token_counts,
         "op9_license_scan": licenses.op9_license_scan,
         "op10_quality": quality.op10_quality,
+        "op13_vector_codes": vectorcodes.op13_vector_codes,
         "pipeline": corpus_pipeline.run,
     }.items()
 }
@@ -57,4 +59,5 @@ ORACLES = {
     "op2_source_mix": mixing.ORACLE,
     "op3_ngram_jaccard": ngramjoin.ORACLE,
     "op5_line_windows": linedup.ORACLE,
+    "op13_vector_codes": vectorcodes.ORACLE,
 }
