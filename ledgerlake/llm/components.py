@@ -30,13 +30,16 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of `links` (a, b) but the roots, which are the smallest."""
+def components(links: DataFrame, folder: str | None = None) -> DataFrame:
+    """(node, root) for every node of `links` (a, b) but the roots, which are the smallest.
+
+    The rounds are written to `folder`, the last one stays there as the result.
+    """
     edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = materialize(edges.distinct(), "links")
+    edges = materialize(edges.distinct(), "links", folder)
     state = None
     while True:
-        edges = materialize(_star(_star(edges, small=False), small=True), "links")
+        edges = materialize(_star(_star(edges, small=False), small=True), "links", folder)
         sums = edges.agg(
             F.count("*").alias("n"),
             F.sum(F.col("v").cast("decimal(38,0)")).alias("s"),

@@ -19,6 +19,7 @@ from ledgerlake.llm import (
     mixing,
     ngramjoin,
     quality,
+    simhash,
     tokencounts,
     vectorcodes,
 )
@@ -50,6 +51,7 @@ QUERIES = {
         "op8_token_counts": tokencounts.op8_token_counts,
         "op9_license_scan": licenses.op9_license_scan,
         "op10_quality": quality.op10_quality,
+        "op11_simhash_classes": simhash.op11_simhash_classes,
         "op13_vector_codes": vectorcodes.op13_vector_codes,
         "pipeline": corpus_pipeline.run,
     }.items()
