@@ -20,6 +20,7 @@ from ledgerlake.llm import (
     ngramjoin,
     quality,
     simhash,
+    tokenalign,
     tokencounts,
     vectorcodes,
 )
@@ -52,6 +53,7 @@ QUERIES = {
         "op9_license_scan": licenses.op9_license_scan,
         "op10_quality": quality.op10_quality,
         "op11_simhash_classes": simhash.op11_simhash_classes,
+        "op12_token_alignment": tokenalign.op12_token_alignment,
         "op13_vector_codes": vectorcodes.op13_vector_codes,
         "pipeline": corpus_pipeline.run,
     }.items()
