@@ -15,7 +15,7 @@ NATIVE = ["op2_source_mix"]
 
 def test_every_operator_is_registered():
     numbers = {name.split("_")[0] for name in entry.queries()}
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= numbers
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} <= numbers
     assert set(registry.ORACLES) <= set(registry.QUERIES)
 
 
@@ -23,7 +23,7 @@ def test_every_operator_is_registered():
 def test_query(spark, name):
     verdict, rows, _ = compare(spark, FOLDER, name, entry.oracle_sql().get(name))
     assert verdict == ("same" if name in registry.ORACLES else "rows only")
-    table = "pages" if name.startswith("op7_") else "documents"
+    table = {"op7": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
     there = spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
     if name.startswith("op4_"):
         assert rows > 0  # a row per leak
