@@ -19,7 +19,8 @@ from ledgerlake.session import shared_dir
 from ledgerlake.sources import files, raw
 from ledgerlake.sources import tables as given
 from ledgerlake.sources.store import Warehouse
-from ledgerlake.streaming.landing import stream_feed
+from ledgerlake.streaming import windows
+from ledgerlake.streaming.landing import forget_last_commit, stream_feed, stream_to_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -666,18 +667,18 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Events landed as files of carts, streamed one file per micro-batch, then staged.
 
     Every micro-batch is a raw batch, and staging takes all of them; of a cart that comes
-    several times the last record of the last file counts.
+    several times the last record of the last file counts. A user's events are one cart.
     """
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    events = given.load(spark, folder, "events")
-    latest = events.groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+    # All events, in the order of their ids through the files.
+    events = given.load(spark, folder, "events").orderBy("event_id")
     for day, older in enumerate((2, 1, 0)):
         # The same carts three times; only the last file has the last quantity.
         item = F.struct(
             F.lit("9").alias("productId"),
             ((F.col("event_id") + older) % 7 + 1).cast("string").alias("quantity"),
         )
-        carts = latest.select(
+        carts = events.select(
             F.col("user_id").cast("string").alias("id"),
             F.lit("1").alias("userId"),
             F.lit("2001-01-01").alias("date"),
@@ -698,6 +699,112 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: How long events may be late, and which of them land only when all others have.
+DELAY = "12 days"
+
+
+def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Events as they land: ten days at a time, each again with the next ten days, and at the
+    end those that were held up.
+    """
+    events = given.load(spark, folder, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"
+    )
+    held_up, third = F.col("event_id") % 50 == 3, F.least(F.lit(3), F.expr("(day(ts) - 1) div 10 + 1"))
+    prompt = events.where(~held_up).withColumn("third", third)
+    batches = [prompt.where((third == k) | (third == k - 1)).drop("third") for k in (1, 2, 3, 4)]
+    return [*batches, events.where(held_up)]
+
+
+def _event_stream(spark: SparkSession, folder: str, shape: Callable[[DataFrame], DataFrame]):
+    """The landed events and what a stream of them has appended, batch by batch."""
+    root = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    schema = "event_id bigint, ts timestamp, user_id bigint, value double"
+    for number, arrived in enumerate(_event_batches(spark, folder)):
+        arrived.write.parquet(f"{root}/landing/batch-{number}")
+        stream = shape(spark.readStream.schema(schema).parquet(f"{root}/landing/*"))
+        windows.append_to(stream, f"{root}/taken", f"{root}/progress").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/landing/*"), spark.read.parquet(f"{root}/taken")
+
+
+def _once(events: DataFrame) -> DataFrame:
+    return windows.once_each(events, ["event_id"], "ts", DELAY)
+
+
+@query
+def stream_sales_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that land twice, some of them late, each taken once."""
+    return _event_stream(spark, folder, _once)[1].select("event_id", "user_id", "value")
+
+
+@query
+def stream_late_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The events that came too late to be taken, by name."""
+    return windows.late_events(*_event_stream(spark, folder, _once), ["event_id"], "ts")
+
+
+@query
+def stream_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of the days that the watermark has closed; copies count once."""
+    days = _event_stream(spark, folder, lambda e: windows.revenue_per_window(_once(e), "ts", "value"))[1]
+    return days.select(F.to_date("window_start").alias("sale_date"), "sales", "revenue")
+
+
+@query
+def stream_to_staging_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as CSV sales and as JSON carts, streamed into staging one landing at a time.
+
+    The second landing of the CSV feed corrects every fifth sale, and the last micro-batch of
+    each feed is given again, as after a failure before it was noted as done.
+    """
+    root = f"{shared_dir(spark)}/feeds-{uuid.uuid4().hex}"
+    store = Warehouse(spark, f"{root}/warehouse")
+    events, key = given.load(spark, folder, "events"), F.col("event_id")
+
+    def run(source: str, **options) -> None:
+        stream_to_staging(
+            spark, store, f"{root}/landing", source, f"{root}/progress/{source}", given.LOAD_DAY, **options
+        ).awaitTermination()
+
+    for landing, again in enumerate((0, 1)):
+        quantity = key % 7 + 1 + again
+        sales = events.where(f"{again} = 0 OR event_id % 5 = 0").select(
+            key.cast("string").alias("sale_id"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            F.lit("9").alias("product_id"),
+            quantity.cast("string").alias("quantity"),
+            F.lit("2.00").alias("unit_price"),
+            (quantity * 2).cast("string").alias("total_amount"),
+            F.lit("2001-01-01").alias("sale_date"),
+            F.lit("cash").alias("payment_method"),
+        )
+        sales.write.option("header", True).csv(f"{root}/landing/csv_sales/day{landing}")
+        run("csv_sales")
+    item = F.struct(F.lit("9").alias("productId"), (key % 7 + 1).cast("string").alias("quantity"))
+    carts = events.select(
+        key.cast("string").alias("id"),
+        F.col("user_id").cast("string").alias("userId"),
+        F.lit("2001-01-01").alias("date"),
+        F.array(item).alias("products"),
+    )
+    carts.write.json(f"{root}/landing/api_carts/day0")
+    run("api_carts", lines=True)
+    before = store.read("staging.sales").select("source_sale_id", "source_system", F.col("updated_at").alias("was"))
+    for source, options in {"csv_sales": {}, "api_carts": {"lines": True}}.items():
+        forget_last_commit(spark, f"{root}/progress/{source}")
+        run(source, **options)
+    now_staged = store.read("staging.sales").join(before, ["source_sale_id", "source_system"], "left")
+    return now_staged.select(
+        "source_sale_id",
+        "source_system",
+        "source_customer_id",
+        "quantity",
+        "total_amount",
+        "sale_date",
+        (F.col("updated_at") == F.col("was")).alias("left_alone"),
+    )
+
+
 @query
 def fact_append(spark: SparkSession, folder: str) -> DataFrame:
     """Facts of one load added twice to the stored table, by month."""
@@ -765,6 +872,61 @@ def customer_steps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _landed_batch(spark: SparkSession, folder: str, root: str) -> dict[str, files.Extraction]:
+    """Product, customer and sales files and the two JSON feeds of one batch."""
+    rows = {
+        "csv_products": given.raw_products(spark, folder),
+        "csv_customers": given.raw_customers(spark, folder),
+        # Of records of one sale the last one counts, so they are put in their order.
+        "csv_sales": given.raw_sales(spark, folder).orderBy(given.sale_order()),
+    }
+    for source, frame in rows.items():
+        frame.write.option("header", True).option("escape", '"').csv(f"{root}/in/{source}")
+    feeds = {"api_products": given.api_products(spark, folder), "api_users": given.api_users(spark, folder)}
+    for source, frame in feeds.items():
+        frame.write.json(f"{root}/in/{source}")
+    found = {source: files.extract_csv(spark, f"{root}/in/{source}", source) for source in rows}
+    for source in feeds:
+        path = f"{root}/in/{source}"
+        found[source] = files.extract_json(spark, path, source, lines=True, source_type="api")
+    return found
+
+
+@query
+def warehouse_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job: landed files to raw, staging, star schema, marts and views.
+
+    One row per row of each mart and of a view over the stored facts, with its orders, quantity
+    and revenue.
+    """
+    root = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    store = Warehouse(spark, f"{root}/warehouse")
+    ingest_batch(spark, store, _landed_batch(spark, folder, root), "batch-2", now())
+    job = Transformation(spark, store, "batch-2", given.LOAD_DAY, datetime(2001, 6, 30, 12))
+    job.load_dim_date(given.FIRST_SHIP_DAY, date(2000, 12, 31))
+    job.run()
+
+    def shown(source: str, key: Column, table: DataFrame, orders: str, quantity: str | None, revenue: str):
+        amount = F.col(quantity).cast("bigint") if quantity else F.lit(None).cast("bigint")
+        return table.select(
+            F.lit(source).alias("source"), key.alias("key"), F.col(orders).cast("bigint").alias("orders"),
+            amount.alias("quantity"), F.col(revenue).cast("decimal(22,2)").alias("revenue"),
+        )
+
+    month = F.concat_ws("-", "year", "month_num")
+    stored = {name: store.read(f"mart.{name}") for name in (
+        "sales_daily", "product_performance", "customer_summary", "category_analysis")}
+    parts = [
+        shown("daily", F.col("date_key").cast("string"), stored["sales_daily"], "total_orders", "total_quantity", "total_revenue"),
+        shown("product", F.col("product_id"), stored["product_performance"], "total_orders", "total_quantity_sold", "total_revenue"),
+        shown("customer", F.col("customer_id"), stored["customer_summary"], "total_orders", "total_quantity", "total_spent"),
+        shown("category", F.concat_ws("-", "category", "year", "month_num"), stored["category_analysis"],
+              "total_orders", "total_quantity", "total_revenue"),
+        shown("month", month, store.query("SELECT * FROM vw_monthly_sales"), "orders", None, "revenue"),
+    ]
+    return quality.union_all(parts)
+
+
 @query
 def update_segments(spark: SparkSession, folder: str) -> DataFrame:
     customers = given.star_customers(spark, folder).withColumn("updated_at", earlier())

@@ -395,6 +395,26 @@ resolved AS (
   LEFT JOIN products p ON p.product_id = s.source_product_id || '-csv' AND p.is_current
   LEFT JOIN customers c ON c.customer_id = s.source_customer_id || '-csv' AND c.is_current)"""
 
+# Sales whose product and customer are valid too, and whose day is in the calendar.
+_LOADED = ",\n".join(
+    [
+        _STAGED_SALES,
+        RAW_PRODUCTS,
+        _CLEAN_PRODUCTS,
+        _checked("checked_products", "clean_products", PRODUCT_ERRORS),
+        RAW_CUSTOMERS,
+        _CLEAN_CUSTOMERS,
+        _checked("checked_customers", "clean_customers", CUSTOMER_ERRORS),
+    ]
+) + """,
+loaded AS (
+  SELECT s.source_sale_id, s.source_product_id || '-csv' AS product, s.source_customer_id || '-csv' AS customer,
+    s.sale_date AS day, s.quantity, s.total_amount AS total, p.category
+  FROM staged_sales s
+  JOIN checked_products p USING (source_product_id, source_system)
+  JOIN checked_customers c USING (source_customer_id, source_system)
+  WHERE p.errors = '' AND c.errors = '' AND s.sale_date BETWEEN DATE '1995-01-01' AND DATE '2000-12-31')"""
+
 _STAGED_PRODUCTS = f"""{_PRODUCTS},
 {PRODUCTS},
 valid AS (SELECT * FROM checked_products WHERE errors = ''),
@@ -744,6 +764,10 @@ _CARTS_OF_EVENTS = """streamed AS (
     DATE '2001-01-01' AS sale_date, 3::BIGINT AS n_batches
   FROM events GROUP BY user_id)"""
 
+# Events that land late, and the time up to which late ones are left out.
+_LANDED = """landed AS (SELECT *, event_id % 50 = 3 AS held_up FROM events),
+mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 12 DAY AS closed FROM landed WHERE NOT held_up)"""
+
 _REASONS = "[" + ", ".join(
     [
         "CASE WHEN quantity IS NULL THEN 'quantity cannot be null or empty' WHEN quantity <= 0 THEN 'quantity must be positive' END",
@@ -938,6 +962,37 @@ def queries() -> dict[str, str]:
             FROM lines JOIN part ON p_partkey = part""",
         "stream_ingest": f"""WITH {_CARTS_OF_EVENTS}
             SELECT source_sale_id, 'api' AS source_system, quantity, sale_date, n_batches FROM streamed""",
+        "warehouse_run": f"WITH {_LOADED}\n" + "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS source, {key} AS key, count(*) AS orders,
+              {'CAST(sum(quantity) AS BIGINT)' if name != 'month' else 'CAST(NULL AS BIGINT)'} AS quantity,
+              CAST(sum(total) AS DECIMAL(22,2)) AS revenue
+            FROM loaded GROUP BY ALL"""
+            for name, key in {
+                "daily": "strftime(day, '%Y%m%d')",
+                "product": "product",
+                "customer": "customer",
+                "category": "concat_ws('-', category, year(day), month(day))",
+                "month": "concat_ws('-', year(day), month(day))",
+            }.items()
+        ),
+        "stream_sales_once": f"""WITH {_LANDED}
+            SELECT event_id, user_id, value FROM landed, mark WHERE NOT held_up OR ts > closed""",
+        "stream_late_sales": f"""WITH {_LANDED}
+            SELECT event_id, 'late' AS reason FROM landed, mark WHERE held_up AND ts <= closed""",
+        "stream_daily_revenue": f"""WITH {_LANDED}
+            SELECT CAST(ts AS DATE) AS sale_date, count(*) AS sales,
+              CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS revenue
+            FROM landed, mark WHERE NOT held_up AND date_trunc('day', ts) + INTERVAL 1 DAY <= closed
+            GROUP BY CAST(ts AS DATE)""",
+        "stream_to_staging_sales": """WITH counted AS (
+              SELECT *, event_id % 7 + 1 AS q, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS more FROM events)
+            SELECT CAST(event_id AS VARCHAR) AS source_sale_id, 'csv' AS source_system,
+              CAST(user_id AS VARCHAR) AS source_customer_id, CAST(q + more AS INTEGER) AS quantity,
+              CAST(2 * (q + more) AS DECIMAL(12,2)) AS total_amount, DATE '2001-01-01' AS sale_date,
+              true AS left_alone FROM counted
+            UNION ALL
+            SELECT event_id || '-0', 'api', CAST(user_id AS VARCHAR), CAST(q AS INTEGER),
+              CAST(50 * q AS DECIMAL(12,2)), DATE '2001-01-01', true FROM counted""",
         "staging_products": f"WITH {_STAGED_PRODUCTS} SELECT * FROM staged_products",
         "load_stats": f"""WITH {_STAGED_PRODUCTS}
             SELECT action, count(*) AS records FROM staged_products GROUP BY action""",
