@@ -31,6 +31,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 # Bytes of one matrix, products of one block, and tokens of one part, each but for one document.
-MATRIX_BYTES, BLOCK_PRODUCTS, PART_TOKENS = 1 << 20, 1 << 22, 1 << 22
+MATRIX_BYTES, BLOCK_PRODUCTS, PART_TOKENS = 1 << 19, 1 << 20, 1 << 20
 # Ids are below this.
 IDS = 1 << 16
 
@@ -246,16 +247,16 @@ class Groups:
         return ["".join([table[c] for c in parts[low:high]]) for low, high in zip(cuts, cuts[1:])]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that make up one matrix."""
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Ranges of texts that make up one matrix, and these texts."""
     low, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or "") + 1
+    for k, length in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        size += length + 1
         if size >= MATRIX_BYTES:
-            yield low, k + 1
+            yield low, k + 1, texts[low : k + 1].to_pylist()
             low, size = k + 1, 0
     if low < len(texts):
-        yield low, len(texts)
+        yield low, len(texts), texts[low:].to_pylist()
 
 
 def _vocabularies(spark: SparkSession, byte_bpe: str, piece_bpe: str):
@@ -278,9 +279,8 @@ def links(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(*files.value)
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for low, high in _blocks(texts):
-                found = aligner.align(texts[low:high])
+            for low, high, texts in _blocks(batch["text"]):
+                found = aligner.align(texts)
                 over = found.overlap
                 left = np.repeat(np.arange(len(found.a)), np.diff(over.ptr))
                 ids_a, ids_b, groups_a, groups_b, overlaps = [], [], [], [], []
@@ -341,7 +341,7 @@ class _Part:
         self.ids += ids
         self.digests += digests
         self.counts.append(np.stack([np.diff(found.a_ptr), np.diff(found.b_ptr), np.diff(found.group_ptr), np.diff(sums)]))
-        self.keys.append(keys)
+        self.keys.append(keys.astype(np.uint32))
         self.times.append(found.pairs.val)
         self.cut += (ends[1:] + self.cut[-1]).tolist()
         self.tokens += len(found.a)
@@ -358,7 +358,7 @@ class _Part:
             pa.array([self.cut], pa.list_(pa.int64())),
             pa.array([_packed([steps], np.int32)], pa.binary()),
             pa.array([_packed(self.times, np.int64)], pa.binary()),
-            pa.array([pairs.astype(np.uint32).view(np.int32)], pa.list_(pa.int32())),
+            pa.array([pairs.view(np.int32)], pa.list_(pa.int32())),
             pa.array([docs], pa.list_(pa.int32())),
             pa.array([self.ids], pa.list_(id_type)),
         ]
@@ -377,9 +377,9 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, byte_bpe: str, piece_bpe
         number, part, id_type = TaskContext.get().partitionId() << 32, _Part(), None
         for batch in batches:
             id_type = batch.schema.field("id").type
-            texts, ids = batch["text"].to_pylist(), batch["id"].to_pylist()
-            for low, high in _blocks(texts):
-                found = aligner.align(texts[low:high])
+            ids = batch["id"].to_pylist()
+            for low, high, texts in _blocks(batch["text"]):
+                found = aligner.align(texts)
                 digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in writer.texts(found)]
                 part.add(ids[low:high], found, digests)
                 if part.tokens >= PART_TOKENS:
