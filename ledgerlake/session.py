@@ -69,22 +69,42 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path, fs = hadoop_path(spark, folder)
-        fs.delete(path, True)
+        discard(spark, folder)
 
 
 def materialize(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write `frame` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage like `checkpoint()`, survives lost executors, and keeps column
-    pruning for later scans, which a checkpointed RDD does not offer.
+    pruning for later scans, which a checkpointed RDD does not offer. As later steps read the
+    table only, Spark drops the shuffle files of this one when it ends.
     """
     spark = frame.sparkSession
     path = f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables that no later step reads."""
+    path, fs = hadoop_path(spark, folder)
+    fs.delete(path, True)
+
+
 def result_table(frame: DataFrame, label: str) -> DataFrame:
     """Write the rows of a query once, as `materialize` does; removed when Python ends.
 
@@ -98,7 +118,6 @@ def result_table(frame: DataFrame, label: str) -> DataFrame:
 
 def _removed(spark: SparkSession, folder: str) -> None:
     try:
-        path, fs = hadoop_path(spark, folder)
-        fs.delete(path, True)
+        discard(spark, folder)
     except Exception:  # the JVM may be gone before Python is
         shutil.rmtree(folder, ignore_errors=True)
