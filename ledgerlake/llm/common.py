@@ -5,9 +5,6 @@ Tables may have any further columns. Only names that begin with `_ll_` are the o
 
 from __future__ import annotations
 
-import gc
-import time
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +16,6 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written.
-
-    Its cleaner does so when the driver collects its garbage, which may be long after. What
-    Python lets go of is garbage there only a moment later, hence the second round.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def named(frame: DataFrame, name: str) -> Column:
     """A column by its whole name, even if that has dots in it."""
     return frame["`" + name.replace("`", "``") + "`"]

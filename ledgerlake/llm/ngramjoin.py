@@ -4,8 +4,10 @@ A text's set of shingles is hashed into a sketch of many bits, in which every sh
 one bit; bits that differ between two sketches are no more than the shingles that differ
 between the sets. Sets of one size band may differ in at most d shingles if they are to be
 similar enough. Their sketches are cut into more than d lanes, so similar sets agree in at
-least (lanes - d) lanes: sets that share a lane are candidates, a folded sketch drops most of
-the wrong ones, and the sets themselves decide.
+least (lanes - d) lanes: sets that share a lane are candidates. A short folded sketch goes along
+with the lanes; the whole sketch of a band has a few bits for each shingle that may differ, so it
+tells sets of any size apart, and drops nearly all wrong pairs before the sets themselves move
+and decide.
 
 Lanes with no bit, or one bit, set agree by chance. They are left out for sets that have fewer
 than (lanes - d) of them: two similar sets then agree in another lane as well, or else both
@@ -38,16 +40,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import named, read, release, text_digest
+from ledgerlake.llm.common import WORD, named, read, text_digest
 from ledgerlake.llm.components import components
-from ledgerlake.session import materialize
+from ledgerlake.session import materialize, result_table, scratch
 
 BAND_RATIO = 1.5
 LANE_BITS = 16
-# Words of the folded sketch that goes along with the lanes, and of the one that pairs are held to.
-FOLD_WORDS, WIDE_WORDS = 4, 16
+# Words of the folded sketch that goes along with the lanes.
+FOLD_WORDS = 4
+# Bits of a band's whole sketch for each shingle that may differ. With four, sets pass that differ
+# in up to 1.4 times as many (2 ln 2); unrelated ones differ in about nine times as many.
+SKETCH_BITS = 4
 # Compare all remaining pairs once they are at most so many per lane entry of the start.
-PAIRS_PER_ENTRY = 256
+PAIRS_PER_ENTRY = 32
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -136,9 +141,18 @@ def folded(values: np.ndarray, words: int = FOLD_WORDS) -> np.ndarray:
     return np.packbits((counts % 2).astype(np.uint8)).view(np.int64)
 
 
+def band_sketches(values: np.ndarray, percent: int) -> list[bytes]:
+    """The whole sketches of a set, for its band and larger ones it reaches."""
+    out = []
+    for band in range(band_of(len(values)), band_of(len(values) * 100 // percent) + 1):
+        differ = band_plan(band, percent)[0]
+        out.append(folded(values, max(1, -(-SKETCH_BITS * differ // 64))).tobytes())
+    return out
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """Per row: row, id, digest, n, the set's 128-bit hash, folded sketch and lane keys."""
-    fields = "row long, digest binary, n long, set_hash binary, fold array<long>, wide array<long>, lanes array<long>"
+    fields = "row long, digest binary, n long, set_hash binary, fold array<long>, lanes array<long>"
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         text_digest(named(docs, text_col)).alias("digest"),
@@ -150,39 +164,55 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         import xxhash
 
         for batch in batches:
-            sizes, hashes, folds, wides, lanes = [], [], [], [], []
+            sizes, hashes, folds, lanes = [], [], [], []
             for text in batch["text"]:
                 values = shingles(text.as_py(), words)
                 sizes.append(len(values))
                 hashes.append(xxhash.xxh3_128_digest(values.tobytes()))
                 folds.append(folded(values))
-                wides.append(folded(values, WIDE_WORDS))
                 lanes.append(lane_keys(values, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()),
-                 *[pa.array(x, pa.list_(pa.int64())) for x in (folds, wides, lanes)], batch["id"]],
-                ["row", "digest", "n", "set_hash", "fold", "wide", "lanes", "id"],
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (folds, lanes)], batch["id"]],
+                ["row", "digest", "n", "set_hash", "fold", "lanes", "id"],
             )
 
     return rows.mapInArrow(run, f"{fields}, id {rows.schema['id'].dataType.simpleString()}")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
-    """(node, values) of the wanted nodes, from one text of each."""
+def _sets(
+    docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, wanted: DataFrame
+) -> DataFrame:
+    """(node, band, sketches, values) of the wanted nodes, from one text of each."""
     texts = docs.select(
         named(docs, id_col).alias("text_id"),
         text_digest(named(docs, text_col)).alias("text_digest"),
         named(docs, text_col).alias("text"),
     )
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def values(some: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, words).view(np.int64) for t in some])
-
     met = texts.join(
         wanted, texts["text_id"].eqNullSafe(wanted["id"]) & (texts["text_digest"] == wanted["digest"])
     )
-    return met.dropDuplicates(["node"]).select("node", values("text").alias("values"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text.as_py(), words) for text in batch["text"]]
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], pa.array([band_of(len(v)) for v in sets], pa.int32()),
+                 pa.array([band_sketches(v, percent) for v in sets], pa.list_(pa.binary())),
+                 pa.array([v.view(np.int64) for v in sets], pa.list_(pa.int64()))],
+                ["node", "band", "sketches", "values"],
+            )
+
+    return met.dropDuplicates(["node"]).select("node", "text").mapInArrow(
+        run, "node long, band int, sketches array<binary>, values array<long>"
+    )
+
+
+@F.pandas_udf(T.LongType())
+def _differing(a: pd.Series, b: pd.Series) -> pd.Series:
+    """In how many bits two sketches differ."""
+    pairs = ((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b))
+    return pd.Series([int(np.bitwise_count(x ^ y).sum()) for x, y in pairs], dtype="int64")
 
 
 @F.pandas_udf(T.LongType())
@@ -196,31 +226,31 @@ def _similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
-def _hopeful(percent: int, sketch: str = "fold", words: int = FOLD_WORDS) -> str:
+def _hopeful(percent: int) -> str:
     """Pairs that sizes and folded sketches allow to be similar."""
-    bits = " + ".join(f"bit_count(a.{sketch}[{i}] ^ b.{sketch}[{i}])" for i in range(words))
+    bits = " + ".join(f"bit_count(a.fold[{i}] ^ b.fold[{i}])" for i in range(FOLD_WORDS))
     return (
         f"least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}"
         f" AND ({bits}) * {100 + percent} <= (a.n + b.n) * {100 - percent}"
     )
 
 
-def _verified(pairs: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose sets are similar.
 
-    The wide sketches of both leave few pairs for which the sets have to move.
+    The sketches of the larger set's band, which the smaller one reaches as well, leave few pairs
+    for which the sets have to move.
     """
-    first = known.select(F.col("node").alias("x"), F.struct("n", "wide").alias("sx"))
-    second = known.select(F.col("node").alias("y"), F.struct("n", "wide").alias("sy"))
-    near = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "na", "nb").join(first, "x").join(second, "y")
-    near = near.select("x", "y", "na", "nb", F.col("sx").alias("a"), F.col("sy").alias("b"))
-    pairs = near.where(_hopeful(percent, "wide", WIDE_WORDS)).select(
-        F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb"
-    )
+    first = sets.selectExpr("node AS a", "band AS band_a", "sketches AS of_a")
+    second = sets.selectExpr("node AS b", "band AS band_b", "sketches AS of_b")
+    met = pairs.join(first, "a").join(second, "b")
+    band = F.greatest("band_a", "band_b")
+    bits = _differing(F.get("of_a", band - F.col("band_a")), F.get("of_b", band - F.col("band_b")))
+    near = met.where(bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
     one = sets.select(F.col("node").alias("a"), F.col("values").alias("va"))
     two = sets.select(F.col("node").alias("b"), F.col("values").alias("vb"))
-    met = pairs.join(one, "a").join(two, "b")
-    return met.where(_similar(_shared("va", "vb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+    both = near.select("a", "b", "na", "nb").join(one, "a").join(two, "b")
+    return both.where(_similar(_shared("va", "vb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def _hubs(links: DataFrame, weights: DataFrame) -> DataFrame:
@@ -255,38 +285,37 @@ def _first_pairs(live: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         F.col("a1").alias("a"), F.col("b1").alias("b"), "na", "nb").distinct()
 
 
+def _lane_entries(marked: DataFrame, folder: str) -> DataFrame:
+    """(key, node, m) for the lanes that several sets share, `m` of them.
+
+    Only one row of every set has its lanes listed, so copies add nothing. Keys are counted with
+    partial sums before the few that are shared meet their nodes.
+    """
+    firsts = marked.groupBy("set_hash").agg(F.min("row").alias("node")).select("node")
+    nodes = marked.select("row", "lanes").join(firsts, F.col("row") == F.col("node"), "left_semi")
+    posts = nodes.select(F.col("row").alias("node"), F.explode(F.array_distinct("lanes")).alias("key"))
+    often = posts.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    often = materialize(often, "lane-keys", folder)
+    return materialize(posts.join(often, "key"), "lane-entries", folder)
+
+
 def linked_sets(
-    marked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int
+    marked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, folder: str
 ) -> DataFrame:
     """(node, root) for nodes that are linked to a smaller one; a node is the first row of a set."""
-    spark = docs.sparkSession
-    firsts = marked.groupBy("set_hash").agg(F.min("row").alias("node"))
-    nodes = marked.select("row", "set_hash").join(firsts, "set_hash").select("row", "node")
-    posts = marked.select("row", F.explode("lanes").alias("key"))
-    often = posts.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
-    often = materialize(often.select("key"), "lane-keys")
-    release(spark)
-    entries = posts.join(often, "key").join(nodes, "row").select("key", "node").distinct()
-    entries = materialize(entries, "lane-entries")
-    release(spark)
-
-    facts = marked.select("row", "id", "digest", "n", "fold", "wide")
-    busy = entries.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    entries = materialize(entries.join(busy, "key"), "lane-entries")
+    entries = _lane_entries(marked, folder)
+    facts = marked.select("row", "id", "digest", "n", "fold")
     known = materialize(
         entries.groupBy("node").agg(F.sum("m").alias("weight")).join(facts, F.col("node") == F.col("row")).drop("row"),
-        "lane-nodes",
-    )
-    sets = materialize(
-        _sets(docs, id_col, text_col, words, known.select("node", "id", "digest")), "lane-sets"
-    )
-    release(spark)
+        "lane-nodes", folder,
+    )
+    wanted = known.select("node", "id", "digest")
+    sets = materialize(_sets(docs, id_col, text_col, words, percent, wanted), "lane-sets", folder)
     sketch, weights = known.select("node", "n", "fold"), known.select("node", "weight")
     live = entries.select("key", "node")
-    first = materialize(_first_pairs(live, known, percent), "lane-pairs")
-    links = materialize(_verified(first, known, sets, percent), "lane-links")
-    roots = components(links)
-    release(spark)
+    first = materialize(_first_pairs(live, known, percent), "lane-pairs", folder)
+    links = materialize(_verified(first, sets, percent), "lane-links", folder)
+    roots = components(links, folder)
     leaders_each, most = 1, None
     while True:
         # Lanes that hold several components, and their pairs of nodes of different ones.
@@ -294,11 +323,10 @@ def linked_sets(
         parts = rooted.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
         lanes = parts.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") ** 2).alias("same"))
         open_lanes = lanes.where("m * m > same").selectExpr("key", "(m * m - same) / (2 * m) AS share")
-        live = materialize(rooted.join(open_lanes, "key"), "lane-live")
-        release(spark)
+        live = materialize(rooted.join(open_lanes, "key"), "lane-live", folder)
         size, pairs_left = live.agg(F.count("*"), F.sum("share")).first()
         if not size:
-            return components(links)
+            return components(links, folder)
         most = most or PAIRS_PER_ENTRY * size
         last = pairs_left <= most
         left = live.select("key", "node", "root").join(sketch, "node")
@@ -320,13 +348,11 @@ def linked_sets(
                         "if(a.node < b.node, a.n, b.n) AS na", "if(a.node < b.node, b.n, a.n) AS nb")
             .distinct()
         )
-        pairs = materialize(pairs, "lane-pairs")
-        release(spark)
-        links = materialize(links.unionByName(_verified(pairs, known, sets, percent)), "lane-links")
-        release(spark)
+        pairs = materialize(pairs, "lane-pairs", folder)
+        links = materialize(links.unionByName(_verified(pairs, sets, percent)), "lane-links", folder)
         if last:
-            return components(links)
-        roots = materialize(_hubs(links, weights), "lane-hubs")
+            return components(links, folder)
+        roots = materialize(_hubs(links, weights), "lane-hubs", folder)
         live = live.select("key", "node").join(others.select("key", "node"), ["key", "node"], "left_anti")
         leaders_each *= 2
 
@@ -344,46 +370,53 @@ def jaccard_classes(
     is the smallest id in it, `first` whether the row is the first of its class by id, digest
     and row.
     """
-    marked = materialize(sketches(docs, id_col, text_col, words, percent), "sketches")
-    filled = marked.where("n > 0")
-    roots = linked_sets(filled, docs, id_col, text_col, words, percent)
-    firsts = filled.groupBy("set_hash").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
-    sets = firsts.join(roots, "node", "left").select(
-        "set_hash", "copies", F.coalesce("root", "node").alias("class")
-    )
-    rows = (
-        marked.select("row", "id", "digest", "n", F.when(F.col("n") > 0, F.col("set_hash")).alias("set_hash"))
-        .join(sets, "set_hash", "left")
-        .withColumn("class", F.coalesce("class", "row"))
-    )
-    classes = rows.groupBy("class").agg(
-        F.min("id").alias("class_id"), F.min(F.struct("id", "digest", "row")).alias("least")
-    )
-    return rows.join(classes, "class").select(
-        "row", "id", "digest", F.col("n").alias("n_shingles"), "class", "class_id",
-        F.coalesce("copies", F.lit(1).cast("long")).alias("n_copies"), (F.col("row") == F.col("least.row")).alias("first"),
-    )
+    with scratch(docs.sparkSession) as folder:
+        marked = materialize(sketches(docs, id_col, text_col, words, percent), "sketches", folder)
+        filled = marked.where("n > 0")
+        roots = linked_sets(filled, docs, id_col, text_col, words, percent, folder)
+        firsts = filled.groupBy("set_hash").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
+        sets = firsts.join(roots, "node", "left").select(
+            "set_hash", "copies", F.coalesce("root", "node").alias("class")
+        )
+        rows = (
+            marked.select("row", "id", "digest", "n", F.when(F.col("n") > 0, F.col("set_hash")).alias("set_hash"))
+            .join(sets, "set_hash", "left")
+            .withColumn("class", F.coalesce("class", "row"))
+        )
+        classes = rows.groupBy("class").agg(
+            F.min("id").alias("class_id"), F.min(F.struct("id", "digest", "row")).alias("least")
+        )
+        found = rows.join(classes, "class").select(
+            "row", "id", "digest", F.col("n").alias("n_shingles"), "class", "class_id",
+            F.coalesce("copies", F.lit(1).cast("long")).alias("n_copies"), (F.col("row") == F.col("least.row")).alias("first"),
+        )
+        return result_table(found, "classes")
 
 
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """The documents, less all but the first of every class of similar ones."""
+    """The documents, less all but the first of every class of similar ones.
+
+    Rows that agree in id and text are one class if they have words, so one of them is kept;
+    they are reduced to one in the map tasks before they meet the classes. Rows without words
+    are linked with nothing and all stay.
+    """
     classes = jaccard_classes(docs, id_col, text_col, words, percent)
-    kept = (
-        classes.where("first")
-        .groupBy(F.col("id").alias("_ll_kept_id"), F.col("digest").alias("_ll_kept_digest"))
-        .agg(F.count("*").alias("_ll_keep"))
+    kept = classes.where("first AND n_shingles > 0").select(
+        F.col("id").alias("_ll_kept_id"), F.col("digest").alias("_ll_kept_digest")
     )
-    left = docs.withColumns(
+    has_words = F.coalesce(named(docs, text_col).rlike(WORD), F.lit(False))
+    keyed = docs.where(has_words).withColumns(
         {"_ll_id": named(docs, id_col), "_ll_digest": text_digest(named(docs, text_col))}
     )
-    both = left.join(
+    one = keyed.dropDuplicates(["_ll_id", "_ll_digest"])
+    left = one.join(
         kept,
-        left["_ll_id"].eqNullSafe(kept["_ll_kept_id"]) & (left["_ll_digest"] == kept["_ll_kept_digest"]),
-    ).withColumn("_ll_turn", F.expr("row_number() OVER (PARTITION BY _ll_id, _ll_digest ORDER BY _ll_digest)"))
-    both = both.where("_ll_turn <= _ll_keep")
-    return both.select(*[named(both, c) for c in docs.columns])
+        one["_ll_id"].eqNullSafe(kept["_ll_kept_id"]) & (one["_ll_digest"] == kept["_ll_kept_digest"]),
+        "left_semi",
+    )
+    return left.select(*[named(left, c) for c in docs.columns]).unionByName(docs.where(~has_words))
 
 
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

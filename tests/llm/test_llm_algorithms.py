@@ -386,3 +386,17 @@ def test_hash_of_digest_is_stable():
     assert hashlib.sha256(fingerprints.digest(b"equal text", np.arange(1001))).digest() == hashlib.sha256(
         fingerprints.digest(b"equal text", np.arange(1001))
     ).digest()
+
+
+@pytest.mark.parametrize("size", [40, 550, 8000, 60000])
+def test_band_sketches_tell_sets_of_any_size_apart(size):
+    rng = np.random.default_rng(size)
+    one, two = (rng.integers(0, 2**63, size, np.uint64) for _ in range(2))
+    near = np.concatenate([one[: size - size // 20], two[: size // 20]])
+    sketch = [ngramjoin.band_sketches(np.unique(x), 80)[0] for x in (one, two, near)]
+    words = [np.frombuffer(s, np.uint64) for s in sketch]
+    allowed = 2 * size * 20 / 180
+    assert int(np.bitwise_count(words[0] ^ words[1]).sum()) > allowed
+    assert int(np.bitwise_count(words[0] ^ words[2]).sum()) <= allowed
+    # The sketch is a small part of the set.
+    assert len(sketch[0]) <= 8 * size / 20 + 8
