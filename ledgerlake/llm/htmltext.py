@@ -4,8 +4,11 @@ A page becomes a list of blocks, the texts between block-level tags. A classifie
 ancestors, links, length and punctuation of a block gives a log-odds of being content; its
 size is the capacity to one of two terminals. Tags, roles and names of the ancestors are
 evidence among the rest, about as strong as all the edges of a block together, so that the cut
-may overturn them. A name counts as a whole, whatever words it is made of. Blocks that are neighbours on the page, and
-consecutive blocks of one parent or of near ones in the tree, are joined by smoothness edges.
+may overturn them. Names made of several words are read by them: the last word says what a part
+is, the others what it belongs to; names of a state (`no-sidebar`, `comments-open`) say nothing
+of the part itself. A part that is out by the words of its name, but holds more than half of the
+page's text, is not held to be so. Blocks that are neighbours on the page, and consecutive blocks of one parent
+or of near ones in the tree, are joined by smoothness edges.
 The minimum cut, found by max-flow, separates content from boilerplate; the content blocks in
 page order are the text.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 from itertools import islice
 
@@ -32,12 +36,14 @@ from ledgerlake.llm.common import named, read
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby"
-    " s samp small span strike strong sub sup time tt u var wbr".split()
+    " s samp small span strike strong sub sup time tt u var wbr"
+    " math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder"
+    " munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "script style noscript template head title svg math iframe object canvas audio video select"
-    " textarea button datalist".split()
+    "script style noscript template head title svg iframe object canvas audio video select"
+    " textarea button datalist annotation annotation-xml".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dir div dl fieldset figcaption figure footer form"
@@ -61,21 +67,54 @@ OUT_NAMES = frozenset(
     " skip tags meta byline hidden".split()
 )
 IN_NAMES = frozenset("content article post entry story main body text maincontent articlebody".split())
-NAME_JOINTS = re.compile(r"[-_]")
+#: Names of a state or a layout, by their first or last word.
+STATE_FIRST = frozenset("no not without has have with is hide show hides shows".split())
+STATE_LAST = frozenset("open opened close closed enabled disabled fixed sticky active inactive on off allowed".split())
+#: Last words that only say that something is kept together.
+HOLDERS = frozenset(
+    "area bar block body bottom box button buttons column container content footer form group header holder"
+    " icons inner item items left link links list main outer panel right row section slot text thread title"
+    " top unit wrap wrapper zone".split()
+)
+NAME_WORDS = re.compile(r"[^\W\d_]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Evidence of marks; that of parts that are never content outweighs the best text by itself.
 MARK = 16
+WEAK_MARK = 8
 FIRM_MARK = 24
 NEAR = 6
 
+# What the names of a part say of it.
+NOTHING, COMMENTS, OUTSIDE, LIKELY_OUTSIDE, PERHAPS_OUTSIDE, CONTENT = range(6)
+
+
+@lru_cache(1 << 16)
+def meaning(name: str) -> int:
+    """What a class name, an id or an item property says of the part that has it."""
+    words = [w.lower() for w in NAME_WORDS.findall(CAMEL.sub("-", name))]
+    whole = "".join(words)
+    for kind, names in ((COMMENTS, COMMENT_NAMES), (OUTSIDE, OUT_NAMES), (CONTENT, IN_NAMES)):
+        if whole in names:
+            return kind
+    if not words or words[0] in STATE_FIRST or words[-1] in STATE_LAST:
+        return NOTHING
+    if words[0] in COMMENT_NAMES or words[-1] in COMMENT_NAMES:
+        return COMMENTS
+    if words[-1] in OUT_NAMES:
+        return LIKELY_OUTSIDE
+    if any(w in OUT_NAMES or w in COMMENT_NAMES for w in words[:-1]):
+        return LIKELY_OUTSIDE if words[-1] in HOLDERS else PERHAPS_OUTSIDE
+    return CONTENT if any(w in IN_NAMES for w in words) else NOTHING
+
 
 @dataclass
 class Block:
     text: str
     path: tuple[int, ...]  # the elements around it, the nearest first, as far as edges look
     tag: str
-    verdict: int
-    hint: int
+    verdict: int = 0
+    hint: int = 0
     linked: int = 0
 
 
@@ -83,13 +122,22 @@ class Block:
 class _Open:
     tag: str
     number: int
-    verdict: int
-    firm: bool
-    hint: int
     skipped: bool
     link: bool
 
 
+@dataclass
+class _Element:
+    """An element that opened: the one around it, what marks it, and how much text it holds."""
+
+    above: int
+    mark: int = 0
+    firm: bool = False
+    by_words: bool = False
+    hint: int = 0
+    size: int = 0
+
+
 @dataclass
 class _Reader(HTMLParser):
     """Reads a page into blocks."""
@@ -98,16 +146,15 @@ class _Reader(HTMLParser):
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("#page", 0, 0, False, 0, False, False)]
-        self.count, self.parts, self.linked = 0, [], 0
+        self.stack, self.elements = [_Open("#page", 0, False, False)], [_Element(0)]
+        self.parts, self.linked = [], 0
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            path = [x for x in islice(reversed(self.stack), 4 * NEAR) if x.tag not in INLINE]
-            top = path[0] if path else self.stack[0]
-            numbers = tuple(x.number for x in path[: NEAR + 2])
-            self.blocks.append(Block(text, numbers, top.tag, top.verdict, top.hint, self.linked))
+            path = list(islice((x for x in reversed(self.stack) if x.tag not in INLINE), NEAR + 2))
+            self.blocks.append(Block(text, tuple(x.number for x in path), path[0].tag, linked=self.linked))
+            self.elements[path[0].number].size += len(text)
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -119,7 +166,6 @@ class _Reader(HTMLParser):
             self._end_within(CLOSES_LIKE[tag], HOLDS)
         if tag in VOID:
             return
-        self.count += 1
         self.stack.append(self._opened(tag, dict(attrs)))
 
     def handle_startendtag(self, tag, attrs):
@@ -155,26 +201,45 @@ class _Reader(HTMLParser):
 
     def _opened(self, tag, attrs) -> _Open:
         above = self.stack[-1]
-        verdict, firm, hint = above.verdict, above.firm, above.hint
-        names = {
-            NAME_JOINTS.sub("", x).lower()
-            for key in ("class", "id", "itemprop")
-            for x in (attrs.get(key) or "").split()
-        }
+        element = _Element(above.number)
+        said = {meaning(x) for key in ("class", "id", "itemprop") for x in (attrs.get(key) or "").split()}
         role = (attrs.get("role") or "").lower()
-        if not firm and tag not in ("html", "body") and tag not in INLINE:
-            if tag in ALWAYS_OUT or names & COMMENT_NAMES and tag not in IN:
-                verdict, firm = -FIRM_MARK, True
-            elif tag in OUT or role in OUT_ROLES or names & OUT_NAMES and tag not in IN:
-                verdict = -MARK
+        if tag not in ("html", "body") and tag not in INLINE:
+            if tag in ALWAYS_OUT or COMMENTS in said and tag not in IN:
+                element.mark, element.firm = -FIRM_MARK, True
+            elif tag in OUT or role in OUT_ROLES:
+                element.mark = -MARK
+            elif OUTSIDE in said and tag not in IN:
+                element.mark = -MARK
+            elif LIKELY_OUTSIDE in said and tag not in IN:
+                element.mark, element.by_words = -MARK, True
             elif tag in IN or role in ("main", "article"):
-                verdict = MARK
-            elif names & IN_NAMES:
-                hint = 2
+                element.mark = MARK
+            elif CONTENT in said:
+                element.hint = 2
+            elif PERHAPS_OUTSIDE in said:
+                element.mark, element.by_words = -WEAK_MARK, True
         style = (attrs.get("style") or "").replace(" ", "").lower()
         unseen = "hidden" in attrs or "display:none" in style
+        self.elements.append(element)
         skipped = above.skipped or tag in SKIPPED or unseen
-        return _Open(tag, self.count, verdict, firm, hint, skipped, above.link or tag == "a")
+        return _Open(tag, len(self.elements) - 1, skipped, above.link or tag == "a")
+
+    def judged(self) -> list[Block]:
+        """The blocks with what the elements around them say; the innermost mark counts."""
+        elements = self.elements
+        for element in reversed(elements[1:]):
+            elements[element.above].size += element.size
+        verdicts = [(0, False, 0)]
+        for element in elements[1:]:
+            verdict, firm, hint = verdicts[element.above]
+            most = element.by_words and 2 * element.size > elements[0].size
+            if not firm and element.mark and not most:
+                verdict, firm = element.mark, element.firm
+            verdicts.append((verdict, firm, 0 if firm else element.hint or hint))
+        for block in self.blocks:
+            block.verdict, _, block.hint = verdicts[block.path[0]]
+        return self.blocks
 
 
 def odds(block: Block) -> int:
@@ -268,7 +333,7 @@ def main_text(html: str | None) -> str:
     reader.feed(html)
     reader.close()
     reader.flush()
-    blocks = reader.blocks
+    blocks = reader.judged()
     kept = min_cut([odds(b) for b in blocks], edges(blocks))
     return " ".join(b.text for b, keep in zip(blocks, kept) if keep)
 

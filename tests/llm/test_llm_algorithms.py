@@ -400,3 +400,37 @@ def test_band_sketches_tell_sets_of_any_size_apart(size):
     assert int(np.bitwise_count(words[0] ^ words[2]).sum()) <= allowed
     # The sketch is a small part of the set.
     assert len(sketch[0]) <= 8 * size / 20 + 8
+
+
+LONG = "This sentence is a part of the main text, and it goes on for a while, as articles do. " * 3
+
+
+@pytest.mark.parametrize("name", [
+    "comment-list", "post-comments", "cookie-banner", "site-footer", "ad-container", "commentList", "comments_area",
+    "user-comments", "page-sidebar", "share-buttons", "related-posts-widget", "google-ad", "header-menu",
+])
+def test_compound_names_of_other_parts(name):
+    inner = f"<p>{LONG}</p>" if "comment" in name.lower() else "<p>We use some of your data to improve this.</p>"
+    page = f'<article><p>{LONG}</p><p>{LONG}</p><div class="{name}">{inner}</div></article>'
+    assert htmltext.main_text(page) == f"{LONG.strip()} {LONG.strip()}"
+
+
+@pytest.mark.parametrize("opening, tag", [
+    ('<article class="post comments-open">', "article"), ('<div class="content no-sidebar">', "div"),
+    ('<div class="page nav-fixed">', "div"), ('<div class="layout-with-sidebar">', "div"),
+    ('<div class="hasSidebar">', "div"), ('<div class="sidebar-layout">', "div"), ('<section class="social-studies">', "section"),
+])
+def test_names_that_an_article_overturns(opening, tag):
+    page = f"<nav><a>Home</a></nav>{opening}<p>{LONG}</p><p>{LONG}</p></{tag}><footer>End</footer>"
+    assert htmltext.main_text(page) == f"{LONG.strip()} {LONG.strip()}"
+
+
+def test_formulas_stay_in_their_sentence():
+    formula = "<math><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup><annotation>x=y^2</annotation></math>"
+    assert htmltext.main_text(f"<article><p>{LONG}so {formula} holds.</p></article>") == f"{LONG}so x=y2 holds."
+
+
+def test_deeply_nested_inline_elements_keep_their_place():
+    deep = "<span>" * 60 + LONG + "</span>" * 60
+    page = f'<div class="comment-list"><p>{deep}</p></div><article><p>{deep}</p></article>'
+    assert htmltext.main_text(page) == LONG.strip()
