@@ -15,7 +15,7 @@ from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
 from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.plans.pipeline import Transformation
 from ledgerlake.schemas import TABLES
-from ledgerlake.session import shared_dir
+from ledgerlake.session import result_table, shared_dir
 from ledgerlake.sources import files, raw
 from ledgerlake.sources import tables as given
 from ledgerlake.sources.store import Warehouse
@@ -54,6 +54,12 @@ def query(function: Query) -> Query:
 # ------------------------------------------------------- calendar and cleaning
 
 
+def _stage(current: DataFrame, checked: staging.Checked, when: Column, batch_id: Column) -> DataFrame:
+    """Staging as the job does it, with the checked records stored first."""
+    stored = staging.Checked(checked.entity, result_table(checked.records, checked.entity))
+    return staging.stage(current, stored, when, batch_id)
+
+
 @query
 def dim_date_full(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar of every day that occurs in the order and ship dates."""
@@ -333,7 +339,7 @@ def _earlier_products(spark: SparkSession, folder: str) -> DataFrame:
 def staging_products(spark: SparkSession, folder: str) -> DataFrame:
     """Valid CSV and API products upserted into the earlier snapshot."""
     current = _earlier_products(spark, folder)
-    staged = staging.stage(current, _products(spark, folder), now(), batch())
+    staged = _stage(current, _products(spark, folder), now(), batch())
     return staged.select(
         "source_product_id",
         "source_system",
@@ -353,7 +359,7 @@ def staging_products(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def staging_customers(spark: SparkSession, folder: str) -> DataFrame:
-    staged = staging.stage(
+    staged = _stage(
         _no_rows(spark, "staging.customers"), _customers(spark, folder), now(), batch()
     )
     return staged.select(
@@ -372,7 +378,7 @@ def staging_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _staged_sales(spark: SparkSession, folder: str) -> DataFrame:
     empty = _no_rows(spark, "staging.sales")
-    return staging.stage(empty, _sales(spark, folder), now(), batch())
+    return _stage(empty, _sales(spark, folder), now(), batch())
 
 
 @query
@@ -412,7 +418,7 @@ def staging_customers_update(spark: SparkSession, folder: str) -> DataFrame:
     before = given.load(spark, folder, "customer").where("c_custkey % 2 = 0").select(
         *[known.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
     )
-    staged = staging.stage(before, staging.check(both, "customers", load_day()), now(), batch())
+    staged = _stage(before, staging.check(both, "customers", load_day()), now(), batch())
     return staged.select("source_customer_id", "source_system", "email", "full_name", "batch_id", "action")
 
 
@@ -426,7 +432,7 @@ def staging_sales_update(spark: SparkSession, folder: str) -> DataFrame:
         staging.clean_api_carts(raw.flatten_carts(given.api_carts(spark, folder)), no_place)
     )
     before = _sale_lines(spark, folder).where(F.split("source_sale_id", "-")[0].cast("bigint") % 2 == 0)
-    staged = staging.stage(
+    staged = _stage(
         before.drop("line"), staging.check(both, "sales", load_day()), now(), batch()
     )
     return staged.select("source_sale_id", "source_system", "quantity", "batch_id", "action")
@@ -435,7 +441,7 @@ def staging_sales_update(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def load_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per action of the product upsert."""
-    staged = staging.stage(
+    staged = _stage(
         _earlier_products(spark, folder), _products(spark, folder), now(), batch()
     )
     return staged.groupBy("action").agg(F.count(F.lit(1)).alias("records"))
@@ -470,7 +476,7 @@ def scd2_product(spark: SparkSession, folder: str) -> DataFrame:
     checked = staging.check(
         staging.clean_csv_products(given.raw_products(spark, folder)), "products", load_day()
     )
-    snapshot = staging.stage(_no_rows(spark, "staging.products"), checked, now(), batch())
+    snapshot = _stage(_no_rows(spark, "staging.products"), checked, now(), batch())
     merged = dimensions.merge_products(
         dim, dimensions.staged_products(snapshot), load_day(), now()
     )
@@ -519,7 +525,7 @@ def _customer_dim(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def scd2_customer(spark: SparkSession, folder: str) -> DataFrame:
     """Staged customers merged into the customer dimension."""
-    snapshot = staging.stage(
+    snapshot = _stage(
         _no_rows(spark, "staging.customers"), _customers(spark, folder), now(), batch()
     )
     merged = dimensions.merge_customers(
@@ -692,7 +698,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     found = store.read("raw.api_carts")
     cleaned = staging.clean_api_carts(found, staging.arrival())
     checked = staging.check(cleaned, "sales", load_day())
-    staged = staging.stage(_no_rows(spark, "staging.sales"), checked, now(), batch())
+    staged = _stage(_no_rows(spark, "staging.sales"), checked, now(), batch())
     batches = found.agg(F.countDistinct("batch_id")).scalar()
     return staged.select(
         "source_sale_id", "source_system", "quantity", "sale_date", batches.alias("n_batches")

@@ -5,59 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A 64-bit value is cut into a signed top part of 22 bits and two parts of 21 bits, so a
-# window never sees more than 2**22 rows, however many rows or ties there are.
-DIGIT_BITS = 21
-
-def _before(parts: list[str], name: str) -> Column:
-    """Rows with a larger last part under the same leading parts."""
-    window = Window.orderBy(F.desc(parts[-1]))
-    if parts[:-1]:
-        window = window.partitionBy(*parts[:-1])
-    window = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(name).over(window), F.lit(0).cast("long"))
-
-
-def _offsets(counts: DataFrame, parts: list[str]) -> DataFrame:
-    """For each distinct value: the number of rows with a larger value."""
-    level = counts.withColumn("_off", _before(parts, "_n"))
-    if len(parts) == 1:
-        return level
-    parent = counts.groupBy(*parts[:-1]).agg(F.sum("_n").alias("_n"))
-    above = _offsets(parent, parts[:-1]).select(*parts[:-1], F.col("_off").alias("_above"))
-    # At most 2**21 rows meet one parent row, so this join cannot be skewed.
-    summed = level.join(above, parts[:-1]).withColumn("_off", F.col("_off") + F.col("_above"))
-    return summed.drop("_above")
-
-
-def _ranks(frame: DataFrame, value: Column, name: str) -> DataFrame:
-    """Each distinct value with its rank: one more than the rows above it, which are
-    counted per value and summed digit by digit from the top. NULL comes last.
+from ledgerlake.session import materialize, result_table, scratch
+
+
+def _ranked_values(frame: DataFrame, names: list[str], folder: str) -> DataFrame:
+    """(measure, value, rank) of every distinct value of the measures, NULL last.
+
+    All measures are counted in one pass, with partial counts per value, so ties of any number are
+    one row. The counted values are dealt by range, largest first, and stored, which pins the
+    partitions. A rank is then one more than the rows of earlier partitions, of which there is a
+    sum per partition and measure, and of larger values in the same partition.
     """
-    parts = ["_hi", "_mid", "_lo"]
-    mask = (1 << DIGIT_BITS) - 1
-    counts = frame.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    known = counts.where("_value IS NOT NULL").select(
-        "_value",
-        "_n",
-        F.shiftright("_value", 2 * DIGIT_BITS).alias("_hi"),
-        F.shiftright("_value", DIGIT_BITS).bitwiseAND(mask).alias("_mid"),
-        F.col("_value").bitwiseAND(mask).alias("_lo"),
-    )
-    ranks = _offsets(known, parts).select("_value", (F.col("_off") + 1).alias(name))
-    above_null = known.agg((F.coalesce(F.sum("_n"), F.lit(0)) + 1).cast("bigint").alias(name))
-    return ranks.unionByName(above_null.select(F.lit(None).cast("bigint").alias("_value"), name))
+    each = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(n).cast("bigint").alias("value")) for i, n in enumerate(names)])
+    values = frame.select(F.explode(each).alias("one")).select("one.*")
+    counts = values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counts.repartitionByRange(F.col("measure"), F.desc_nulls_last("value"))
+    stored = materialize(dealt.withColumn("part", F.spark_partition_id()), "ranges", folder)
+    sums = stored.groupBy("measure", "part").agg(F.sum("n").alias("_n"))
+    earlier = Window.partitionBy("measure").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("measure", "part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("measure", "part").orderBy(F.desc_nulls_last("value"))
+    above = F.coalesce(F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = stored.withColumn("_above", above).join(offsets, ["measure", "part"])
+    return ranked.select("measure", "value", (F.col("_before") + F.col("_above") + 1).cast("bigint").alias("rank"))
 
 
 def rank_all(frame: DataFrame, ranks: dict[str, Column]) -> DataFrame:
-    """Add RANK() OVER (ORDER BY value DESC) for each value, which are longs.
+    """Add RANK() OVER (ORDER BY value DESC NULLS LAST) for each value, which are longs.
 
-    Ranks come from counts per distinct value, so no task sorts all rows, and ties of any
+    `frame` is stored first, as it is read once for the ranks and once for the result. Ties of any
     number meet their value in a join that splits them.
     """
-    result = frame
-    for name, value in ranks.items():
-        ranked = _ranks(frame, value, name)
-        keyed = result.withColumn("_key", value)
-        result = keyed.join(ranked, keyed["_key"].eqNullSafe(ranked["_value"])).drop("_key", "_value")
+    keyed = frame.withColumns({f"_{name}": value for name, value in ranks.items()})
+    result = stored = result_table(keyed, "ranked")
+    with scratch(frame.sparkSession) as folder:
+        values = result_table(_ranked_values(stored, [f"_{name}" for name in ranks], folder), "ranks")
+    for i, name in enumerate(ranks):
+        mine = values.where(F.col("measure") == i).select(F.col("value").alias("_value"), F.col("rank").alias(name))
+        result = result.join(mine, result[f"_{name}"].eqNullSafe(mine["_value"])).drop(f"_{name}", "_value")
     return result

@@ -9,17 +9,25 @@ from pyspark.sql import functions as F
 def last_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key by `order`.
 
-    An aggregate rather than a window: copies of a hot key are reduced before the
-    shuffle, so no task ever holds all of them. Equal rows are interchangeable; order
-    columns that tie are settled by the remaining columns.
+    Keys are counted first, in a hash aggregate of keys alone, and only rows of repeated keys
+    are put in order; all others pass as they are, without a sort, and without a shuffle if the
+    repeated keys are few enough for Spark to broadcast. The last row is an aggregate rather than
+    a window: copies of a hot key are reduced before the shuffle, so no task ever holds all of
+    them. Equal rows are interchangeable; order columns that tie are settled by the remaining
+    columns. `frame` is read three times, so it should be a stored table.
     """
+    counts = frame.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counts.where("_n > 1").drop("_n")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     rest = [c for c in frame.columns if c not in keys]
     ranked = F.struct(*order, *[c for c in rest if c not in order])
-    return (
-        frame.groupBy(*keys)
+    last = (
+        frame.join(repeated, same, "left_semi")
+        .groupBy(*keys)
         .agg(F.max(ranked).alias("_last"))
         .select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
     )
+    return frame.join(repeated, same, "left_anti").select(*keys, *rest).unionByName(last)
 
 
 def upsert(

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 from collections import Counter
 from datetime import date, datetime
 
@@ -53,6 +54,26 @@ def test_last_record_of_a_hot_key_wins(spark):
     assert found == {"hot": "v999", "cold": None}
 
 
+def test_last_records_keep_null_keys_and_every_column(spark):
+    rows = [(None, 1, "a"), (None, 2, "b"), ("x", 1, None), ("y", 3, "c"), ("y", 3, "d"), ("z", 0, "e"), ("z", 0, "e")]
+    frame = spark.createDataFrame(rows, "k string, line int, value string")
+    found = last_per_key(frame, ["k"], ["line"])
+    assert found.columns == ["k", "line", "value"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(None, 2, "b"), ("x", 1, None), ("y", 3, "d"), ("z", 0, "e")], key=str
+    )
+    assert last_per_key(frame.limit(0), ["k"], ["line"]).collect() == []
+
+
+def test_only_rows_of_repeated_keys_are_sorted(spark):
+    frame = spark.range(1000).selectExpr("CAST(id % 990 AS string) AS k", "id AS line", "'v' AS value")
+    plan = last_per_key(frame, ["k"], ["line"])._jdf.queryExecution().executedPlan().toString()
+    # Sort aggregates stand above the rows that meet a repeated key, and nowhere else.
+    places = [m.start() for m in re.finditer("SortAggregate", plan)]
+    assert places and plan.index("LeftAnti") < min(places) and max(places) < plan.index("LeftSemi")
+    assert "HashAggregate" in plan
+
+
 STAGED = (
     "k string, value int, is_valid boolean, validation_errors string, created_at timestamp,"
     " updated_at timestamp, batch_id string"
