@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import cleaning as clean
-from ledgerlake.functions.calendar import calendar_of, date_key, dim_date
+from ledgerlake.functions import validation
+from ledgerlake.functions.calendar import HOLIDAYS, calendar_of, date_key, dim_date
+from ledgerlake.operators.keys import next_keys
 from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
 from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.plans.pipeline import Transformation
@@ -71,6 +73,17 @@ def dim_date_full(spark: SparkSession, folder: str) -> DataFrame:
     return calendar.join(days.distinct(), "full_date", "left_semi")
 
 
+@query
+def calendar_holidays(spark: SparkSession, folder: str) -> DataFrame:
+    """The holidays among the days from the first to the last order or shipment."""
+    lines, orders = given.load(spark, folder, "lineitem"), given.load(spark, folder, "orders")
+    days = lines.select(F.to_date("l_shipdate").alias("full_date")).union(
+        orders.select(F.to_date("o_orderdate"))
+    )
+    found = calendar_of(days, F.col("full_date"), HOLIDAYS)
+    return found.where("is_holiday").select("full_date", "day_name")
+
+
 @query
 def latest_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Events as raw records, one batch per day: those of the last batch."""
@@ -237,9 +250,100 @@ def json_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return carts.select("source_id", "user_id", "cart_date", "products_json")
 
 
+@query
+def json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Carts landed as one array a file, or one object where a file holds a single one."""
+    path = f"{shared_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    # Every hundred carts are a file, but for some that are a file of their own.
+    number = F.col("id").cast("bigint")
+    file = F.when(number % 100 == 7, F.concat(F.lit("one-"), "id")).otherwise(
+        F.concat(F.lit("many-"), F.floor(number / 100).cast("string"))
+    )
+    carts = given.api_carts(spark, folder).withColumn("file", file)
+    texts = carts.groupBy("file").agg(F.collect_list(F.to_json(F.struct("id", "userId", "date", "products"))).alias("all"))
+    text = F.when(F.size("all") == 1, F.element_at("all", 1)).otherwise(F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("]")))
+    texts.select("file", text.alias("value")).write.partitionBy("file").text(path)
+    scan = files.extract_json(spark, f"{path}/*", "api_carts")
+    return raw.flatten_carts(scan.frame).select("source_id", "user_id", "cart_date", "products_json")
+
+
+@query
+def ragged_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as lines of text, some too short or too long, each line in its file by number.
+
+    Records that do not fit the header are kept apart, one by one, or with their whole file.
+    """
+    path = f"{shared_dir(spark)}/ragged-{uuid.uuid4().hex}"
+    key, more = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 11 == 0, ",more").otherwise("")
+    status = F.when(key % 13 == 0, "").otherwise(F.concat(F.lit(","), "o_orderstatus"))
+    line = F.concat(key.cast("string"), status, more)
+    orders = given.load(spark, folder, "orders").select((key % 8).alias("file"), key.alias("place"), line.alias("line"))
+    head = spark.range(8).select(F.col("id").alias("file"), F.lit(-1).cast("bigint").alias("place"), F.lit("key,status").alias("line"))
+    rows = orders.unionByName(head).repartition(8, "file").sortWithinPartitions("file", "place")
+    rows.select("file", F.col("line").alias("value")).write.partitionBy("file").text(path)
+    kinds = {}
+    for how in ("reject_row", "fail_file"):
+        scan = files.extract_csv(spark, path, "orders", on_ragged=how)
+        kinds[f"{how}_good"], kinds[f"{how}_broken"] = scan.frame, scan.broken
+    parts = [
+        f.select(F.lit(kind).alias("kind"), F.col("_file_path").alias("path"), F.col("key").cast("bigint").alias("key"))
+        for kind, f in kinds.items()
+    ]
+    found = quality.union_all(parts).withColumn("file", F.regexp_extract("path", r"file=(\d+)", 1).cast("int"))
+    return found.groupBy("kind", "file").agg(F.count(F.lit(1)).alias("records"), F.sum("key").alias("keys"))
+
+
+@query
+def landed_day(spark: SparkSession, folder: str) -> DataFrame:
+    """What a day's landed files give: the three CSV files, of which one is missing, and the feeds."""
+    root = f"{shared_dir(spark)}/day-{uuid.uuid4().hex}"
+    tables = {"products": given.raw_products(spark, folder), "customers": given.raw_customers(spark, folder)}
+    for name, frame in tables.items():
+        frame.write.option("header", True).option("escape", '"').csv(f"{root}/csv/{name}.csv")
+    feeds = {"api_products": given.api_products, "api_users": given.api_users, "api_carts": given.api_carts}
+    for source, feed in feeds.items():
+        for day in ("2001-06-29", "2001-06-30"):
+            feed(spark, folder).write.json(f"{root}/raw/{source}/{day}")
+    found = {
+        **files.extract_all_csv(spark, f"{root}/csv"),
+        **files.extract_landing(spark, f"{root}/raw", "2001-06-30", lines=True),
+    }
+    none = spark.createDataFrame([], "x int")
+    parts = [
+        (e.frame if e.success else none).agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(source).alias("source_name"), F.lit(e.source_type).alias("source_type"), "records",
+            F.lit((e.error_message or "").startswith("File not found")).alias("not_found"),
+        )
+        for source, e in found.items()
+    ]
+    return quality.union_all(parts)
+
+
+@query
+def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of all line items above those of the orders: how many, how many different, how many new."""
+    known = given.load(spark, folder, "orders").select(F.col("o_orderkey").alias("sale_key"))
+    lines = given.load(spark, folder, "lineitem").repartition(16)
+    keyed = result_table(lines.select("l_returnflag", next_keys(known, "sale_key").alias("sale_key")), "keys")
+    highest = known.agg(F.max("sale_key")).scalar()
+    return keyed.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.countDistinct("sale_key").alias("different"),
+        F.count_if(F.col("sale_key") > highest).alias("new"),
+    )
+
+
 # ------------------------------------------------------------------- validation
 
 
+@query
+def validate_raw_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer rules on received text, before it is cleaned: emails and dates."""
+    rules = validation.customer_rules(F.col("email"), F.col("registration_date"))
+    people = given.raw_customers(spark, folder)
+    return people.select("customer_id", F.array_join(validation.errors(*rules)["reason"], "; ").alias("reasons"))
+
+
 def _cleaned_products(spark: SparkSession, folder: str) -> DataFrame:
     return staging.clean_csv_products(given.raw_products(spark, folder)).unionByName(
         staging.clean_api_products(raw.flatten_products(given.api_products(spark, folder)))
@@ -823,6 +927,29 @@ def fact_append(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of two loads by month, as another session of the catalog sees them.
+
+    It reads the stored view over the facts after the first load, which brings the years up to
+    1996, and again after the second.
+    """
+    name = f"sales{uuid.uuid4().hex[:12]}"
+    store = Warehouse(spark, f"{shared_dir(spark)}/{name}", catalog=name)
+    store.publish()
+    rows = result_table(_fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch()), "facts")
+    store.add("dw.fact_sales", rows.where("year <= 1996"))
+    other = spark.newSession()
+    seen = other.table(f"{name}_dw.fact_sales").agg(F.count(F.lit(1)), F.max("year")).first()
+    store.add("dw.fact_sales", rows.where("year > 1996"))
+    other.sql(f"REFRESH TABLE {name}_dw.fact_sales")
+    return other.sql(
+        f"""SELECT year, month, count(*) AS sales, CAST(sum(profit_amount) AS decimal(22,2)) AS profit,
+          CAST({seen[0]} AS bigint) AS seen_first, {seen[1]} AS last_year_seen_first
+        FROM {name}_dw.fact_sales_shown GROUP BY year, month"""
+    )
+
+
 def _ingested(spark: SparkSession, folder: str) -> Warehouse:
     """A warehouse that was given a file of customers, carts as JSON lines and no sales file."""
     root = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"

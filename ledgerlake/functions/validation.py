@@ -137,9 +137,15 @@ def product_rules(title, price, cost, rating_rate) -> list[Column]:
     ]
 
 
-def customer_rules(email) -> list[Column]:
-    """The registration date needs no rule: cleaning leaves a date or NULL, and both pass."""
-    return [F.when(email != "", valid_email(email, "email"))]
+def customer_rules(email, registration_date=None) -> list[Column]:
+    """An email that is not empty has to be one, and so has a registration date that is given as
+    text. Cleaned dates need no rule: cleaning leaves a date or NULL, and both pass.
+    """
+    rules = [F.when(email != "", valid_email(email, "email"))]
+    if registration_date is not None:
+        name = "registration_date"
+        rules.append(F.when(registration_date != "", valid_date(registration_date, name)))
+    return rules
 
 
 def sale_rules(quantity, unit_price, total, sale_date, as_of) -> list[Column]:

@@ -764,6 +764,16 @@ _CARTS_OF_EVENTS = """streamed AS (
     DATE '2001-01-01' AS sale_date, 3::BIGINT AS n_batches
   FROM events GROUP BY user_id)"""
 
+# Literal dates of 1992 to 2002: Good Friday, Easter Monday, the last Monday of May, the first one of
+# September and the fourth Thursday of November.
+_MOVING_DAYS = """
+1992-04-17 1992-04-20 1992-05-25 1992-09-07 1992-11-26 1993-04-09 1993-04-12 1993-05-31 1993-09-06 1993-11-25
+1994-04-01 1994-04-04 1994-05-30 1994-09-05 1994-11-24 1995-04-14 1995-04-17 1995-05-29 1995-09-04 1995-11-23
+1996-04-05 1996-04-08 1996-05-27 1996-09-02 1996-11-28 1997-03-28 1997-03-31 1997-05-26 1997-09-01 1997-11-27
+1998-04-10 1998-04-13 1998-05-25 1998-09-07 1998-11-26 1999-04-02 1999-04-05 1999-05-31 1999-09-06 1999-11-25
+2000-04-21 2000-04-24 2000-05-29 2000-09-04 2000-11-23 2001-04-13 2001-04-16 2001-05-28 2001-09-03 2001-11-22
+2002-03-29 2002-04-01 2002-05-27 2002-09-02 2002-11-28"""
+
 # Events that land late, and the time up to which late ones are left out.
 _LANDED = """landed AS (SELECT *, event_id % 50 = 3 AS held_up FROM events),
 mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 12 DAY AS closed FROM landed WHERE NOT held_up)"""
@@ -975,6 +985,48 @@ def queries() -> dict[str, str]:
                 "month": "concat_ws('-', year(day), month(day))",
             }.items()
         ),
+        "calendar_holidays": f"""WITH bounds AS (
+              SELECT min(d) AS a, max(d) AS b FROM (
+                SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem
+                UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders)),
+            days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM bounds)
+            SELECT d AS full_date, dayname(d) AS day_name FROM days
+            WHERE strftime(d, '%m-%d') IN ('01-01', '07-04', '11-11', '12-25')
+              OR d IN ({", ".join(f"DATE '{day}'" for day in _MOVING_DAYS.split())})
+              OR dayofweek(d) = 1 AND (month(d) IN (1, 2) AND day(d) BETWEEN 15 AND 21
+                OR month(d) = 10 AND day(d) BETWEEN 8 AND 14)""",
+        "json_arrays": f"WITH {_CARTS}\n{_CART_JSON}",
+        "ragged_csv": """WITH told AS (
+              SELECT o_orderkey AS k, CAST(o_orderkey % 8 AS INTEGER) AS file,
+                (o_orderkey % 13 = 0) <> (o_orderkey % 11 = 0) AS broken FROM orders),
+            bad AS (SELECT DISTINCT file FROM told WHERE broken),
+            kinds AS (
+              SELECT CASE WHEN broken THEN 'reject_row_broken' ELSE 'reject_row_good' END AS kind, file, k FROM told
+              UNION ALL
+              SELECT CASE WHEN file IN (SELECT file FROM bad) THEN 'fail_file_broken' ELSE 'fail_file_good' END,
+                file, k FROM told)
+            SELECT kind, file, count(*) AS records, CAST(sum(k) AS BIGINT) AS keys FROM kinds GROUP BY kind, file""",
+        "landed_day": """
+            SELECT 'csv_products' AS source_name, 'csv' AS source_type, count(*) AS records, false AS not_found FROM part
+            UNION ALL SELECT 'csv_customers', 'csv', count(*), false FROM customer
+            UNION ALL SELECT 'csv_sales', 'csv', 0, true
+            UNION ALL SELECT 'api_products', 'api', count(*), false FROM part
+            UNION ALL SELECT 'api_users', 'api', count(*), false FROM customer
+            UNION ALL SELECT 'api_carts', 'api', count(*), false FROM events""",
+        "surrogate_keys": """SELECT l_returnflag, count(*) AS lines, count(*) AS different, count(*) AS new
+            FROM lineitem GROUP BY l_returnflag""",
+        "validate_raw_customers": rf"""WITH {RAW_CUSTOMERS}
+            SELECT customer_id, concat_ws('; ',
+              CASE WHEN email <> '' AND NOT regexp_full_match(email, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}')
+                THEN 'email is not a valid email' END,
+              CASE WHEN registration_date <> '' AND NOT regexp_full_match(left(registration_date, 10), '\d{{4}}-\d{{1,2}}-\d{{1,2}}')
+                THEN 'registration_date is not a valid date' END) AS reasons FROM raw_customers""",
+        "catalog_tables": f"""WITH {_RESOLVED},
+            months AS (SELECT year(sale_date) AS year, month(sale_date) AS month, count(*) AS sales,
+              CAST(sum(total_amount - coalesce(cost_amount, 0)) AS DECIMAL(22,2)) AS profit
+              FROM resolved WHERE skip_reason IS NULL GROUP BY ALL)
+            SELECT *, (SELECT CAST(sum(sales) AS BIGINT) FROM months WHERE year <= 1996) AS seen_first,
+              (SELECT max(year) FROM months WHERE year <= 1996) AS last_year_seen_first FROM months""",
         "stream_sales_once": f"""WITH {_LANDED}
             SELECT event_id, user_id, value FROM landed, mark WHERE NOT held_up OR ts > closed""",
         "stream_late_sales": f"""WITH {_LANDED}
