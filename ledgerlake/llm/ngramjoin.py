@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.llm.common import WORD, named, read, text_digest
 from ledgerlake.llm.components import components
-from ledgerlake.session import materialize, result_table, scratch
+from ledgerlake.session import discard, materialize, result_table, scratch
 
 BAND_RATIO = 1.5
 LANE_BITS = 16
@@ -151,8 +152,11 @@ def band_sketches(values: np.ndarray, percent: int) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """Per row: row, id, digest, n, the set's 128-bit hash, folded sketch and lane keys."""
-    fields = "row long, digest binary, n long, set_hash binary, fold array<long>, lanes array<long>"
+    """Per row: row, id, digest, n, the set's 128-bit hash, its sketches and lane keys."""
+    fields = (
+        "row long, digest binary, n long, set_hash binary, fold array<long>, lanes array<long>,"
+        " band int, bands array<binary>"
+    )
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         text_digest(named(docs, text_col)).alias("digest"),
@@ -164,48 +168,55 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         import xxhash
 
         for batch in batches:
-            sizes, hashes, folds, lanes = [], [], [], []
+            sizes, hashes, folds, lanes, band, bands = [], [], [], [], [], []
             for text in batch["text"]:
                 values = shingles(text.as_py(), words)
                 sizes.append(len(values))
                 hashes.append(xxhash.xxh3_128_digest(values.tobytes()))
                 folds.append(folded(values))
                 lanes.append(lane_keys(values, percent).view(np.int64))
+                band.append(band_of(len(values)))
+                bands.append(band_sketches(values, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()),
-                 *[pa.array(x, pa.list_(pa.int64())) for x in (folds, lanes)], batch["id"]],
-                ["row", "digest", "n", "set_hash", "fold", "lanes", "id"],
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (folds, lanes)],
+                 pa.array(band, pa.int32()), pa.array(bands, pa.list_(pa.binary())), batch["id"]],
+                ["row", "digest", "n", "set_hash", "fold", "lanes", "band", "bands", "id"],
             )
 
     return rows.mapInArrow(run, f"{fields}, id {rows.schema['id'].dataType.simpleString()}")
 
 
-def _sets(
-    docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, wanted: DataFrame
-) -> DataFrame:
-    """(node, band, sketches, values) of the wanted nodes, from one text of each."""
-    texts = docs.select(
-        named(docs, id_col).alias("text_id"),
-        text_digest(named(docs, text_col)).alias("text_digest"),
-        named(docs, text_col).alias("text"),
-    )
-    met = texts.join(
-        wanted, texts["text_id"].eqNullSafe(wanted["id"]) & (texts["text_digest"] == wanted["digest"])
-    )
+@dataclass(frozen=True)
+class Texts:
+    """Where the sets of nodes come from."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(text.as_py(), words) for text in batch["text"]]
-            yield pa.RecordBatch.from_arrays(
-                [batch["node"], pa.array([band_of(len(v)) for v in sets], pa.int32()),
-                 pa.array([band_sketches(v, percent) for v in sets], pa.list_(pa.binary())),
-                 pa.array([v.view(np.int64) for v in sets], pa.list_(pa.int64()))],
-                ["node", "band", "sketches", "values"],
-            )
+    docs: DataFrame
+    id_col: str
+    text_col: str
+    words: int
 
-    return met.dropDuplicates(["node"]).select("node", "text").mapInArrow(
-        run, "node long, band int, sketches array<binary>, values array<long>"
-    )
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, values) of the wanted nodes (node, id, digest), from one text of each."""
+        words = self.words
+        texts = self.docs.select(
+            named(self.docs, self.id_col).alias("text_id"),
+            text_digest(named(self.docs, self.text_col)).alias("text_digest"),
+            named(self.docs, self.text_col).alias("text"),
+        )
+        met = texts.join(
+            wanted, texts["text_id"].eqNullSafe(wanted["id"]) & (texts["text_digest"] == wanted["digest"])
+        )
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = [shingles(text.as_py(), words).view(np.int64) for text in batch["text"]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["node"], pa.array(values, pa.list_(pa.int64()))], ["node", "values"]
+                )
+
+        one = met.dropDuplicates(["node"]).select("node", "text")
+        return one.mapInArrow(run, "node long, values array<long>")
 
 
 @F.pandas_udf(T.LongType())
@@ -235,21 +246,27 @@ def _hopeful(percent: int) -> str:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, known: DataFrame, texts: Texts, percent: int, folder: str
+) -> DataFrame:
     """The pairs (a, b, na, nb) whose sets are similar.
 
-    The sketches of the larger set's band, which the smaller one reaches as well, leave few pairs
-    for which the sets have to move.
+    The sketches of the larger set's band, which the smaller one reaches as well, leave few pairs.
+    Only the sets of their nodes are made, once for each node.
     """
-    first = sets.selectExpr("node AS a", "band AS band_a", "sketches AS of_a")
-    second = sets.selectExpr("node AS b", "band AS band_b", "sketches AS of_b")
+    first = known.selectExpr("node AS a", "band AS band_a", "bands AS of_a")
+    second = known.selectExpr("node AS b", "band AS band_b", "bands AS of_b")
     met = pairs.join(first, "a").join(second, "b")
     band = F.greatest("band_a", "band_b")
     bits = _differing(F.get("of_a", band - F.col("band_a")), F.get("of_b", band - F.col("band_b")))
     near = met.where(bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+    near = materialize(near.select("a", "b", "na", "nb"), "near-pairs", folder)
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    wanted = known.select("node", "id", "digest").join(nodes, "node", "left_semi")
+    sets = materialize(texts.sets(wanted), "near-sets", folder)
     one = sets.select(F.col("node").alias("a"), F.col("values").alias("va"))
     two = sets.select(F.col("node").alias("b"), F.col("values").alias("vb"))
-    both = near.select("a", "b", "na", "nb").join(one, "a").join(two, "b")
+    both = near.join(one, "a").join(two, "b")
     return both.where(_similar(_shared("va", "vb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
@@ -299,31 +316,41 @@ def _lane_entries(marked: DataFrame, folder: str) -> DataFrame:
     return materialize(posts.join(often, "key"), "lane-entries", folder)
 
 
-def linked_sets(
-    marked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, folder: str
-) -> DataFrame:
-    """(node, root) for nodes that are linked to a smaller one; a node is the first row of a set."""
+def linked_sets(marked: DataFrame, texts: Texts, percent: int, folder: str) -> DataFrame:
+    """(node, root) for nodes that are linked to a smaller one; a node is the first row of a set.
+
+    `marked` is read for the lanes and their nodes first; see `jaccard_classes` for its end.
+    """
+    spark = texts.docs.sparkSession
     entries = _lane_entries(marked, folder)
-    facts = marked.select("row", "id", "digest", "n", "fold")
+    facts = marked.select("row", "id", "digest", "n", "fold", "band", "bands")
     known = materialize(
         entries.groupBy("node").agg(F.sum("m").alias("weight")).join(facts, F.col("node") == F.col("row")).drop("row"),
         "lane-nodes", folder,
     )
-    wanted = known.select("node", "id", "digest")
-    sets = materialize(_sets(docs, id_col, text_col, words, percent, wanted), "lane-sets", folder)
+    discard(spark, f"{folder}/marked")
     sketch, weights = known.select("node", "n", "fold"), known.select("node", "weight")
     live = entries.select("key", "node")
-    first = materialize(_first_pairs(live, known, percent), "lane-pairs", folder)
-    links = materialize(_verified(first, sets, percent), "lane-links", folder)
-    roots = components(links, folder)
+
+    def verified(pairs: DataFrame, earlier: DataFrame | None, step: str) -> DataFrame:
+        pairs = materialize(pairs, "lane-pairs", step)
+        found = _verified(pairs, known, texts, percent, step)
+        return materialize(earlier.unionByName(found) if earlier else found, "lane-links", folder)
+
+    step = f"{folder}/step-0"
+    links = verified(_first_pairs(live, known, percent), None, step)
+    discard(spark, step)
+    roots = components(links, f"{folder}/first-roots")
     leaders_each, most = 1, None
     while True:
+        before, step = step, f"{folder}/step-{leaders_each}"
         # Lanes that hold several components, and their pairs of nodes of different ones.
         rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parts = rooted.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
         lanes = parts.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") ** 2).alias("same"))
         open_lanes = lanes.where("m * m > same").selectExpr("key", "(m * m - same) / (2 * m) AS share")
-        live = materialize(rooted.join(open_lanes, "key"), "lane-live", folder)
+        live = materialize(rooted.join(open_lanes, "key"), "lane-live", step)
+        discard(spark, before)
         size, pairs_left = live.agg(F.count("*"), F.sum("share")).first()
         if not size:
             return components(links, folder)
@@ -348,11 +375,10 @@ def linked_sets(
                         "if(a.node < b.node, a.n, b.n) AS na", "if(a.node < b.node, b.n, a.n) AS nb")
             .distinct()
         )
-        pairs = materialize(pairs, "lane-pairs", folder)
-        links = materialize(links.unionByName(_verified(pairs, sets, percent)), "lane-links", folder)
+        links = verified(pairs, links, step)
         if last:
             return components(links, folder)
-        roots = materialize(_hubs(links, weights), "lane-hubs", folder)
+        roots = materialize(_hubs(links, weights), "lane-hubs", step)
         live = live.select("key", "node").join(others.select("key", "node"), ["key", "node"], "left_anti")
         leaders_each *= 2
 
@@ -371,9 +397,12 @@ def jaccard_classes(
     and row.
     """
     with scratch(docs.sparkSession) as folder:
-        marked = materialize(sketches(docs, id_col, text_col, words, percent), "sketches", folder)
+        sketched = materialize(sketches(docs, id_col, text_col, words, percent), "sketches", f"{folder}/marked")
+        marked = materialize(sketched.select("row", "id", "digest", "n", "set_hash"), "rows", folder)
+        texts = Texts(docs, id_col, text_col, words)
+        # The sketches and lanes are dropped once the shared lanes and their nodes are known.
+        roots = linked_sets(sketched.where("n > 0"), texts, percent, folder)
         filled = marked.where("n > 0")
-        roots = linked_sets(filled, docs, id_col, text_col, words, percent, folder)
         firsts = filled.groupBy("set_hash").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
         sets = firsts.join(roots, "node", "left").select(
             "set_hash", "copies", F.coalesce("root", "node").alias("class")
