@@ -225,16 +225,19 @@ def train(
     label_col: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
 ) -> Model:
-    """Fit on at most `sample_rows` labelled rows of the learning folds.
+    """Fit on at most `sample_rows` labelled ids of the learning folds, by a digest of the id.
 
     The sampled labels are few enough, by that bound, to be sent to every task, so the texts
-    need no shuffle; only the features of the sample come to the driver.
+    need no shuffle; only one feature vector for each of them comes to the driver. Of an id that
+    stands in several rows the least vector counts, so rows of a hot id are reduced in the map
+    tasks. An id with two labels is learnt with both.
     """
     known = labels.select(
         named(labels, id_col).alias("_ll_label_id"), named(labels, label_col).cast("int").alias("_ll_label")
     ).where("_ll_label_id IS NOT NULL AND _ll_label IS NOT NULL")
     sample = (
         known.where(~is_held_out(F.col("_ll_label_id")))
+        .distinct()
         .orderBy(F.xxhash64("_ll_label_id"), "_ll_label_id", "_ll_label")
         .limit(sample_rows)
     )
@@ -242,10 +245,11 @@ def train(
         docs.select(named(docs, id_col).alias("_ll_id"), named(docs, text_col).alias("_ll_text"))
         .join(F.broadcast(sample), F.col("_ll_id") == F.col("_ll_label_id"))
         .select("_ll_id", "_ll_label", features_of("_ll_text").alias("x"))
-        .orderBy("_ll_id", "_ll_label", "x")
-        .limit(2 * sample_rows)
+        .groupBy("_ll_id", "_ll_label")
+        .agg(F.min("x").alias("x"))
         .collect()
     )
+    rows.sort(key=lambda r: (r["_ll_id"], r["_ll_label"]))
     x = np.array([r["x"] for r in rows], np.float32).reshape(-1, len(FEATURES))
     return fit(x, np.array([float(r["_ll_label"]) for r in rows]))
 
