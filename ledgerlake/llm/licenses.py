@@ -16,6 +16,7 @@ each; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -77,6 +78,26 @@ def notice(text: str, label: str, percent: int = ERROR_PERCENT) -> Notice:
     return Notice(text, label, len(text) * percent // 100)
 
 
+#: How many matches a window of a long region has room for.
+WINDOW_MATCHES = 16
+
+
+def apart(spans: list[tuple]) -> list[tuple]:
+    """Of spans (..., start at 3, end at 4, ...) in order, those that overlap no earlier one."""
+    starts: list[int] = []
+    by_start: dict[int, tuple] = {}
+    kept = []
+    for span in spans:
+        at = bisect_left(starts, span[4])
+        # All kept spans are apart, so only the last one that starts before this one's end can overlap.
+        if at and by_start[starts[at - 1]][4] > span[3]:
+            continue
+        starts.insert(at, span[3])
+        by_start[span[3]] = span
+        kept.append(span)
+    return kept
+
+
 class Scanner:
     """Base phrases and notices, ready to search one text after the other."""
 
@@ -116,21 +137,32 @@ class Scanner:
                     mine.append((low, high))
         return found
 
+    def windows(self, n: Notice, regions: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """The regions, long ones in windows that overlap by the longest match, so that the search
+        for the best match never goes over a long text again and again."""
+        overlap = len(n.text) + n.errors
+        for low, high in regions:
+            while high - low > WINDOW_MATCHES * overlap:
+                yield low, low + WINDOW_MATCHES * overlap
+                low += (WINDOW_MATCHES - 1) * overlap
+            yield low, high
+
     def scan(self, text: str | None) -> dict:
         """Counts and places of base phrases, and spans of notices in the joined words."""
         words = b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
         padded = b" " + words + b" "
         starts, base = [], set()
         for phrase, label in self.phrases:
-            at = padded.find(phrase)
+            at, passed, word = padded.find(phrase), 0, 0
             while at >= 0:
-                starts.append(padded.count(b" ", 0, at))
+                word += padded.count(b" ", passed, at)
+                starts.append(word)
                 base.add(label)
-                at = padded.find(phrase, at + 1)
+                at, passed = padded.find(phrase, at + 1), at
         spans = []
         for k, regions in self.regions(words).items():
             n = self.notices[k]
-            for low, high in regions:
+            for low, high in self.windows(n, regions):
                 # The best match first, then what lies on either side of it.
                 open_parts = [(low, min(high, len(words)))]
                 while open_parts:
@@ -142,10 +174,7 @@ class Scanner:
                         spans.append((edits / len(n.text), -len(n.text), n.label, match.start(), match.end(), edits))
                         open_parts += [(at, match.start()), (match.end(), end)]
         # A place belongs to the notice that fits it best.
-        kept: list[tuple] = []
-        for span in sorted(spans):
-            if not any(span[3] < other[4] and other[3] < span[4] for other in kept):
-                kept.append(span)
+        kept = apart(sorted(set(spans)))
         best = max((1 - span[0] for span in kept), default=0.0)
         labels = base | {span[2] for span in kept}
         return {

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -434,3 +435,16 @@ def test_deeply_nested_inline_elements_keep_their_place():
     deep = "<span>" * 60 + LONG + "</span>" * 60
     page = f'<div class="comment-list"><p>{deep}</p></div><article><p>{deep}</p></article>'
     assert htmltext.main_text(page) == LONG.strip()
+
+
+def test_many_notices_in_one_text():
+    scanner = licenses.Scanner(licenses.PHRASES, [licenses.notice(*n) for n in licenses.NOTICES])
+    edited = "released under the mit licence"
+    text = f"{edited} released under the mit license " * 800 + "x " * 20000 + edited
+    start = time.process_time()
+    found = scanner.scan(text)
+    assert time.process_time() - start < 20
+    spans = [s for s in found["spans"] if s["label"] == "mit-notice"]
+    assert len(spans) == 1601
+    assert found["n_base"] == 800 and found["first_word"] == 8 and found["last_word"] == 8 + 10 * 799
+    assert all(a["end"] <= b["start"] for a, b in zip(spans, spans[1:]))
