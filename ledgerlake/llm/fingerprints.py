@@ -10,8 +10,9 @@ gives and relative to the most there could be, the best match of each filter of
 chain, averaged.
 
 Short texts have few features or none. Those of fewer than 1024 bytes, and any text without
-features, have a filter of their words' digests too, or instead if they are shorter than 512;
-two texts are compared by features where both have them, else by words.
+features, have a filter of their words' digests besides. Two texts that both have words are
+compared by these if one of them has fewer than eight features; all others by features. Only
+a text without any feature has nothing in common with a long one.
 
 Defined results: a null text counts as empty; an empty text has an empty fingerprint, which is
 like another empty one (1) and unlike any other (0); equal texts have equal fingerprints; rows
@@ -41,8 +42,9 @@ POINTS = 16
 FILTER_BITS = 2048
 FILTER_FEATURES = 160
 HASHES = 5
-#: Texts of fewer bytes are compared by their words too, of fewer than half by words only.
-SHORT = 1024
+#: Texts of fewer bytes have a filter of words too, which counts if there are few features.
+SHORT, FEW = 1024, 8
+HEADER = 6
 PIECE_BYTES = 1 << 17
 
 #: Documents of neighbouring ids are dealt out in groups of about so many.
@@ -102,7 +104,7 @@ def features(levels: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 def _filters(items: list[bytes]) -> list[bytes]:
     digests = list(dict.fromkeys(hashlib.sha1(x).digest() for x in items))
     bits = np.frombuffer(b"".join(digests), np.uint32).reshape(-1, HASHES) % FILTER_BITS
-    chain = []
+    chain: list[bytes] = []
     for k in range(0, len(bits), FILTER_FEATURES):
         filled = np.zeros(FILTER_BITS, np.uint8)
         filled[bits[k : k + FILTER_FEATURES].ravel()] = 1
@@ -111,13 +113,14 @@ def _filters(items: list[bytes]) -> list[bytes]:
 
 
 def _chained(raw: bytes, places: list[int]) -> bytes:
-    """A mark (1: features, 2: words, 3: both), the number of word filters, and the filters."""
+    """A mark (1: features, 2: words, 3: both), how many features there are up to FEW, the number
+    of word filters, and the filters."""
     if not raw:
         return b""
-    chain = _filters([raw[p : p + WINDOW] for p in places]) if len(raw) >= SHORT // 2 else []
+    chain = _filters([raw[p : p + WINDOW] for p in places])
     words = _filters(raw.split() or [raw]) if len(raw) < SHORT or not chain else []
     mark = bool(chain) + 2 * bool(words)
-    return bytes([mark]) + len(words).to_bytes(4, "big") + b"".join(words + chain)
+    return bytes([mark, min(len(places), FEW)]) + len(words).to_bytes(4, "big") + b"".join(words + chain)
 
 
 def digests(raws: list[bytes], ranks: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
@@ -155,7 +158,7 @@ def redone(
 
 def _numbers(chain: bytes, low: int, high: int) -> list[tuple[int, int]]:
     size = FILTER_BITS // 8
-    values = (int.from_bytes(chain[5 + k * size : 5 + (k + 1) * size]) for k in range(low, high))
+    values = (int.from_bytes(chain[HEADER + k * size : HEADER + (k + 1) * size]) for k in range(low, high))
     return [(v, v.bit_count()) for v in values]
 
 
@@ -165,10 +168,11 @@ def likeness(a: bytes, b: bytes) -> float:
         return 1.0
     if not a or not b or not a[0] & b[0]:
         return 0.0
-    sides = []
+    both, sides = a[0] & b[0], []
+    by_words = both == 2 or both == 3 and min(a[1], b[1]) < FEW
     for chain in (a, b):
-        words, filters = int.from_bytes(chain[1:5]), (len(chain) - 5) * 8 // FILTER_BITS
-        sides.append(_numbers(chain, words, filters) if a[0] & b[0] & 1 else _numbers(chain, 0, words))
+        words, filters = int.from_bytes(chain[2:HEADER]), (len(chain) - HEADER) * 8 // FILTER_BITS
+        sides.append(_numbers(chain, 0, words) if by_words else _numbers(chain, words, filters))
     one, two = sorted(sides, key=lambda side: (len(side), side))
     total = 0.0
     for x, nx in one:

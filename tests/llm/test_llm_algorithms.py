@@ -448,3 +448,17 @@ def test_many_notices_in_one_text():
     assert len(spans) == 1601
     assert found["n_base"] == 800 and found["first_word"] == 8 and found["last_word"] == 8 + 10 * 799
     assert all(a["end"] <= b["start"] for a, b in zip(spans, spans[1:]))
+
+
+def test_short_and_long_texts_are_compared_by_features():
+    rng = random.Random(5)
+    lines = [" ".join(f"w{rng.randrange(5000)}" for _ in range(9)) + "." for _ in range(60)]
+    ranks = np.random.default_rng(5).permutation(fingerprints.LEVELS + 1)
+    short, long = (" ".join(lines[:n]).encode() for n in (8, 60))
+    assert 380 < len(short) < 512 and len(long) > 2000
+    digests = [fingerprints.digest(x, ranks) for x in (short, long, " ".join(lines[40:48]).encode())]
+    assert fingerprints.likeness(digests[0], digests[1]) == fingerprints.likeness(digests[1], digests[0]) > 0.4
+    assert fingerprints.likeness(digests[0], digests[2]) < 0.2
+    # One word changed in a short text leaves it alike.
+    changed = short.replace(short.split()[40], b"other")
+    assert fingerprints.likeness(digests[0], fingerprints.digest(changed, ranks)) > 0.6
