@@ -1105,6 +1105,19 @@ def customer_rfm(spark: SparkSession, folder: str) -> DataFrame:
     return marts.with_rfm(_customer_summary(spark, folder)).select("customer_id", "rfm_score")
 
 
+@query
+def customer_summary_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer mart over facts that lie in buckets by customer: they are not shuffled again."""
+    name = f"sales{uuid.uuid4().hex[:12]}"
+    store = Warehouse(spark, f"{shared_dir(spark)}/{name}", catalog=name)
+    store.publish()
+    sold = store.bucket_facts(given.star_facts(spark, folder), 16)
+    mart = marts.customer_summary(
+        sold, given.star_customers(spark, folder), given.star_calendar(spark, folder), report_day()
+    )
+    return mart.drop("rfm_score")
+
+
 def _category_analysis(spark: SparkSession, folder: str) -> DataFrame:
     return marts.category_analysis(
         given.star_facts(spark, folder),

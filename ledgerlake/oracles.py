@@ -1083,6 +1083,7 @@ def queries() -> dict[str, str]:
         "sales_daily": _SALES_DAILY,
         "product_performance": _PERFORMANCE,
         "customer_summary": f"WITH {_SUMMARY} SELECT * FROM summary",
+        "customer_summary_bucketed": f"WITH {_SUMMARY} SELECT * FROM summary",
         "customer_rfm": _RFM,
         "category_analysis": f"WITH {_CATEGORY} SELECT * FROM analysis",
         "category_growth": _GROWTH,

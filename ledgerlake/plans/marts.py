@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import profit, ratio
 from ledgerlake.operators.ranking import rank_all
+from ledgerlake.session import materialize, result_table
 
 AMOUNT = "decimal(22,2)"
 
@@ -35,21 +36,30 @@ def _again(*more: str) -> list[Column]:
     return [F.sum(name).cast(kind).alias(name) for name, kind in kinds.items()]
 
 
+def _stored(grouped: DataFrame, folder: str | None) -> DataFrame:
+    """Grouped facts that several sums and counts read: the facts themselves are read once.
+
+    They go to the job's `folder`, or to a result table that is removed when Python ends.
+    """
+    return materialize(grouped, "sold", folder) if folder else result_table(grouped, "sold")
+
+
 def _distinct(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
     """Exact distinct count per group.
 
     Kept apart from the sums: Spark counts several distinct values by copying every row for
-    each of them. `rows` is grouped already and shared, so the facts are read once.
+    each of them. `rows` is grouped already and stored.
     """
     pairs = rows.select(*group, column).distinct()
     return pairs.groupBy(*group).agg(F.count(column).alias(name))
 
 
-def sales_daily(facts: DataFrame, calendar: DataFrame) -> DataFrame:
+def sales_daily(facts: DataFrame, calendar: DataFrame, folder: str | None = None) -> DataFrame:
     day = ["date_key"]
     sold = facts.groupBy(*day, "sale_id", "customer_key", "product_key").agg(
         *_sums(), F.sum("cost_amount").cast(AMOUNT).alias("_cost")
     )
+    sold = _stored(sold, folder)
     days = sold.groupBy(*day).agg(*_again("_cost"))
     for column, name in {
         "sale_id": "_orders", "customer_key": "_customers", "product_key": "_products",
@@ -151,7 +161,9 @@ def customer_summary(
     )
 
 
-def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
+def category_analysis(
+    facts: DataFrame, products: DataFrame, calendar: DataFrame, folder: str | None = None
+) -> DataFrame:
     """Sales per category and month. Unlike a NOT NULL column, NULL categories are kept."""
     group = ["category", "year", "month_num"]
     current = products.filter("is_current").select("product_key", "category", "price")
@@ -164,6 +176,7 @@ def category_analysis(facts: DataFrame, products: DataFrame, calendar: DataFrame
         .agg(*_sums())
         .join(current, "product_key")
     )
+    sold = _stored(sold, folder)
     sums = sold.groupBy(*group, "product_key", "price").agg(*_again())
     sums = sums.groupBy(*group).agg(
         *_again(),

@@ -93,3 +93,22 @@ def test_holidays(spark):
     [day] = dim_date(spark, date(2024, 1, 1), date(2024, 12, 31), [last_friday]).where("is_holiday").collect()
     assert day["full_date"] == date(2024, 10, 25) and day["full_date"] + timedelta(7) > date(2024, 10, 31)
     assert dim_date(spark, date(2024, 1, 1), date(2024, 12, 31)).where("is_holiday").count() == 0
+
+
+def test_bucketed_facts_are_not_shuffled_by_customer(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path), catalog="lake")
+    store.publish()
+    try:
+        rows = spark.range(400).selectExpr(
+            "id % 40 AS customer_key", "CAST(id AS string) AS sale_id", "20240101 AS date_key", "2 AS quantity",
+            "CAST(1 AS decimal(12,2)) AS total_amount", "CAST(NULL AS decimal(12,2)) AS cost_amount",
+        )
+        sold = store.bucket_facts(rows, 4)
+        totals = sold.groupBy("customer_key").agg(F.count("*").alias("n"))
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+        assert {tuple(r) for r in totals.collect()} == {(k, 10) for k in range(40)}
+        again = store.bucket_facts(rows.where("customer_key < 5"), 4)
+        assert again.count() == 50
+    finally:
+        store.unpublish()
