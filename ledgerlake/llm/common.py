@@ -27,31 +27,3 @@ def text_digest(text: Column) -> Column:
     With the id it names a row: rows that agree in both are repeated rows.
     """
     return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
-
-
-def attach(docs: DataFrame, id_col: str, text_col: str, results: DataFrame) -> DataFrame:
-    """`docs` with the columns of `results`, whose rows it matches by id and text digest.
-
-    `results` holds `key_id`, `key_digest` and any other columns, one row for each row of
-    `docs`. Repeated rows get the results of their group in sorted order, each one once.
-    The texts are shuffled once.
-    """
-    gained = [c for c in results.columns if c not in ("key_id", "key_digest")]
-    grouped = results.groupBy(
-        F.col("key_id").alias("_ll_key_id"), F.col("key_digest").alias("_ll_key_digest")
-    ).agg(F.array_sort(F.collect_list(F.struct(*gained))).alias("_ll_all"))
-    left = docs.withColumns(
-        {"_ll_id": named(docs, id_col), "_ll_digest": text_digest(named(docs, text_col))}
-    )
-    both = left.join(
-        grouped,
-        left["_ll_id"].eqNullSafe(grouped["_ll_key_id"])
-        & (left["_ll_digest"] == grouped["_ll_key_digest"]),
-    )
-    turn = "row_number() OVER (PARTITION BY _ll_id, _ll_digest ORDER BY _ll_digest)"
-    one = both.withColumn("_ll_turn", F.expr(turn)).withColumn(
-        "_ll_one", F.expr("_ll_all[_ll_turn - 1]")
-    )
-    return one.select(
-        *[named(one, c) for c in docs.columns], *[F.col("_ll_one")[c].alias(c) for c in gained]
-    )

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, attach, named, read, text_digest
+from ledgerlake.llm.common import WORD, named, read, text_digest
 from ledgerlake.session import materialize
 
 # Weights of sources, in turn, the size of the mix, and the most a source repeats.
@@ -154,19 +154,22 @@ def _pieces(
             text_digest(named(docs, text_col)).alias("key_digest"),
             named(docs, source_col).alias("source"),
             word_count(named(docs, text_col)).alias("size"),
-            F.coalesce(F.md5(key.cast("string")), F.lit("")).alias("place"),
+            # Rows without an id are put in order by their text, so that they are not all in one place.
+            F.coalesce(F.md5(key.cast("string")), F.md5(named(docs, text_col)), F.lit("")).alias("place"),
         ),
         "mix-sizes",
     )
     sources = materialize(source_targets(sized, weights, share_percent, most_passes), "mix-sources")
     slots = schedule(spark, sources, block_words)
 
-    # Positions in the streams: sums within short digest ranges, shifted by earlier ranges.
-    rows = sized.withColumn("part", F.substring("place", 1, 4)).join(
+    # Positions in the streams: sums within short digest ranges, shifted by earlier ranges. Repeated
+    # rows are one until they have their place, and then follow each other.
+    same = sized.groupBy(*sized.columns).agg(F.count("*").alias("copies"))
+    rows = same.withColumn("all", F.col("size") * F.col("copies")).withColumn("part", F.substring("place", 1, 4)).join(
         sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
     )
     # In two steps, so that no window holds more than 256 rows whatever a source has.
-    parts = rows.groupBy("sid", "part").agg(F.sum("size").alias("words"))
+    parts = rows.groupBy("sid", "part").agg(F.sum("all").alias("words"))
     parts = parts.withColumn("lead", F.substring("part", 1, 2))
     leads = parts.groupBy("sid", "lead").agg(F.sum("words").alias("all_words"))
     upto_lead = F.sum("all_words").over(Window.partitionBy("sid").orderBy("lead"))
@@ -180,9 +183,10 @@ def _pieces(
     order = Window.partitionBy("sid", "part").orderBy("place", "key_id", "key_digest", "size")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        rows.withColumns({"n": F.row_number().over(order), "upto": F.sum("size").over(running)})
+        rows.withColumns({"n": F.row_number().over(order), "upto": F.sum("all").over(running)})
         .join(offsets, ["sid", "part"])
-        .withColumn("start", F.col("offset") + F.col("upto") - F.col("size"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .withColumn("start", F.col("offset") + F.col("upto") - F.col("all") + F.col("copy") * F.col("size"))
     )
     passes = F.array(*[
         F.struct(
@@ -201,7 +205,7 @@ def _pieces(
                     - greatest(x.low, r * {block_words}L) as words,
                     greatest(x.low - r * {block_words}L, 0L) as place))))"""
     carried = ["key_id", "key_digest", "size", "source", "source_size", "target"]
-    row = F.struct("sid", "part", "n").alias("row")
+    row = F.struct("sid", "part", "n", "copy").alias("row")
     pieces = (
         placed.withColumn("passes", passes)
         .select(row, "sid", *carried, F.explode_outer(F.expr(reach)).alias("piece"))
@@ -249,8 +253,13 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
         .agg(*[F.first(c).alias(c) for c in ("key_id", "key_digest")], F.collect_list(piece).alias("_ll_pieces"))
         .drop("row")
     )
+    # One text for each id and digest, whatever rows repeat it; their pieces join it row by row.
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
     texts = docs.select(named(docs, id_col).alias("doc_id"), named(docs, text_col).alias("text"))
-    whole = attach(texts, "doc_id", "text", per_row)
+    texts = texts.select(key.alias("key"), text_digest(F.col("text")).alias("key_digest"), "doc_id", "text")
+    texts = texts.dropDuplicates(["key", "key_digest"])
+    per_row = per_row.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("key_id").cast("string")), F.lit("")))
+    whole = per_row.join(texts, ["key", "key_digest"])
     # The words are the variable of a lambda, as they would be found anew for every piece else.
     cut = F.transform(
         F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))),
@@ -290,18 +299,6 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     return blocks.select("slot", "source", "rank", "n_words", F.array_join(spaced, "").alias("text"), made_of.alias("pieces"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, whole and once each, with size, source_size, target, taken and n_slots.
-
-    Documents from which the mix takes no word are left out. The mix itself is `mixed_blocks`.
-    """
-    results = mix(docs, **options).where("taken > 0")
-    clash = set(results.columns) & set(docs.columns)
-    kept = docs.select(*[named(docs, c) for c in docs.columns if c not in clash])
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    return attach(kept, id_col, text_col, results)
-
-
 def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(read(spark, folder, "documents"))
     return mixed.select(
@@ -313,7 +310,7 @@ ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, text,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         coalesce(md5(doc_id::VARCHAR), '') AS place
+         coalesce(md5(doc_id::VARCHAR), md5(text), '') AS place
   FROM documents
 ), per AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source

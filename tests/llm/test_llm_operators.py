@@ -117,12 +117,17 @@ def test_schedule_is_even(spark):
         assert abs(sum(r["sid"] == sid for r in half) - len(ranks) / 2) <= 6
 
 
-def test_mixed_documents(odd, empty):
-    rows = mixing.mixed_documents(odd).collect()
-    assert all(r["taken"] > 0 for r in rows)
-    results = Counter((r["key_id"], r["size"], r["taken"]) for r in mixing.mix(odd).where("taken > 0").collect())
-    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in rows) == results
-    assert mixing.mix(empty).count() == mixing.mixed_documents(empty).count() == 0
+def test_mix_of_repeated_rows_without_ids(spark, empty):
+    rows = spark.range(100_000, numPartitions=8).selectExpr(
+        "CAST(NULL AS bigint) AS doc_id", "IF(id % 2 = 0, 'some words here', 'other') AS text", "'a' AS source"
+    )
+    taken = mixing.mix(rows).groupBy("size").agg(F.sum("taken").alias("n"), F.count("*").alias("rows")).collect()
+    assert {r["rows"] for r in taken} == {50_000} and sum(r["n"] for r in taken) == 300_000
+    blocks = mixing.mixed_blocks(rows).select("n_words", F.size("pieces").alias("pieces")).collect()
+    assert sorted(r["n_words"] for r in blocks) == [300_000 % 1024] + [1024] * (300_000 // 1024)
+    # No array is longer than the words of its block.
+    assert max(r["pieces"] for r in blocks) <= 1024
+    assert mixing.mix(empty).count() == mixing.mixed_blocks(empty).count() == 0
 
 
 def test_mixed_blocks(odd, empty):
