@@ -43,6 +43,8 @@ PART_CHARS = 50
 BLOCK_CHARS = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
+# More edits than any text has, for cells outside the band.
+FAR = 1 << 40
 
 
 def normal(text: str | None) -> str:
@@ -73,33 +75,41 @@ def budget(length: int, q: int, percent: int) -> int:
     return edits
 
 
-def align(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int, int, int] | None:
+def align(
+    item: np.ndarray, region: np.ndarray, limit: int, low: int, high: int
+) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place of `item` in `region`, or None above `limit`.
 
-    Sellers' recurrence over the rows of the item, on whole rows of the region at once; ties
-    go to the earliest end, then the latest start.
+    Only cells on the diagonals (place in the region less place in the item) from `low` to `high`
+    are filled. Sellers' recurrence over the rows of the item, on the band's cells of a row at
+    once; ties go to the earliest end, then the latest start.
     """
-    width = len(region)
-    place = np.arange(width + 1)
-    cost, start = np.zeros(width + 1, np.int64), place.copy()
-    for i, code in enumerate(item, 1):
-        diagonal = cost[:-1] + (region != code)
-        down = cost[1:] + 1
-        best = np.minimum(diagonal, down)
-        begins = np.where(diagonal <= down, start[:-1], start[1:])
-        row = np.concatenate([[i], best])
-        origin = np.concatenate([[0], begins])
-        # Steps to the right: the least of (row - place) so far, with where it came from.
-        level = (row - place) * (width + 1) + (width - place)
-        reached = np.minimum.accumulate(level)
-        came = width - reached % (width + 1)
-        cost, start = row[came] + place - came, origin[came]
+    size = high - low + 1
+    cell = np.arange(size)
+    place = low + cell
+    inside = (place >= 0) & (place <= len(region))
+    cost, start = np.where(inside, 0, FAR), place.copy()
+    padded = np.append(region, np.zeros(1, region.dtype))
+    for code in item:
+        place = place + 1
+        # A step along the diagonal stays in its cell, a step down comes from the next one.
+        read = np.clip(place - 1, 0, len(region))
+        diagonal = np.where(place >= 1, cost + (padded[read] != code), FAR)
+        down = np.append(cost[1:], FAR) + 1
+        row = np.minimum(diagonal, down)
+        origin = np.where(diagonal <= down, start, np.append(start[1:], 0))
+        row = np.where((place >= 0) & (place <= len(region)), row, FAR)
+        # Steps to the right: the least of (row - cell) so far, with where it came from.
+        level = (row - cell) * (size + 1) + (size - cell)
+        came = size - np.minimum.accumulate(level) % (size + 1)
+        cost, start = np.minimum(row[came] + cell - came, FAR), origin[came]
+        cost = np.where(place <= len(region), cost, FAR)
         if cost.min() > limit:
             return None
-    end = int(cost.argmin())
-    if cost[end] > limit:
+    best = int(cost.argmin())
+    if cost[best] > limit:
         return None
-    return int(cost[end]), int(start[end]), end
+    return int(cost[best]), int(start[best]), int(place[best])
 
 
 def distance(one: np.ndarray, two: np.ndarray) -> int:
@@ -250,7 +260,11 @@ class Items:
                 while at >= 0:
                     found.add((0, at, at + length))
                     at = plain.find(self.texts[k], at + length, high)
-            elif near := align(self.codes[k], codes[low:high], edits):
+            # A place in this region keeps within its edits of the band's diagonals, twice at most.
+            elif near := align(
+                self.codes[k], codes[low:high], edits,
+                int(b) * step - 2 * edits - low, (int(b) + 3) * step + 2 * edits - low,
+            ):
                 found.add((near[0], low + near[1], low + near[2]))
         return apart(list(found))
 

@@ -462,3 +462,40 @@ def test_short_and_long_texts_are_compared_by_features():
     # One word changed in a short text leaves it alike.
     changed = short.replace(short.split()[40], b"other")
     assert fingerprints.likeness(digests[0], fingerprints.digest(changed, ranks)) > 0.6
+
+
+def brute_place(item, region, limit):
+    """(edits, start, end) by the full table, cell after cell."""
+    row = [(0, -j) for j in range(len(region) + 1)]
+    for i, code in enumerate(item, 1):
+        new = [(row[0][0] + 1, row[0][1])]
+        for j, other in enumerate(region, 1):
+            diagonal = (row[j - 1][0] + (other != code), row[j - 1][1])
+            new.append(min(diagonal, (row[j][0] + 1, row[j][1]), (new[-1][0] + 1, new[-1][1])))
+        row = new
+    edits = min(e for e, _ in row)
+    end = next(j for j, (e, _) in enumerate(row) if e == edits)
+    return (edits, end) if edits <= limit else None
+
+
+@given(st.integers(0, 10**6))
+@settings(max_examples=150, deadline=None)
+def test_banded_alignment_finds_what_the_full_table_does(seed):
+    rng = random.Random(seed)
+    item = [rng.randrange(4) for _ in range(rng.randrange(1, 40))]
+    limit, shift = rng.randrange(0, 5), rng.randrange(0, 12)
+    near = list(item)
+    for _ in range(rng.randrange(0, limit + 2)):
+        at = rng.randrange(len(near) + 1)
+        near[at : at + rng.randrange(2)] = [rng.randrange(4)] * rng.randrange(2)
+    region = [rng.randrange(4, 8) for _ in range(shift)] + near + [rng.randrange(4, 8) for _ in range(rng.randrange(6))]
+    codes = [np.array(x, np.uint64) for x in (item, region)]
+    expected = brute_place(item, region, limit)
+    whole = decontam.align(*codes, limit, -len(item), len(region))
+    assert (whole and (whole[0], whole[2])) == expected
+    banded = decontam.align(*codes, limit, shift - 2 * limit - 1, shift + 2 * limit + 1)
+    if expected and abs(expected[1] - len(item) - shift) <= limit:
+        assert banded[0] == expected[0]
+    if banded:
+        edits, start, end = banded
+        assert edits == decontam.distance(codes[0], codes[1][start:end]) <= limit
