@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_data import COLUMNS, frame, texts
 from pyspark.sql import functions as F
@@ -410,3 +411,88 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
             if k < 4:
                 assert kept.columns == start.columns
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def brute_targets(sizes):
+    """Target per source, by pouring 150 % of all words in proportion to 3, 1, 2, at most twice a source's own."""
+    names = sorted(sizes, key=lambda n: (n is None, n or ""))
+    weight = {n: (3, 1, 2)[k % 3] for k, n in enumerate(names)}
+    left, target, open_names = 1.5 * sum(sizes.values()), {}, set(names)
+    while open_names:
+        level = left / sum(weight[n] for n in open_names)
+        full = {n for n in open_names if weight[n] * level >= 2 * sizes[n]}
+        if not full:
+            target |= {n: weight[n] * level for n in open_names}
+            break
+        target |= {n: 2.0 * sizes[n] for n in full}
+        left -= sum(2 * sizes[n] for n in full)
+        open_names -= full
+    return target
+
+
+def test_every_stage_against_brute_force(spark, odd, tmp_path):
+    docs, labels = labelled(spark)
+    folder, at = f"file://{tmp_path}", texts()[-4][0]
+    odd.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    item = " ".join(texts()[-4][1].split()[3:30])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    model = quality.train(odd, labels)
+    stages = dict(corpus_pipeline.STAGES)
+    kept, rows = odd, texts()
+
+    def after(name):
+        nonlocal kept
+        stages[name](spark, kept, folder).write.parquet(f"{folder}/{name}")
+        kept = spark.read.parquet(f"{folder}/{name}")
+        return kept
+
+    def found(frame):
+        return Counter((r["doc_id"], r["text"]) for r in frame.collect())
+
+    good = [r for r in rows if model.score(np.stack([quality.describe(r[1])]))[0] >= quality.THRESHOLD]
+    assert found(after("quality classifier")) == Counter(good)
+    # A document goes with its last line.
+    lines = [(i, t) for (i, t, gone), n in brute_lines(good).items() for _ in range(n) if not (gone and t == "")]
+    assert found(after("line dedup")) == Counter(lines)
+    near = after("n-gram Jaccard join")
+    classes = defaultdict(list)
+    roots = brute_roots(lines, 5, 80)
+    for k, (row, (_, n, _)) in enumerate(zip(lines, brute_classes(lines, 5, 80))):
+        classes[roots[k] if n else -1 - k].append(row)
+    least = [min(c, key=lambda r: sorted_key(r[0]))[0] for c in classes.values()]
+    assert Counter(r["doc_id"] for r in near.collect()) == Counter(least)
+    assert not found(near) - Counter(lines)
+    remaining = found(near)
+    clean = Counter({r: n for r, n in remaining.items() if decontam.normal(item) not in decontam.normal(r[1])})
+    assert found(after("benchmark decontamination")) == clean and at not in {i for i, _ in clean}
+    sizes = Counter()
+    for r in kept.collect():
+        sizes[r["source"]] += len((r["text"] or "").encode().split())
+    taken = Counter()
+    blocks = after("mixing sources").collect()
+    for r in blocks:
+        taken[r["source"]] += r["n_words"]
+        assert len(r["text"].encode().split()) == r["n_words"]
+    target = brute_targets(sizes)
+    assert all(abs(taken[n] - target[n]) < 1 for n in sizes)
+    whole = corpus_pipeline.run(spark, folder).collect()
+    assert Counter(map(str, whole)) == Counter(map(str, blocks))
+
+
+def brute_roots(rows, k, percent):
+    sets = []
+    for _, text in rows:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(a):
+                both = len(sets[a] & sets[b])
+                if both and both * 100 >= percent * len(sets[a] | sets[b]) and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    return root
