@@ -37,6 +37,9 @@ END_OF_DOCUMENT = 50256
 TOKEN = np.dtype("<u2")
 BLOCK_TOKENS = 1 << 16
 CHUNK_BLOCKS = 4096
+BLOCKS = "file string, block long, payload binary"
+#: The largest file that Spark reads as one value.
+LARGEST = (1 << 31) - (1 << 20)
 
 
 def load_encoding(vocabulary: str = VOCABULARY, pattern: str = PATTERN):
@@ -98,19 +101,38 @@ def write_flat(
 
 
 def read_flat(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, block, payload) of flat files of two-byte ids, of up to 2 GB each."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """Blocks (file, block, payload) of flat files of two-byte ids; an odd last byte is no token.
+
+    Spark reads files of up to LARGEST bytes as one value each. Larger ones are read as records of a
+    fixed length, split among tasks; the length is the largest one that fills the file.
+    """
+    files = spark.read.format("binaryFile").load(path)
     step = block_tokens * TOKEN.itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch["path"].to_pylist(), batch["content"]):
                 view = memoryview(content.as_buffer())
+                view = view[: len(view) - len(view) % TOKEN.itemsize]
                 for block, low in enumerate(range(0, len(view), step)):
                     arrays = [pa.array([file]), pa.array([block], pa.int64()), pa.array([view[low : low + step].tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(arrays, ["file", "block", "payload"])
 
-    return files.mapInArrow(run, "file string, block long, payload binary")
+    whole = files.where(F.col("length") <= LARGEST).select("path", "content")
+    found = whole.mapInArrow(run, BLOCKS)
+    # Only files of gigabytes are named here.
+    for row in files.where(F.col("length") > LARGEST).select("path", "length").collect():
+        found = found.unionByName(_records(spark, row["path"], row["length"], step))
+    return found
+
+
+def _records(spark: SparkSession, file: str, size: int, most: int) -> DataFrame:
+    """The blocks of a large file, as records of the largest length up to `most` that fills it."""
+    if size % TOKEN.itemsize:
+        raise ValueError(f"{file} is not made of ids of {TOKEN.itemsize} bytes")
+    width = next(w for w in range(most - most % TOKEN.itemsize, 0, -TOKEN.itemsize) if size % w == 0)
+    records = spark.sparkContext.binaryRecords(file, width).zipWithIndex()
+    return spark.createDataFrame(records.map(lambda r: (file, r[1], bytearray(r[0]))), BLOCKS)
 
 
 def scan_blocks(blocks: DataFrame, separator: int = END_OF_DOCUMENT) -> DataFrame:

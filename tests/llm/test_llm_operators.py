@@ -333,15 +333,15 @@ def test_token_counts(odd, empty):
     assert tokencounts.documents(tokencounts.write_flat(empty)).count() == 0
 
 
-def test_scan_of_flat_files(spark, tmp_path, monkeypatch):
-    import numpy as np
-
+@pytest.mark.parametrize("largest, odd_byte", [(1 << 30, b""), (1 << 30, b"x"), (50, b"")])
+def test_scan_of_flat_files(spark, tmp_path, monkeypatch, largest, odd_byte):
     monkeypatch.setattr(tokencounts, "CHUNK_BLOCKS", 2)
+    monkeypatch.setattr(tokencounts, "LARGEST", largest)
     end, rng = tokencounts.END_OF_DOCUMENT, np.random.default_rng(5)
     expected = Counter()
     for name, lengths, tail in [("a", [0, 3, 0, 50, 7], 0), ("b", [40], 9), ("c", [], 4), ("d", [], 0), ("e", [1] * 30, 0)]:
         tokens = [t for n in lengths for t in [*rng.integers(0, 50000, n), end]] + [5] * tail
-        (tmp_path / name).write_bytes(np.array(tokens, tokencounts.TOKEN).tobytes())
+        (tmp_path / name).write_bytes(np.array(tokens, tokencounts.TOKEN).tobytes() + odd_byte)
         expected.update((name, k, n, True) for k, n in enumerate(lengths))
         expected.update([(name, len(lengths), tail, False)] if tail else [])
     blocks = tokencounts.read_flat(spark, f"file://{tmp_path}", block_tokens=6)
