@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import profit, ratio
 from ledgerlake.operators.ranking import rank_all
-from ledgerlake.session import materialize, result_table
+from ledgerlake.session import store_once
 
 AMOUNT = "decimal(22,2)"
 
@@ -36,14 +36,6 @@ def _again(*more: str) -> list[Column]:
     return [F.sum(name).cast(kind).alias(name) for name, kind in kinds.items()]
 
 
-def _stored(grouped: DataFrame, folder: str | None) -> DataFrame:
-    """Grouped facts that several sums and counts read: the facts themselves are read once.
-
-    They go to the job's `folder`, or to a result table that is removed when Python ends.
-    """
-    return materialize(grouped, "sold", folder) if folder else result_table(grouped, "sold")
-
-
 def _distinct(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
     """Exact distinct count per group.
 
@@ -59,7 +51,8 @@ def sales_daily(facts: DataFrame, calendar: DataFrame, folder: str | None = None
     sold = facts.groupBy(*day, "sale_id", "customer_key", "product_key").agg(
         *_sums(), F.sum("cost_amount").cast(AMOUNT).alias("_cost")
     )
-    sold = _stored(sold, folder)
+    # Read by several sums and counts, so that the facts themselves are read once.
+    sold = store_once(sold, "sold", folder)
     days = sold.groupBy(*day).agg(*_again("_cost"))
     for column, name in {
         "sale_id": "_orders", "customer_key": "_customers", "product_key": "_products",
@@ -176,7 +169,8 @@ def category_analysis(
         .agg(*_sums())
         .join(current, "product_key")
     )
-    sold = _stored(sold, folder)
+    # Read by several sums and counts, so that the facts themselves are read once.
+    sold = store_once(sold, "sold", folder)
     sums = sold.groupBy(*group, "product_key", "price").agg(*_again())
     sums = sums.groupBy(*group).agg(
         *_again(),

@@ -14,6 +14,7 @@ from ledgerlake.functions.measures import percentage, seconds_between
 from ledgerlake.operators.samples import samples
 from ledgerlake.plans.staging import KEYS
 from ledgerlake.schemas import TABLES
+from ledgerlake.session import store_once
 
 
 def run_status(error: Column, rejected: Column, stored: Column, received: Column) -> Column:
@@ -121,10 +122,11 @@ def rule_catalogue(spark: SparkSession, now: Column) -> DataFrame:
     return spark.createDataFrame(rows, declared).withColumns({"created_at": now, "updated_at": now})
 
 
-def rule_results(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
+def rule_results(tables: dict[str, DataFrame], as_of: Column, folder: str | None = None) -> DataFrame:
     """Rows checked, passed and failed per rule, with a bounded sample of failing keys.
 
-    All rules of a table are checked in one pass over it. Tables are clean columns, of valid
+    All rules of a table are checked in one pass over it, which counts rows that pass together and
+    those that fail by key; totals and samples both come from these counts. Tables are clean columns, of valid
     and invalid records alike; the errors of staging are not needed.
     """
 
@@ -148,10 +150,12 @@ def rule_results(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
         return spark.createDataFrame(rows, "rule_id int, rule_name string")
 
     checked = reduce(DataFrame.unionByName, [results(name, rows) for name, rows in tables.items()])
-    counts = checked.groupBy("rule_id").agg(
-        F.count(F.lit(1)).alias("records_checked"), F.count_if("failed").alias("records_failed")
+    by_key = checked.groupBy("rule_id", "failed", F.when(F.col("failed"), F.col("_key")).alias("_key"))
+    met = store_once(by_key.agg(F.count(F.lit(1)).alias("_n")), "rules", folder)
+    counts = met.groupBy("rule_id").agg(
+        F.sum("_n").alias("records_checked"), F.sum(F.when(F.col("failed"), F.col("_n")).otherwise(0)).alias("records_failed")
     )
-    failing = samples(checked.where("failed"), ["rule_id"], F.col("_key"), "sample_failures")
+    failing = samples(met.where("failed"), ["rule_id"], F.col("_key"), "sample_failures")
     every = reduce(DataFrame.unionByName, [of_rules(name) for name in tables])
     none = F.lit(0).cast("bigint")
     together = (

@@ -116,6 +116,11 @@ def result_table(frame: DataFrame, label: str) -> DataFrame:
     return materialize(frame, label, folder)
 
 
+def store_once(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Rows that several later steps read, written once: to the job's folder, or as a result table."""
+    return materialize(frame, label, folder) if folder else result_table(frame, label)
+
+
 def _removed(spark: SparkSession, folder: str) -> None:
     try:
         discard(spark, folder)
