@@ -43,9 +43,14 @@ LARGEST = (1 << 31) - (1 << 20)
 
 
 def load_encoding(vocabulary: str = VOCABULARY, pattern: str = PATTERN):
+    return encoding_of(Path(vocabulary).read_bytes(), pattern)
+
+
+def encoding_of(content: bytes, pattern: str = PATTERN):
+    """The encoding of a vocabulary file's content."""
     import tiktoken
 
-    pairs = (line.split() for line in Path(vocabulary).read_bytes().splitlines() if line)
+    pairs = (line.split() for line in content.splitlines() if line)
     ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
     return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
@@ -64,11 +69,13 @@ def write_flat(
     """
     rows = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    # About a megabyte; the tasks need no file of their own.
+    content = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoding = load_encoding(vocabulary, pattern)
+        encoding = encoding_of(content.value, pattern)
         file, block = f"part-{TaskContext.get().partitionId():06d}", 0
         held, size, ids, id_type = [], 0, [], None
 
