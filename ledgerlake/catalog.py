@@ -17,7 +17,7 @@ from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
 from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.plans.pipeline import Transformation
 from ledgerlake.schemas import TABLES
-from ledgerlake.session import result_table, shared_dir
+from ledgerlake.session import result_table, temporary
 from ledgerlake.sources import files, raw
 from ledgerlake.sources import tables as given
 from ledgerlake.sources.store import Warehouse
@@ -219,7 +219,7 @@ def explode_carts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Customers written as CSV files, scanned back and shaped for the raw table."""
-    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = temporary(spark, "csv")
     given.raw_customers(spark, folder).write.option("header", True).option("escape", '"').csv(path)
     scan = files.extract_csv(spark, path, "csv_customers")
     return raw.csv_record(scan.frame, "csv_customers").drop("file_name", "line_number")
@@ -228,7 +228,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as CSV files, each record with its place in its file; and scanned back."""
-    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = temporary(spark, "csv")
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 2
     orders = given.load(spark, folder, "orders").select("o_orderkey", place.alias("place"))
     orders.write.option("header", True).csv(path)
@@ -243,7 +243,7 @@ def csv_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def json_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Carts written as JSON lines, scanned back and shaped for the raw table."""
-    path = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    path = temporary(spark, "json")
     given.api_carts(spark, folder).write.json(path)
     scan = files.extract_json(spark, path, "api_carts", lines=True)
     carts = raw.flatten_carts(scan.frame)
@@ -253,7 +253,7 @@ def json_ingest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def json_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """Carts landed as one array a file, or one object where a file holds a single one."""
-    path = f"{shared_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    path = temporary(spark, "arrays")
     # Every hundred carts are a file, but for some that are a file of their own.
     number = F.col("id").cast("bigint")
     file = F.when(number % 100 == 7, F.concat(F.lit("one-"), "id")).otherwise(
@@ -273,7 +273,7 @@ def ragged_csv(spark: SparkSession, folder: str) -> DataFrame:
 
     Records that do not fit the header are kept apart, one by one, or with their whole file.
     """
-    path = f"{shared_dir(spark)}/ragged-{uuid.uuid4().hex}"
+    path = temporary(spark, "ragged")
     key, more = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 11 == 0, ",more").otherwise("")
     status = F.when(key % 13 == 0, "").otherwise(F.concat(F.lit(","), "o_orderstatus"))
     line = F.concat(key.cast("string"), status, more)
@@ -296,7 +296,7 @@ def ragged_csv(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def landed_day(spark: SparkSession, folder: str) -> DataFrame:
     """What a day's landed files give: the three CSV files, of which one is missing, and the feeds."""
-    root = f"{shared_dir(spark)}/day-{uuid.uuid4().hex}"
+    root = temporary(spark, "day")
     tables = {"products": given.raw_products(spark, folder), "customers": given.raw_customers(spark, folder)}
     for name, frame in tables.items():
         frame.write.option("header", True).option("escape", '"').csv(f"{root}/csv/{name}.csv")
@@ -779,7 +779,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     Every micro-batch is a raw batch, and staging takes all of them; of a cart that comes
     several times the last record of the last file counts. A user's events are one cart.
     """
-    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    root = temporary(spark, "stream")
     # All events, in the order of their ids through the files.
     events = given.load(spark, folder, "events").orderBy("event_id")
     for day, older in enumerate((2, 1, 0)):
@@ -828,7 +828,7 @@ def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 def _event_stream(spark: SparkSession, folder: str, shape: Callable[[DataFrame], DataFrame]):
     """The landed events and what a stream of them has appended, batch by batch."""
-    root = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    root = temporary(spark, "events")
     schema = "event_id bigint, ts timestamp, user_id bigint, value double"
     for number, arrived in enumerate(_event_batches(spark, folder)):
         arrived.write.parquet(f"{root}/landing/batch-{number}")
@@ -867,7 +867,7 @@ def stream_to_staging_sales(spark: SparkSession, folder: str) -> DataFrame:
     The second landing of the CSV feed corrects every fifth sale, and the last micro-batch of
     each feed is given again, as after a failure before it was noted as done.
     """
-    root = f"{shared_dir(spark)}/feeds-{uuid.uuid4().hex}"
+    root = temporary(spark, "feeds")
     store = Warehouse(spark, f"{root}/warehouse")
     events, key = given.load(spark, folder, "events"), F.col("event_id")
 
@@ -918,7 +918,7 @@ def stream_to_staging_sales(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fact_append(spark: SparkSession, folder: str) -> DataFrame:
     """Facts of one load added twice to the stored table, by month."""
-    store = Warehouse(spark, f"{shared_dir(spark)}/append-{uuid.uuid4().hex}")
+    store = Warehouse(spark, temporary(spark, "append"))
     rows = _fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch())
     for _ in range(2):
         store.add("dw.fact_sales", rows)
@@ -935,7 +935,7 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     1996, and again after the second.
     """
     name = f"sales{uuid.uuid4().hex[:12]}"
-    store = Warehouse(spark, f"{shared_dir(spark)}/{name}", catalog=name)
+    store = Warehouse(spark, temporary(spark, name), catalog=name)
     store.publish()
     rows = result_table(_fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch()), "facts")
     store.add("dw.fact_sales", rows.where("year <= 1996"))
@@ -952,7 +952,7 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, folder: str) -> Warehouse:
     """A warehouse that was given a file of customers, carts as JSON lines and no sales file."""
-    root = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    root = temporary(spark, "job")
     given.raw_customers(spark, folder).write.option("header", True).option("escape", '"').csv(
         f"{root}/in/customers"
     )
@@ -1032,7 +1032,7 @@ def warehouse_run(spark: SparkSession, folder: str) -> DataFrame:
     One row per row of each mart and of a view over the stored facts, with its orders, quantity
     and revenue.
     """
-    root = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    root = temporary(spark, "run")
     store = Warehouse(spark, f"{root}/warehouse")
     ingest_batch(spark, store, _landed_batch(spark, folder, root), "batch-2", now())
     job = Transformation(spark, store, "batch-2", given.LOAD_DAY, datetime(2001, 6, 30, 12))
@@ -1109,7 +1109,7 @@ def customer_rfm(spark: SparkSession, folder: str) -> DataFrame:
 def customer_summary_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The customer mart over facts that lie in buckets by customer: they are not shuffled again."""
     name = f"sales{uuid.uuid4().hex[:12]}"
-    store = Warehouse(spark, f"{shared_dir(spark)}/{name}", catalog=name)
+    store = Warehouse(spark, temporary(spark, name), catalog=name)
     store.publish()
     sold = store.bucket_facts(given.star_facts(spark, folder), 16)
     mart = marts.customer_summary(

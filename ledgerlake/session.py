@@ -72,15 +72,23 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         discard(spark, folder)
 
 
+def temporary(spark: SparkSession, label: str) -> str:
+    """A folder for tables that are read after the job that made them; removed when Python ends."""
+    folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_removed, spark, folder)
+    return folder
+
+
 def materialize(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write `frame` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage like `checkpoint()`, survives lost executors, and keeps column
     pruning for later scans, which a checkpointed RDD does not offer. As later steps read the
-    table only, Spark drops the shuffle files of this one when it ends.
+    table only, Spark drops the shuffle files of this one when it ends. The table goes with the
+    job's `folder`, or when Python ends.
     """
     spark = frame.sparkSession
-    path = f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else temporary(spark, label)
     with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
@@ -106,14 +114,11 @@ def discard(spark: SparkSession, folder: str) -> None:
 
 
 def result_table(frame: DataFrame, label: str) -> DataFrame:
-    """Write the rows of a query once, as `materialize` does; removed when Python ends.
+    """The rows of a query, written once, as `materialize` does; removed when Python ends.
 
     For results that are read after the job that made them, whose own folder is gone by then.
     """
-    spark = frame.sparkSession
-    folder = f"{shared_dir(spark)}/result-{uuid.uuid4().hex}"
-    atexit.register(_removed, spark, folder)
-    return materialize(frame, label, folder)
+    return materialize(frame, label)
 
 
 def store_once(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:

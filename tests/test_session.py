@@ -1,4 +1,8 @@
 import os
+import re
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -40,3 +44,24 @@ def test_materialized_frames_keep_rows_and_types(spark):
     kept = session.materialize(frame, "test")
     assert kept.dtypes == frame.dtypes and kept.collect() == frame.collect()
     assert "Parquet" in kept._jdf.queryExecution().toString()
+
+
+def test_nothing_stays_in_the_shared_folder(tmp_path):
+    """Intermediate and result tables are gone when Python ends, also if Spark was stopped before."""
+    code = f"""
+from pyspark.sql import functions as F
+from ledgerlake import session
+from ledgerlake.operators.ranking import rank_all
+spark = session.build("t", "local[1]", **{{"spark.checkpoint.dir": "{tmp_path}", "spark.ui.enabled": "false"}})
+ranked = rank_all(spark.range(9).toDF("v"), {{"r": F.col("v")}})
+assert sorted(r["r"] for r in ranked.collect()) == list(range(1, 10))
+assert session.materialize(spark.range(3), "x").count() == 3
+with session.scratch(spark) as folder:
+    session.materialize(spark.range(3), "x", folder)
+spark.stop()
+"""
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=300)
+    # Spark keeps a folder of its own there.
+    left = [p.name for p in tmp_path.iterdir() if re.search("-[0-9a-f]{32}$", p.name)]
+    assert left == []
