@@ -13,6 +13,11 @@ Lanes with no bit, or one bit, set agree by chance. They are left out for sets t
 than (lanes - d) of them: two similar sets then agree in another lane as well, or else both
 have that many, and both use them. So no similar pair is lost.
 
+Texts that share a passage agree in lanes that hold nothing else. Of its (lanes - d - 1) lanes to
+spare, what light ones leave, a set drops those that most sets share. Lanes are dropped in one
+order for all sets, light ones first, so of the (lanes - d) or more lanes in which two similar sets
+agree, both keep the last.
+
 Groups of many near copies share lanes in large numbers. Equal sets are one node from the
 start. Every node is first compared with one other, the one in its lanes that most nodes share
 lanes with, and joins its component if they are similar. Only lanes that then hold several
@@ -37,7 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +57,10 @@ FOLD_WORDS = 4
 # Bits of a band's whole sketch for each shingle that may differ. With four, sets pass that differ
 # in up to 1.4 times as many (2 ln 2); unrelated ones differ in about nine times as many.
 SKETCH_BITS = 4
+# Lanes above the shingles that may differ, in hundredths of these: what a set has to spare.
+SPARE_PERCENT = 20
+# Low bits of a lane's key that hold its band.
+BAND_BITS = 7
 # Compare all remaining pairs once they are at most so many per lane entry of the start.
 PAIRS_PER_ENTRY = 256
 
@@ -103,7 +112,7 @@ def band_plan(band: int, percent: int) -> tuple[int, int, int]:
         return 0, 0, 0
     bottom = max(1.0, top / BAND_RATIO)
     for light in (1, 0):
-        for lanes in range(differ + 2, 2 * differ + 4):
+        for lanes in range(differ + 2 + differ * SPARE_PERCENT // 100, 2 * differ + 4):
             load = bottom / lanes
             share = math.exp(-load) * (1 + load * light)
             if share * lanes + 1.5 * math.sqrt(share * lanes) <= lanes - differ - 1:
@@ -111,14 +120,18 @@ def band_plan(band: int, percent: int) -> tuple[int, int, int]:
     return differ, differ + 2, -1
 
 
-def lane_keys(values: np.ndarray, percent: int) -> np.ndarray:
-    """The keys under which a set of shingles is found, for its band and larger ones it reaches."""
-    size, out = len(values), []
+def lanes_of(values: np.ndarray, percent: int) -> tuple[np.ndarray, list[int]]:
+    """The keys under which a set of shingles is found, for its band and larger ones it reaches.
+
+    With them, for each of these bands, how many of its keys the set can drop and still be found.
+    """
+    size, out, spares = len(values), [], []
     if not size:
-        return np.array([], np.uint64)
+        return np.array([], np.uint64), []
     for band in range(band_of(size), band_of(size * 100 // percent) + 1):
         differ, lanes, light = band_plan(band, percent)
         if not lanes:
+            spares.append(0)
             continue
         places, counts = np.unique(
             values % np.uint64(lanes << LANE_BITS), return_counts=True
@@ -130,9 +143,16 @@ def lane_keys(values: np.ndarray, percent: int) -> np.ndarray:
         np.bitwise_xor.at(digest, lane, _mixed(odd + np.uint64(0x632BE59BD9B4E019)))
         named_lane = np.arange(lanes, dtype=np.uint64) + np.uint64(band << 40)
         keys = _mixed(digest ^ _mixed(named_lane + np.uint64(0xD6E8FEB86659FD93)))
+        keys = keys >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | np.uint64(band)
         heavy = bits > light
-        out.append(keys if lanes - heavy.sum() >= lanes - differ else keys[heavy])
-    return np.concatenate(out) if out else np.array([], np.uint64)
+        used = int(heavy.sum())
+        out.append(keys if used <= differ else keys[heavy])
+        spares.append(max(0, used - differ - 1))
+    return np.concatenate(out) if out else np.array([], np.uint64), spares
+
+
+def lane_keys(values: np.ndarray, percent: int) -> np.ndarray:
+    return lanes_of(values, percent)[0]
 
 
 def folded(values: np.ndarray, words: int = FOLD_WORDS) -> np.ndarray:
@@ -155,7 +175,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     """Per row: row, id, digest, n, the set's 128-bit hash, its sketches and lane keys."""
     fields = (
         "row long, digest binary, n long, set_hash binary, fold array<long>, lanes array<long>,"
-        " band int, bands array<binary>"
+        " spares array<int>, band int, bands array<binary>"
     )
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -168,20 +188,22 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         import xxhash
 
         for batch in batches:
-            sizes, hashes, folds, lanes, band, bands = [], [], [], [], [], []
+            sizes, hashes, folds, lanes, spares, band, bands = [], [], [], [], [], [], []
             for text in batch["text"]:
                 values = shingles(text.as_py(), words)
                 sizes.append(len(values))
                 hashes.append(xxhash.xxh3_128_digest(values.tobytes()))
                 folds.append(folded(values))
-                lanes.append(lane_keys(values, percent).view(np.int64))
+                keys, spare = lanes_of(values, percent)
+                lanes.append(keys.view(np.int64))
+                spares.append(spare)
                 band.append(band_of(len(values)))
                 bands.append(band_sketches(values, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()),
                  *[pa.array(x, pa.list_(pa.int64())) for x in (folds, lanes)],
-                 pa.array(band, pa.int32()), pa.array(bands, pa.list_(pa.binary())), batch["id"]],
-                ["row", "digest", "n", "set_hash", "fold", "lanes", "band", "bands", "id"],
+                 pa.array(spares, pa.list_(pa.int32())), pa.array(band, pa.int32()), pa.array(bands, pa.list_(pa.binary())), batch["id"]],
+                ["row", "digest", "n", "set_hash", "fold", "lanes", "spares", "band", "bands", "id"],
             )
 
     return rows.mapInArrow(run, f"{fields}, id {rows.schema['id'].dataType.simpleString()}")
@@ -303,17 +325,24 @@ def _first_pairs(live: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
 
 def _lane_entries(marked: DataFrame, folder: str) -> DataFrame:
-    """(key, node, m) for the lanes that several sets share, `m` of them.
+    """(key, node, m) for the lanes that several sets share, `m` of them, less those a set can spare.
 
     Only one row of every set has its lanes listed, so copies add nothing. Keys are counted with
-    partial sums before the few that are shared meet their nodes.
+    partial sums before the few that are shared meet their nodes. A window holds the lanes of one
+    set in one band.
     """
     firsts = marked.groupBy("set_hash").agg(F.min("row").alias("node")).select("node")
     nodes = marked.select("row", "lanes").join(firsts, F.col("row") == F.col("node"), "left_semi")
     posts = nodes.select(F.col("row").alias("node"), F.explode(F.array_distinct("lanes")).alias("key"))
     often = posts.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     often = materialize(often, "lane-keys", folder)
-    return materialize(posts.join(often, "key"), "lane-entries", folder)
+    spares = marked.select(F.col("row").alias("node"), "band", "spares")
+    shared = posts.join(often, "key").join(spares, "node")
+    shared = shared.withColumn("key_band", F.col("key").bitwiseAND((1 << BAND_BITS) - 1))
+    most = Window.partitionBy("node", "key_band").orderBy(F.desc("m"), "key")
+    ranked = shared.withColumn("place", F.row_number().over(most))
+    spare = F.get("spares", (F.col("key_band") - F.col("band")).cast("int"))
+    return materialize(ranked.where(F.col("place") > spare).select("key", "node", "m"), "lane-entries", folder)
 
 
 def linked_sets(marked: DataFrame, texts: Texts, percent: int, folder: str) -> DataFrame:

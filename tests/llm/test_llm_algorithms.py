@@ -135,6 +135,36 @@ def test_similar_sets_share_a_lane(words, percent):
     assert met > 50
 
 
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80), (1, 50)])
+def test_similar_sets_share_a_lane_they_keep(words, percent):
+    rng = random.Random(100 + words)
+    spread, met = 0.3 * (100 - percent) / words / 100, 0
+    for _ in range(300):
+        base = [str(rng.randrange(10**6)) for _ in range(rng.randrange(20, 400))]
+        edits = rng.randrange(0, 2 + int(3 * spread * len(base)))
+        other = list(base)
+        for _ in range(edits):
+            other[rng.randrange(len(other))] = str(rng.randrange(10**6))
+        a, b = (ngramjoin.shingles(" ".join(x), words) for x in (base, other))
+        shared = len(np.intersect1d(a, b))
+        if shared * 100 < percent * (len(a) + len(b) - shared) or (len(a) == len(b) == shared):
+            continue
+        met += 1
+        # Whatever lanes are the most shared ones, here first all in which the two agree.
+        agreed = set(ngramjoin.lane_keys(a, percent).tolist()) & set(ngramjoin.lane_keys(b, percent).tolist())
+        kept = []
+        for values in (a, b):
+            keys, spares = ngramjoin.lanes_of(values, percent)
+            bands, left = keys & np.uint64((1 << ngramjoin.BAND_BITS) - 1), set()
+            for band, spare in enumerate(spares, ngramjoin.band_of(len(values))):
+                own = keys[bands == band].tolist()
+                left |= set(sorted(own, key=lambda k: (k not in agreed, k))[spare:])
+            assert len(left) <= len(keys)
+            kept.append(left)
+        assert kept[0] & kept[1]
+    assert met > 50
+
+
 def test_shingles():
     assert len(ngramjoin.shingles(None, 3)) == len(ngramjoin.shingles(" \n", 3)) == 0
     assert len(ngramjoin.shingles("a b", 3)) == 1

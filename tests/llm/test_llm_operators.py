@@ -1,6 +1,7 @@
 """The operators on a small table with every kind of trouble, against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -214,6 +215,21 @@ def test_chains_of_near_copies(spark):
     assert Counter((r["id"], r["n_shingles"], r["class_id"]) for r in found) == Counter(brute_classes(rows, 3, 90))
 
 
+def test_texts_of_one_passage_are_not_compared(spark, tmp_path):
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(k, " ".join([passage, *(f"w{rng.randrange(10**6)}" for _ in range(600))])) for k in range(150)]
+    rows += [(1000 + k, rows[k][1].replace(" w", " ", 3)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = ngramjoin.sketches(docs, "doc_id", "text", 5, 80)
+    entries = ngramjoin._lane_entries(marked, str(tmp_path)).select("key", "node")
+    met = entries.alias("a").join(entries.alias("b"), F.expr("a.key = b.key AND a.node < b.node"))
+    # All but the 20 pairs share the passage alone.
+    assert 20 <= met.select("a.node", "b.node").distinct().count() < 200
+    found = ngramjoin.jaccard_classes(docs, words=5, percent=80)
+    assert {(r["id"], r["class_id"]) for r in found.collect()} == {(k, k % 1000) for k, _ in rows}
+
+
 def test_one_of_each(odd, empty):
     kept = ngramjoin.one_of_each(odd)
     assert kept.columns == odd.columns
