@@ -23,8 +23,13 @@ start. Every node is first compared with one other, the one in its lanes that mo
 lanes with, and joins its component if they are similar. Only lanes that then hold several
 components go on. While they have too many pairs, one node of every lane, then 2, 4, ..., are
 compared with the rest; when few pairs are left, all those between different components are.
-Pairs that are already in one component are never listed, so the work stays in line with the
-number of lanes.
+Pairs that are already in one component are never listed, and of a lane of more than a few nodes
+no pairs are: its sets are copies of one text with edits, many of them just too far from it.
+They are told apart by what they differ in from the lane's hub, the weightiest node around. With E
+what a set differs in from the hub, two sets differ in |E| + |F| - 2 |E and F| shingles. If both
+are similar to the hub they are one component; if not, E and F must share more than about half
+of either. So a set drops that many of E, those that most sets of the hub share, and what edits
+of its own are left meets nothing.
 
 Defined results: null texts, empty ones and those of white space have no shingles and are
 linked with nothing; a text of fewer words than a shingle has one shingle, all its words; rows
@@ -63,6 +68,8 @@ SPARE_PERCENT = 20
 BAND_BITS = 7
 # Compare all remaining pairs once they are at most so many per lane entry of the start.
 PAIRS_PER_ENTRY = 256
+# Of a lane with more nodes the pairs are not listed, but found by the differences from its hub.
+LANE_NODES = 8
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -268,6 +275,11 @@ def _hopeful(percent: int) -> str:
     )
 
 
+def _sets_of(nodes: DataFrame, known: DataFrame, texts: Texts, label: str, folder: str) -> DataFrame:
+    wanted = known.select("node", "id", "digest").join(nodes.distinct(), "node", "left_semi")
+    return materialize(texts.sets(wanted), label, folder)
+
+
 def _verified(
     pairs: DataFrame, known: DataFrame, texts: Texts, percent: int, folder: str
 ) -> DataFrame:
@@ -283,9 +295,8 @@ def _verified(
     bits = _differing(F.get("of_a", band - F.col("band_a")), F.get("of_b", band - F.col("band_b")))
     near = met.where(bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
     near = materialize(near.select("a", "b", "na", "nb"), "near-pairs", folder)
-    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = known.select("node", "id", "digest").join(nodes, "node", "left_semi")
-    sets = materialize(texts.sets(wanted), "near-sets", folder)
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b"))
+    sets = _sets_of(nodes, known, texts, "near-sets", folder)
     one = sets.select(F.col("node").alias("a"), F.col("values").alias("va"))
     two = sets.select(F.col("node").alias("b"), F.col("values").alias("vb"))
     both = near.join(one, "a").join(two, "b")
@@ -324,6 +335,84 @@ def _first_pairs(live: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         F.col("a1").alias("a"), F.col("b1").alias("b"), "na", "nb").distinct()
 
 
+def _differences(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root, hub, n, hub_n, size, parts): the `size` shingles in which node and hub differ."""
+    one = sets.select("node", F.col("values").alias("own"))
+    two = sets.select(F.col("node").alias("hub"), F.col("values").alias("of_hub"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, n, hub_n = [], [], []
+            for own, of_hub in zip(batch["own"], batch["of_hub"]):
+                own, of_hub = own.values.to_numpy(), of_hub.values.to_numpy()
+                parts.append(np.setxor1d(own, of_hub, assume_unique=True))
+                n.append(len(own))
+                hub_n.append(len(of_hub))
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], batch["root"], batch["hub"], pa.array(n, pa.int64()), pa.array(hub_n, pa.int64()),
+                 pa.array(map(len, parts), pa.int64()), pa.array(parts, pa.list_(pa.int64()))],
+                ["node", "root", "hub", "n", "hub_n", "size", "parts"],
+            )
+
+    met = near.join(one, "node").join(two, "hub").select("node", "root", "hub", "own", "of_hub")
+    return met.mapInArrow(
+        run, "node long, root long, hub long, n long, hub_n long, size long, parts array<long>"
+    )
+
+
+def _hub_pairs(
+    live: DataFrame, known: DataFrame, texts: Texts, percent: int, folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """Of lanes (key, node, root): links (a, b) with their hubs, and pairs (a, b, na, nb) to verify.
+
+    Similar pairs of different roots that share a lane are among the pairs, or both linked with
+    its hub, the weightiest node of any lane of its nodes: nearly all copies of one text get one hub
+    in all their lanes, its original if it is there. With D the shingles that a set may differ in from one of any size, E and F share
+    half of |E| + (hub's size - own size) * (100 - percent) / (100 + percent) or more if the other
+    set is not linked with the hub, |E| - D in any case, and |E| - D / 2 if |F| is not less than |E|.
+    A set's parts are dropped, the most shared first, as long as so many are left out.
+    """
+    s, r = 100 + percent, 100 - percent
+    tops = live.join(known.select("node", "weight"), "node").groupBy("key").agg(
+        F.max(F.struct("weight", "node")).alias("top")
+    )
+    mains = live.join(tops, "key").groupBy("node").agg(F.max("top").alias("main"))
+    hubs = live.join(mains, "node").groupBy("key").agg(F.max("main").alias("main")).selectExpr("key", "main.node AS hub")
+    near = live.join(hubs, "key").where("node != hub").select("node", "root", "hub")
+    near = materialize(near.distinct(), "hub-nodes", folder)
+    nodes = near.select("node").union(near.select("hub"))
+    sets = _sets_of(nodes, known, texts, "hub-sets", folder)
+    found = materialize(_differences(near, sets), "hub-parts", folder)
+    links = found.where(f"size * {s} <= (n + hub_n) * {r}").selectExpr("hub AS a", "node AS b")
+
+    top = f"(n + n * 100 DIV {percent})"
+    marked = found.selectExpr(
+        "node", "root", "hub", "n", "size", "parts", f"size * {s} <= (n + hub_n) * {r} AS linked",
+        f"(size * {s} + (hub_n - n) * {r}) DIV {2 * s} + 1 AS half",
+        f"greatest(1, (size * {s} - {top} * {r} + {s - 1}) DIV {s}) AS loose",
+        f"(2 * size * {s} - {top} * {r} + {2 * s - 1}) DIV {2 * s} AS smaller",
+    ).selectExpr(
+        "*", "if(linked, half, greatest(half, smaller)) AS first_from", "if(linked, half, loose) AS second_from"
+    )
+    parts = found.select("hub", "node", F.explode("parts").alias("part"))
+    often = parts.groupBy("hub", "part").agg(F.count("*").alias("m")).where("m > 1")
+    most = Window.partitionBy("node", "hub").orderBy(F.desc("m"), "part")
+    ranked = parts.join(often, ["hub", "part"]).withColumn("place", F.row_number().over(most))
+    kept = ranked.join(marked.drop("parts", "n"), ["node", "hub"]).where("place >= least(first_from, second_from)")
+    kept = kept.selectExpr("hub", "part", "node", "root", "size", "linked", "place >= first_from AS first",
+                           "place >= second_from AS second", "place >= half AS tight")
+    kept = materialize(kept.join(known.select("node", "n", "fold"), "node"), "hub-entries", folder)
+    pairs = (
+        kept.where("first").alias("a")
+        .join(kept.where("second AND NOT linked").alias("b"), F.expr(
+            "a.hub = b.hub AND a.part = b.part AND a.root != b.root AND (a.linked OR"
+            f" (b.tight AND struct(a.size, a.node) < struct(b.size, b.node))) AND {_hopeful(percent)}"))
+        .selectExpr("least(a.node, b.node) AS a", "greatest(a.node, b.node) AS b",
+                    "if(a.node < b.node, a.n, b.n) AS na", "if(a.node < b.node, b.n, a.n) AS nb")
+    )
+    return links, pairs
+
+
 def _lane_entries(marked: DataFrame, folder: str) -> DataFrame:
     """(key, node, m) for the lanes that several sets share, `m` of them, less those a set can spare.
 
@@ -377,7 +466,7 @@ def linked_sets(marked: DataFrame, texts: Texts, percent: int, folder: str) -> D
         rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parts = rooted.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
         lanes = parts.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") ** 2).alias("same"))
-        open_lanes = lanes.where("m * m > same").selectExpr("key", "(m * m - same) / (2 * m) AS share")
+        open_lanes = lanes.where("m * m > same").selectExpr("key", "m", "(m * m - same) / (2 * m) AS share")
         live = materialize(rooted.join(open_lanes, "key"), "lane-live", step)
         discard(spark, before)
         size, pairs_left = live.agg(F.count("*"), F.sum("share")).first()
@@ -385,9 +474,9 @@ def linked_sets(marked: DataFrame, texts: Texts, percent: int, folder: str) -> D
             return components(links, folder)
         most = most or PAIRS_PER_ENTRY * size
         last = pairs_left <= most
-        left = live.select("key", "node", "root").join(sketch, "node")
+        left = live.select("key", "node", "root", "m").join(sketch, "node")
         if last:
-            others = left
+            left = others = left.where(F.col("m") <= LANE_NODES)
         else:
             salted = left.join(weights, "node").withColumn(
                 "salt", F.pmod(F.xxhash64("node"), F.lit(leaders_each))
@@ -404,9 +493,12 @@ def linked_sets(marked: DataFrame, texts: Texts, percent: int, folder: str) -> D
                         "if(a.node < b.node, a.n, b.n) AS na", "if(a.node < b.node, b.n, a.n) AS nb")
             .distinct()
         )
-        links = verified(pairs, links, step)
         if last:
+            large = live.where(F.col("m") > LANE_NODES)
+            with_hubs, more = _hub_pairs(large, known, texts, percent, step)
+            links = verified(pairs.unionByName(more).distinct(), links.unionByName(with_hubs), step)
             return components(links, folder)
+        links = verified(pairs, links, step)
         roots = materialize(_hubs(links, weights), "lane-hubs", step)
         live = live.select("key", "node").join(others.select("key", "node"), ["key", "node"], "left_anti")
         leaders_each *= 2

@@ -230,6 +230,62 @@ def test_texts_of_one_passage_are_not_compared(spark, tmp_path):
     assert {(r["id"], r["class_id"]) for r in found.collect()} == {(k, k % 1000) for k, _ in rows}
 
 
+def edited(rng, words, edits):
+    """`words` with so many of them replaced, dropped or doubled by new ones."""
+    words = list(words)
+    for _ in range(edits):
+        k = rng.randrange(len(words))
+        words[k : k + 1] = [f"e{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 1, 2]))]
+    return words
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_pairs_by_hubs(spark, monkeypatch, percent):
+    monkeypatch.setattr(ngramjoin, "LANE_NODES", 1)
+    rng = random.Random(percent)
+    rows = []
+    for _ in range(4):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(90, 220))]
+        most = max(3, len(base) * (100 - percent) // 300)
+        for _ in range(25):
+            copy = edited(rng, base, rng.randrange(most))[: rng.choice([None, None, -len(base) // 10])]
+            rows.append((len(rows), " ".join(copy)))
+            # A near copy of a copy that may itself be too far from the others.
+            rows.append((len(rows), " ".join(edited(rng, copy, rng.randrange(1, 4)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngramjoin.jaccard_classes(docs, words=3, percent=percent).collect()
+    expected = Counter(brute_classes(rows, 3, percent))
+    assert len({c for _, _, c in expected}) > 8
+    assert Counter((r["id"], r["n_shingles"], r["class_id"]) for r in found) == expected
+
+
+@pytest.mark.parametrize("k, percent", [(3, 90), (5, 80), (2, 60)])
+def test_odd_texts_by_hubs(odd, monkeypatch, k, percent):
+    monkeypatch.setattr(ngramjoin, "LANE_NODES", 1)
+    found = ngramjoin.jaccard_classes(odd, words=k, percent=percent)
+    rows = Counter((r["id"], r["n_shingles"], r["class_id"]) for r in found.collect())
+    assert rows == Counter(brute_classes(texts(), k, percent))
+
+
+def test_copies_too_far_from_each_other_are_not_listed(spark, monkeypatch):
+    listed, verified = [], ngramjoin._verified
+
+    def count(pairs, *more):
+        listed.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(ngramjoin, "_verified", count)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(0, " ".join(base))]
+    rows += [(k, " ".join(edited(rng, base, rng.randrange(1, 16)))) for k in range(1, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngramjoin.jaccard_classes(docs, words=5, percent=80).collect()
+    assert Counter((r["id"], r["n_shingles"], r["class_id"]) for r in found) == Counter(brute_classes(rows, 5, 80))
+    assert sum(r["class_id"] > 0 for r in found) > 50
+    assert sum(listed) < 5 * len(rows)
+
+
 def test_one_of_each(odd, empty):
     kept = ngramjoin.one_of_each(odd)
     assert kept.columns == odd.columns
