@@ -13,6 +13,7 @@ from ledgerlake.functions import cleaning as clean
 from ledgerlake.functions import validation
 from ledgerlake.functions.calendar import HOLIDAYS, calendar_of, date_key, dim_date
 from ledgerlake.operators.keys import next_keys
+from ledgerlake.operators.slices import Mine, deal, stored
 from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
 from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.plans.pipeline import Transformation
@@ -651,14 +652,19 @@ def scd2_customer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _fact_load(spark: SparkSession, folder: str) -> facts.FactLoad:
-    return facts.resolve(
-        _staged_sales(spark, folder),
-        given.star_products(spark, folder),
-        given.star_customers(spark, folder),
-        # A calendar that ends before the last sales do.
-        dim_date(spark, given.FIRST_SHIP_DAY, date(2000, 12, 31)),
-    )
+def _fact_load(spark: SparkSession, folder: str, work: str | None = None) -> facts.FactLoad:
+    """The valid sales staged and resolved, slice by slice, and stored: in `work`, if given."""
+    checked, empty = _sales(spark, folder), _no_rows(spark, "staging.sales")
+    dealt = deal(checked.records.where(F.size("errors") == 0), staging.KEYS["sales"], "sales", work)
+    products, customers = given.star_products(spark, folder), given.star_customers(spark, folder)
+    # A calendar that ends before the last sales do.
+    days = dim_date(spark, given.FIRST_SHIP_DAY, date(2000, 12, 31))
+
+    def resolved(records: DataFrame, mine: Mine) -> DataFrame:
+        staged = staging.stage(mine(empty), staging.Checked("sales", records), now(), batch())
+        return facts.resolve(staged, products, customers, days).resolved.drop("product_id", "customer_id")
+
+    return facts.FactLoad(stored((resolved(*part) for part in dealt.taken()), "resolved", work))
 
 
 @query
