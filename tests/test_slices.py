@@ -103,14 +103,14 @@ def test_small_tables_are_taken_whole(size, number):
     assert slices.turns(size) == number
 
 
-@pytest.mark.parametrize("name", ["fact_sales"])
+@pytest.mark.parametrize("name", ["fact_sales", "fact_merge"])
 def test_facts_by_slices_agree_with_sql(spark, given, eight_turns, name):
     verdict, rows, _ = check.compare(spark, given, name, oracles.queries()[name])
     assert verdict == "same" and rows > 0
 
 
 def test_the_facts_leave_no_earlier_table(spark, given, shared):
-    found = catalog.QUERIES["fact_sales"](spark, given)
+    found = catalog.QUERIES["fact_sales", "fact_merge"](spark, given)
     left = rows_in(spark, shared)
     skipped = sum(r["skipped"] for r in catalog.QUERIES["fact_skipped"](spark, given).collect())
     assert list(left.values()) == [found.count() + skipped]
