@@ -110,7 +110,13 @@ def test_facts_by_slices_agree_with_sql(spark, given, eight_turns, name):
 
 
 def test_the_facts_leave_no_earlier_table(spark, given, shared):
-    found = catalog.QUERIES["fact_sales", "fact_merge"](spark, given)
+    found = catalog.QUERIES["fact_sales"](spark, given)
     left = rows_in(spark, shared)
     skipped = sum(r["skipped"] for r in catalog.QUERIES["fact_skipped"](spark, given).collect())
     assert list(left.values()) == [found.count() + skipped]
+
+
+def test_appended_facts_leave_only_the_stored_table(spark, given, shared):
+    found = catalog.QUERIES["fact_append"](spark, given)
+    sales = sum(r["sales"] for r in found.collect())
+    assert sum(rows_in(spark, shared).values()) == sales and sales > 0
