@@ -18,7 +18,7 @@ from ledgerlake.plans import dimensions, facts, marts, quality, staging, views
 from ledgerlake.plans.ingestion import ingest_batch
 from ledgerlake.plans.pipeline import Transformation
 from ledgerlake.schemas import TABLES
-from ledgerlake.session import result_table, scratch, temporary
+from ledgerlake.session import COMPACT, materialize, result_table, scratch, temporary
 from ledgerlake.sources import files, raw
 from ledgerlake.sources import tables as given
 from ledgerlake.sources.store import Warehouse
@@ -944,11 +944,14 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     name = f"sales{uuid.uuid4().hex[:12]}"
     store = Warehouse(spark, temporary(spark, name), catalog=name)
     store.publish()
-    rows = result_table(_fact_load(spark, folder).rows(_no_rows(spark, "dw.fact_sales"), now(), batch()), "facts")
-    store.add("dw.fact_sales", rows.where("year <= 1996"))
     other = spark.newSession()
-    seen = other.table(f"{name}_dw.fact_sales").agg(F.count(F.lit(1)), F.max("year")).first()
-    store.add("dw.fact_sales", rows.where("year > 1996"))
+    with scratch(spark) as work:
+        with scratch(spark) as once:
+            load = _fact_load(spark, folder, once).rows(_no_rows(spark, "dw.fact_sales"), now(), batch())
+            rows = materialize(load, "facts", work, COMPACT)
+        store.add("dw.fact_sales", rows.where("year <= 1996"))
+        seen = other.table(f"{name}_dw.fact_sales").agg(F.count(F.lit(1)), F.max("year")).first()
+        store.add("dw.fact_sales", rows.where("year > 1996"))
     other.sql(f"REFRESH TABLE {name}_dw.fact_sales")
     return other.sql(
         f"""SELECT year, month, count(*) AS sales, CAST(sum(profit_amount) AS decimal(22,2)) AS profit,

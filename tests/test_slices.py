@@ -120,3 +120,9 @@ def test_appended_facts_leave_only_the_stored_table(spark, given, shared):
     found = catalog.QUERIES["fact_append"](spark, given)
     sales = sum(r["sales"] for r in found.collect())
     assert sum(rows_in(spark, shared).values()) == sales and sales > 0
+
+
+def test_the_catalogs_facts_leave_only_the_stored_table(spark, given, shared):
+    found = catalog.QUERIES["catalog_tables"](spark, given)
+    sales = sum(r["sales"] for r in found.collect())
+    assert sum(rows_in(spark, shared).values()) == sales and sales > 0
