@@ -9,6 +9,7 @@ import pytest
 import check
 from ledgerlake import catalog, oracles, session
 from ledgerlake.operators import slices
+from ledgerlake.plans import facts
 
 
 @pytest.fixture
@@ -126,3 +127,18 @@ def test_the_catalogs_facts_leave_only_the_stored_table(spark, given, shared):
     found = catalog.QUERIES["catalog_tables"](spark, given)
     sales = sum(r["sales"] for r in found.collect())
     assert sum(rows_in(spark, shared).values()) == sales and sales > 0
+
+
+def test_the_whole_run_by_slices_agrees_and_leaves_only_the_warehouse(spark, given, shared, eight_turns):
+    verdict, rows, _ = check.compare(spark, given, "warehouse_run", oracles.queries()["warehouse_run"])
+    assert verdict == "same" and rows > 0
+    assert [os.listdir(at) for at in shared.iterdir() if at.name.startswith("run-")] == [["warehouse"]]
+    assert not [at for at in shared.iterdir() if at.name.startswith(("scan-", "job-"))]
+
+
+def test_a_sale_that_moves_to_another_month_leaves_its_old_one(spark):
+    schema = "sale_id string, source_system string, month int"
+    old = spark.createDataFrame([("a", "csv", 1), ("b", "csv", 1)], schema)
+    new = spark.createDataFrame([("a", "csv", 2), ("c", "csv", 1)], schema)
+    merged = facts.merge_facts(old, new.where("month = 1"), new)
+    assert sorted(map(tuple, merged.collect())) == [("b", "csv", 1), ("c", "csv", 1)]
