@@ -5,11 +5,16 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import check
 from ledgerlake import catalog, oracles, session
 from ledgerlake.operators import slices
 from ledgerlake.plans import facts
+from ledgerlake.plans.pipeline import Transformation
+from ledgerlake.schemas import TABLES as TABLE_COLUMNS
+from ledgerlake.schemas import split_columns
+from ledgerlake.sources.store import Warehouse
 
 
 @pytest.fixture
@@ -129,7 +134,8 @@ def test_the_catalogs_facts_leave_only_the_stored_table(spark, given, shared):
     assert sum(rows_in(spark, shared).values()) == sales and sales > 0
 
 
-def test_the_whole_run_by_slices_agrees_and_leaves_only_the_warehouse(spark, given, shared, eight_turns):
+def test_the_whole_run_by_slices_agrees_and_leaves_only_the_warehouse(spark, given, shared, eight_turns, monkeypatch):
+    monkeypatch.setattr(slices, "SLICES", 2)
     verdict, rows, _ = check.compare(spark, given, "warehouse_run", oracles.queries()["warehouse_run"])
     assert verdict == "same" and rows > 0
     assert [os.listdir(at) for at in shared.iterdir() if at.name.startswith("run-")] == [["warehouse"]]
@@ -142,3 +148,24 @@ def test_a_sale_that_moves_to_another_month_leaves_its_old_one(spark):
     new = spark.createDataFrame([("a", "csv", 2), ("c", "csv", 1)], schema)
     merged = facts.merge_facts(old, new.where("month = 1"), new)
     assert sorted(map(tuple, merged.collect())) == [("b", "csv", 1), ("c", "csv", 1)]
+
+
+def test_months_are_merged_in_turns(spark, tmp_path, shared, eight_turns):
+    """A sale moves to another month, one is corrected, one is new, and a month is emptied."""
+    store = Warehouse(spark, str(tmp_path / "warehouse"))
+    schema = "sale_key long, sale_id string, source_system string, year int, month int, quantity int"
+    columns = [c.split() for c in split_columns(TABLE_COLUMNS["dw.fact_sales"])]
+
+    def rows(*found):
+        frame = spark.createDataFrame(found, schema)
+        missing = [F.lit(None).cast(kind).alias(name) for name, kind in columns if name not in frame.columns]
+        return frame.select("*", *missing).select(*[name for name, _ in columns])
+
+    store.add("dw.fact_sales", rows((1, "a", "csv", 2024, 1, 1), (2, "b", "csv", 2024, 2, 1), (3, "c", "csv", 2024, 3, 1)))
+    job = Transformation(spark, store, "b2", datetime(2024, 4, 1).date())
+    arriving = rows((4, "a", "csv", 2024, 2, 5), (5, "c", "csv", 2024, 3, 6), (6, "d", "csv", 2024, 4, 7))
+    again = spark.createDataFrame([("a", "csv"), ("c", "csv")], "source_sale_id string, source_system string")
+    assert job._merge_months(store.read("dw.fact_sales"), arriving, again) == 4
+    found = store.read("dw.fact_sales").select("sale_id", "month", "quantity").collect()
+    assert sorted(map(tuple, found)) == [("a", 2, 5), ("b", 2, 1), ("c", 3, 6), ("d", 4, 7)]
+    assert files_in(shared) == []
